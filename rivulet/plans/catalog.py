@@ -27,6 +27,7 @@ from rivulet.plans.inputs import BATCHES, document, enveloped, table, text, tran
 from rivulet.plans.refine import refine, silver_rows
 from rivulet.schemas import BRONZE_FAILED, BRONZE_PARTITIONS, FAILED_BATCH, KEY, ORDER
 from rivulet.session import work_dir
+from rivulet.sinks.bronze import append_bronze
 from rivulet.sinks.dead_letters import malformed_letters, rejected_letters
 from rivulet.sinks.silver_log import SilverLog
 from rivulet.sources.files import read_bronze, read_table, read_transactions, stream_topic_log
@@ -447,11 +448,11 @@ def latest20_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _drain_batches(spark: SparkSession, sf_dir: str, zones: Zones, **job) -> SilverLog:
-    """Four times: more bronze arrives, the silver job drains it."""
+    """Four times: more messages reach bronze, the silver job drains them."""
     log = SilverLog(spark, zones.silver)
     for batch_id in range(BATCHES):
-        arrived = _event_batch(spark, sf_dir, batch_id)
-        arrived.write.mode("append").partitionBy(*BRONZE_PARTITIONS).parquet(zones.bronze)
+        arrived = project_topic(_event_batch(spark, sf_dir, batch_id))
+        append_bronze(arrived, zones.bronze, batch_time(_processed_at(batch_id)))
         run_with_restarts(lambda: start_silver(spark, zones, log, at=_processed_at, **job), max_attempts=3)
     return log
 

@@ -178,10 +178,10 @@ def _silver(rows: DataFrame, time: Column, **columns: Column) -> DataFrame:
 
 
 def order_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders (all of the 1990s and after) as silver rows, unique by id."""
+    """Orders (1995 to 2001) as silver rows, unique by id, dated by the month."""
     return _silver(
         table(spark, sf_dir, "orders"),
-        F.col("o_orderdate"),
+        F.date_trunc("month", F.col("o_orderdate")),
         id_=F.col("o_orderkey"),
         amount=F.col("o_totalprice"),
         customer=F.col("o_custkey"),

@@ -18,25 +18,34 @@ tx AS (
   FROM (SELECT *, unnest(range(0, event_id % 4 + 1)) AS i FROM events)
 )"""
 
-_LATEST = f"""{_TRANSACTIONS},
+
+
+def _latest(ingested: str, where: str = "true") -> str:
+    """The newest row per id; bronze received a row at `ingested`."""
+    return f"""{_TRANSACTIONS},
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY TransactionId
-                               ORDER BY h DESC, ts DESC, p DESC, o DESC, i DESC) AS rn
-  FROM tx
+                               ORDER BY {ingested} DESC, ts DESC, p DESC, o DESC, i DESC) AS rn
+  FROM tx WHERE {where}
 ),
 latest AS (SELECT * FROM ranked WHERE rn = 1)"""
 
+
+_LATEST = _latest("h")
+
 _SILVER = f"""TransactionId, CAST(Amount AS VARCHAR) AS Amount, CustomerId,
   strftime(TransactionDateTime, {_MICROS}) AS TransactionDateTime,
   strftime(TransactionDateTime, '%Y-%m-%d') AS TransactionDate, Location, Status"""
 
 _SNAPSHOT = f"WITH {_LATEST} SELECT {_SILVER}, CAST(p AS INTEGER) AS _batch_id FROM latest"
+# With real bronze appends, one per topic partition, the append's time decides first.
+_SNAPSHOT_BY_ARRIVAL = f"WITH {_latest('p')} SELECT {_SILVER}, CAST(p AS INTEGER) AS _batch_id FROM latest"
 
 # Orders and events as silver rows; every other order shares its id with an event.
 _SIDES = """
 o AS (
   SELECT o_orderkey AS TransactionId, CAST(o_totalprice AS DECIMAL(10,2)) AS Amount, o_custkey AS CustomerId,
-         o_orderdate AS TransactionDateTime, upper(o_orderpriority) AS Location, upper(o_orderstatus) AS Status
+         date_trunc('month', o_orderdate) AS TransactionDateTime, upper(o_orderpriority) AS Location, upper(o_orderstatus) AS Status
   FROM orders
 ),
 e AS (
@@ -120,7 +129,13 @@ ORACLE: dict[str, str] = {
                CASE WHEN o_orderkey % 6 = 5 THEN 'not-a-date'
                     ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END AS raw_time
         FROM orders WHERE o_orderkey % 6 <> 0""",
-    "clean_siblings": f"WITH {_SIDES} SELECT {_SILVER} FROM o",
+    "clean_siblings": f"""
+        WITH o AS (
+          SELECT o_orderkey AS TransactionId, CAST(o_totalprice AS DECIMAL(10,2)) AS Amount, o_custkey AS CustomerId,
+                 o_orderdate AS TransactionDateTime, upper(o_orderpriority) AS Location, upper(o_orderstatus) AS Status
+          FROM orders
+        )
+        SELECT {_SILVER} FROM o""",
     "latest_per_key": f"WITH {_LATEST} SELECT {_SILVER} FROM latest",
     "latest_by_user": f"""
         WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
@@ -141,18 +156,13 @@ ORACLE: dict[str, str] = {
     "fold_batches": _SNAPSHOT,
     "fold_onto_base": _SNAPSHOT,
     "compacted_silver": _SNAPSHOT,
-    "stream_silver": _SNAPSHOT,
+    "stream_silver": _SNAPSHOT_BY_ARRIVAL,
     "stream_failed_batch": f"""
-        WITH {_TRANSACTIONS},
-        ranked AS (
-          SELECT *, row_number() OVER (PARTITION BY TransactionId
-                                       ORDER BY h DESC, ts DESC, p DESC, o DESC, i DESC) AS rn
-          FROM tx WHERE p <> 2
-        )
-        SELECT 'silver' AS zone, p AS batch_id, count(*) AS n_rows FROM ranked WHERE rn = 1 GROUP BY p
+        WITH {_latest("p", where="p <> 2")}
+        SELECT 'silver' AS zone, p AS batch_id, count(*) AS n_rows FROM latest GROUP BY p
         UNION ALL
         SELECT 'failed' AS zone, CAST(2 AS BIGINT) AS batch_id, count(*) AS n_rows FROM events WHERE event_id % 4 = 2""",
-    "dlq_replay": _SNAPSHOT,
+    "dlq_replay": _SNAPSHOT_BY_ARRIVAL,
     "end_to_end": f"""
         WITH s AS (
           SELECT s_suppkey, unnest(range(0, 3)) AS i, s_acctbal, s_name FROM supplier
