@@ -11,19 +11,21 @@ from rivulet.operators.latest import latest_per_key
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str, order: Sequence[str] | None = None) -> DataFrame:
-    """The target after merging `source` into it; both must be unique on `key`.
+    """The target, unique on `key`, after merging `source` into it.
 
     A NULL key matches nothing, so such rows of either side are all kept.
-    Without `order` the source row replaces the target row it matches. With
-    `order` the greater tuple wins, and only the matched target rows and the
-    source take part in that contest: when the source's keys are small enough
-    for Spark to broadcast, the target is never shuffled.
+
+    Without `order` the source, which must be unique too, replaces the target
+    rows it matches. With `order` the greatest tuple wins, among the source's own
+    rows as well. Only the source and the target rows it matches take part in
+    that contest: when the source's keys are small enough for Spark to broadcast,
+    the target is never shuffled. The source is read once for its keys and once
+    for its rows; persist it if it is dear to compute.
     """
     keys = source.select(key)
     untouched = target.join(keys, key, "left_anti").select(*target.columns)
     if order is None:
         return untouched.unionByName(source)
     matched = target.join(keys, key, "left_semi").select(*target.columns)
-    keyed, unkeyed = source.filter(F.col(key).isNotNull()), source.filter(F.col(key).isNull())
-    contest = latest_per_key(matched.unionByName(keyed), key, order)
-    return untouched.unionByName(contest).unionByName(unkeyed)
+    contest = latest_per_key(matched.unionByName(source.filter(F.col(key).isNotNull())), key, order)
+    return untouched.unionByName(contest).unionByName(source.filter(F.col(key).isNull()))

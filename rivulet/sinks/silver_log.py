@@ -88,23 +88,26 @@ class SilverLog:
         paths = [f"{folder}/{VERSION}={v}" for v in versions]
         return self.spark.read.schema(SILVER_LOG).option("basePath", folder).parquet(*paths)
 
-    def _merged(self, live: LiveVersions, keys: str | list[str]) -> DataFrame:
+    def _merged(self, live: LiveVersions) -> DataFrame:
         batches = self._read("batch", live.batches)
-        if len(live.batches) > 1:
-            batches = latest_per_key(batches, keys, self.order)
         if live.base is None:
-            return batches
+            return latest_per_key(batches, KEY, self.order) if len(live.batches) > 1 else batches
         base = self._read("base", [live.base])
-        return merge_upsert(base, batches, keys, self.order) if live.batches else base
+        return merge_upsert(base, batches, KEY, self.order) if live.batches else base
 
     def snapshot(self, fixed_dates: bool = False) -> DataFrame:
         """The table now: one row per transaction id.
 
-        `fixed_dates` says that no transaction ever changes its date. Then the
-        date is part of the key, and a filter on it prunes partitions.
+        Without batches since the last compaction this is a plain scan. With
+        `fixed_dates`, the caller's word that no transaction ever changes its
+        date, the date is part of the key and a filter on it prunes partitions.
         """
-        keys = [SILVER_PARTITION, KEY] if fixed_dates else KEY
-        return self._merged(self.live(), keys).select(*SILVER.names)
+        live = self.live()
+        if not fixed_dates:
+            return self._merged(live).select(*SILVER.names)
+        rows = self._read("base", [] if live.base is None else [live.base])
+        rows = rows.unionByName(self._read("batch", live.batches))
+        return latest_per_key(rows, [SILVER_PARTITION, KEY], self.order).select(*SILVER.names)
 
     def compact(self) -> bool:
         """Folds the batches into a new base, clustered by amount within the date.
@@ -117,7 +120,7 @@ class SilverLog:
             return False
         version = max(live.batches)
         clustered = (
-            self._merged(live, KEY)
+            self._merged(live)
             .select(*SILVER_ROW.names)
             .repartitionByRange(SILVER_PARTITION, "Amount", KEY)
             .sortWithinPartitions(SILVER_PARTITION, "Amount")
