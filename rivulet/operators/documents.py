@@ -54,10 +54,13 @@ def explode_transactions(parsed: DataFrame, keep_empty: bool = False) -> DataFra
     With `keep_empty`, a document without transactions still yields one row,
     with NULL position, so that documents can be counted and dead-lettered
     from the same row stream.
+
+    Always the outer explode: for the inner one Spark infers a size check on the
+    array and pushes it below the parse, which then runs twice.
     """
-    explode = F.posexplode_outer if keep_empty else F.posexplode
     rest = [c for c in parsed.columns if c != "parsed"]
-    return parsed.select(*rest, explode("parsed.Transaction").alias("_position", "_transaction"))
+    rows = parsed.select(*rest, F.posexplode_outer("parsed.Transaction").alias("_position", "_transaction"))
+    return rows if keep_empty else rows.filter(F.col("_position").isNotNull())
 
 
 def first_of_document() -> Column:

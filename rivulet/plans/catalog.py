@@ -23,12 +23,13 @@ from rivulet.operators.transactions import amount_invalid, clean_transactions
 from rivulet.operators.upsert import merge_upsert
 from rivulet.operators.views import latest_bronze, latest_silver
 from rivulet.plans import inputs
-from rivulet.plans.inputs import BATCHES, document, enveloped, table, text, transaction
+from rivulet.plans.inputs import BATCHES, ORDER_COLUMNS, document, enveloped, spread_table, table, text, transaction
 from rivulet.plans.refine import refine, silver_rows
-from rivulet.schemas import BRONZE_FAILED, BRONZE_PARTITIONS, FAILED_BATCH, KEY, ORDER
+from rivulet.schemas import BRONZE_FAILED, BRONZE_PARTITIONS, FAILED_BATCH, KEY, MALFORMED, ORDER
 from rivulet.session import work_dir
 from rivulet.sinks.bronze import append_bronze
-from rivulet.sinks.dead_letters import malformed_letters, rejected_letters
+from rivulet.sinks.dead_letters import malformed_letters, rejected_letters, write_letters
+from rivulet.sinks.documents import write_document_files
 from rivulet.sinks.silver_log import SilverLog
 from rivulet.sources.files import read_bronze, read_table, read_transactions, stream_topic_log
 from rivulet.streaming.bronze import start_bronze
@@ -97,31 +98,18 @@ def topic_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_topic(records)
 
 
-def write_document_files(documents: DataFrame, name: str, body: str, directory: str) -> None:
-    """One file per row, in a folder that carries the row's name."""
-    documents.select(name, body).write.partitionBy(name).text(directory)
-
-
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = _zones(spark, "landing")
-    write_document_files(table(spark, sf_dir, "pages"), "page_id", "html", zones.landing)
+    write_document_files(spread_table(spark, sf_dir, "pages", "html"), zones.landing)
 
     def land():
-        return land_to_log(
-            spark,
-            zones.landing,
-            zones.topic_log,
-            "pages",
-            zones.checkpoint("landing"),
-            DRAIN,
-            recursiveFileLookup="true",
-        )
+        return land_to_log(spark, zones.landing, zones.topic_log, "pages", zones.checkpoint("landing"), DRAIN)
 
     run_with_restarts(land, max_attempts=2)
     run_with_restarts(land, max_attempts=2)  # resumes from its checkpoint, so nothing lands twice
     messages = spark.read.option("recursiveFileLookup", "true").parquet(zones.topic_log)
     return decode_envelope(messages).select(
-        F.regexp_extract("key", "page_id=([0-9]+)", 1).cast("long").alias("page_id"),
+        (F.col("key") == F.col("json_data.path")).alias("key_is_path"),
         F.octet_length("decoded_content").cast("long").alias("n_bytes"),
         F.md5("decoded_content").alias("md5"),
     )
@@ -191,7 +179,11 @@ def document_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    letters = malformed_letters(refine(inputs.order_bronze(spark, sf_dir)))
+    zones = _zones(spark, "malformed")
+    refined = refine(inputs.order_bronze(spark, sf_dir)).persist()
+    write_letters(malformed_letters(refined), zones.malformed, "orders", 0, batch_time())
+    refined.unpersist()
+    letters = read_table(spark, zones.malformed, MALFORMED)
     shown = F.when(F.col("_reason").isin("bad_xml", "unread_transactions", "bad_envelope"), F.col("_corrupt_file"))
     return letters.select("key", "_reason", shown.alias("corrupt_text"))
 
@@ -204,7 +196,7 @@ def flatten_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def generated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seeds = table(spark, sf_dir, "orders").select("o_orderkey")
+    seeds = spread_table(spark, sf_dir, "orders", "o_orderkey")
     documents = generate_documents(seeds, seed="o_orderkey", at=F.lit("2024-01-01 00:00:00").cast("timestamp"))
     parsed = parse_documents(documents.select("o_orderkey", "xml"), "xml")
     found = F.col("parsed.Transaction")
@@ -226,7 +218,7 @@ def generated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def schema_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = text("c_custkey")
-    documents = table(spark, sf_dir, "customer").select(
+    documents = spread_table(spark, sf_dir, "customer", "c_custkey", "c_acctbal", "c_mktsegment", "c_name").select(
         document(
             F.transform(
                 F.sequence(F.lit(0), F.pmod("c_custkey", F.lit(2)).cast("int")),
@@ -247,7 +239,7 @@ def schema_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def large_document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "large")
-    orders = table(spark, sf_dir, "orders").select(
+    orders = spread_table(spark, sf_dir, "orders", *ORDER_COLUMNS).select(
         text("o_orderkey").alias("TransactionId"),
         text(F.col("o_totalprice").cast("decimal(10,2)")).alias("Amount"),
         text("o_custkey").alias("CustomerId"),
@@ -319,7 +311,7 @@ def _spoilt_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     messages = enveloped(
-        table(spark, sf_dir, "orders"),
+        spread_table(spark, sf_dir, "orders", *ORDER_COLUMNS),
         key,
         F.col("o_orderdate").cast("timestamp"),
         F.encode(document(F.transform(F.sequence(F.lit(0), F.lit(1)), one)), "UTF-8"),
@@ -491,8 +483,7 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files, topic, bronze, silver: the three jobs one after the other."""
     zones = _zones(spark, "end-to-end")
     key = text("s_suppkey")
-    documents = table(spark, sf_dir, "supplier").select(
-        "s_suppkey",
+    documents = spread_table(spark, sf_dir, "supplier", "s_suppkey", "s_acctbal", "s_name").select(
         document(
             F.transform(
                 F.sequence(F.lit(0), F.lit(2)),
@@ -507,9 +498,9 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ).alias("xml"),
     )
-    write_document_files(documents, "s_suppkey", "xml", zones.landing)
+    write_document_files(documents, zones.landing)
     land_to_log(
-        spark, zones.landing, zones.topic_log, "suppliers", zones.checkpoint("landing"), DRAIN, recursiveFileLookup="true"
+        spark, zones.landing, zones.topic_log, "suppliers", zones.checkpoint("landing"), DRAIN
     ).awaitTermination()
     start_bronze(
         stream_topic_log(spark, zones.topic_log), zones.bronze, zones.bronze_failed, zones.checkpoint("raw"), DRAIN

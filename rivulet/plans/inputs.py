@@ -11,16 +11,23 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.envelope import wrap_files
 from rivulet.schemas import AMOUNT, BRONZE, SILVER_ROW
+from rivulet.session import spread
 
 _ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 TOPIC_NAME = "transactions"
 BATCHES = 4
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Some columns of a table, for work that is worth a task per core."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def text(column: Column | str) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string")
 
@@ -74,7 +81,7 @@ def enveloped(rows: DataFrame, path: Column, modified: Column, content: Column,
 def pages_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as the binary-file source would deliver them."""
     content = F.encode("html", "UTF-8")
-    return table(spark, sf_dir, "pages").select(
+    return spread_table(spark, sf_dir, "pages", "url", "html").select(
         F.col("url").alias("path"),
         F.lit("2024-01-01 00:00:00").cast("timestamp").alias("modificationTime"),
         F.octet_length(content).cast("long").alias("length"),
@@ -84,7 +91,7 @@ def pages_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as bronze rows: four topic partitions, one ingest time per hour."""
-    events = table(spark, sf_dir, "events")
+    events = spread_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
     messages = enveloped(
         events,
         F.concat(F.lit("/in/"), text("event_id"), F.lit(".xml")),
@@ -110,7 +117,7 @@ def event_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as bronze rows of which a good half is broken, each in a known way."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_table(spark, sf_dir, "orders", *ORDER_COLUMNS)
     key = text("o_orderkey")
     kind = F.pmod(F.col("o_orderkey"), F.lit(10))
     good = document(

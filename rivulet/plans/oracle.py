@@ -19,7 +19,6 @@ tx AS (
 )"""
 
 
-
 def _latest(ingested: str, where: str = "true") -> str:
     """The newest row per id; bronze received a row at `ingested`."""
     return f"""{_TRANSACTIONS},
@@ -45,7 +44,8 @@ _SNAPSHOT_BY_ARRIVAL = f"WITH {_latest('p')} SELECT {_SILVER}, CAST(p AS INTEGER
 _SIDES = """
 o AS (
   SELECT o_orderkey AS TransactionId, CAST(o_totalprice AS DECIMAL(10,2)) AS Amount, o_custkey AS CustomerId,
-         date_trunc('month', o_orderdate) AS TransactionDateTime, upper(o_orderpriority) AS Location, upper(o_orderstatus) AS Status
+         date_trunc('month', o_orderdate) AS TransactionDateTime,
+         upper(o_orderpriority) AS Location, upper(o_orderstatus) AS Status
   FROM orders
 ),
 e AS (
@@ -71,7 +71,7 @@ ORACLE: dict[str, str] = {
                CAST(ts AS VARCHAR) AS "timestamp", '0' AS "timestampType"
         FROM events""",
     "stream_landing": """
-        SELECT page_id, octet_length(encode(html)) + 1 AS n_bytes, md5(html || chr(10)) AS md5 FROM pages""",
+        SELECT true AS key_is_path, octet_length(encode(html)) + 1 AS n_bytes, md5(html || chr(10)) AS md5 FROM pages""",
     "bronze_partitions": """
         SELECT strftime(ts, '%Y-%m-%d') AS _raw_insert_date, strftime(ts, '%H') AS _raw_insert_hour,
                count(*) AS n_rows

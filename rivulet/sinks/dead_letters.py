@@ -23,7 +23,8 @@ def malformed_letters(refined: DataFrame) -> DataFrame:
     """Full bronze rows of malformed documents, with every decoding step.
 
     Only the bronze row of such a document travels with the refined rows; the
-    steps are worked out again here, for these few.
+    steps are worked out again here, for these few. Give it persisted rows: on a
+    plan that is not, Spark pushes the filter below the parse and parses twice.
     """
     bad = refined.filter(first_of_document() & F.col("_doc_reason").isNotNull())
     bronze = bad.select("_record.*")

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "8",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )
     session.sparkContext.setLogLevel("OFF")
