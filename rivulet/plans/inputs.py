@@ -188,7 +188,7 @@ def order_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders (1995 to 2001) as silver rows, unique by id, dated by the month."""
     return _silver(
         table(spark, sf_dir, "orders"),
-        F.date_trunc("month", F.col("o_orderdate")),
+        F.date_trunc("month", F.col("o_orderdate")).cast("timestamp_ntz"),
         id_=F.col("o_orderkey"),
         amount=F.col("o_totalprice"),
         customer=F.col("o_custkey"),

@@ -30,7 +30,7 @@ class CatalogTable:
 
     def upsert(self, rows: DataFrame, source: str, batch_id: int) -> bool:
         """Merges one batch, unique by key. The merge is keyed, so repeating it is harmless."""
-        rows = rows.select(*SILVER_ROW.names)
+        rows = rows.to(SILVER_ROW)
         if not self.exists():
             rows.writeTo(self.name).using(self.provider).partitionedBy(F.col(SILVER_PARTITION)).create()
             return True

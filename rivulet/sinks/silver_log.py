@@ -76,7 +76,7 @@ class SilverLog:
         version = 0 if state.last is None else state.last + 1
         # Rebalancing gathers a date's rows into few files, and splits a date
         # that is too large for one task.
-        balanced = rows.select(*SILVER_ROW.names).hint("rebalance", SILVER_PARTITION)
+        balanced = rows.to(SILVER_ROW).hint("rebalance", SILVER_PARTITION)
         balanced.write.mode("overwrite").partitionBy(SILVER_PARTITION).parquet(f"{self.root}/batch/{VERSION}={version}")
         self._commit("batch", version, source, batch_id)
         return True
