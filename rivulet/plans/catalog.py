@@ -432,7 +432,7 @@ def compacted_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest20_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = latest_silver(_fold(spark, sf_dir, "latest").snapshot())
+    newest = latest_silver(_fold(spark, sf_dir, "latest").snapshot()).withColumn("Amount", F.round("Amount", 2))
     return _silver_columns(newest, "_batch_id", F.unix_seconds("_processed_insert_timestamp").alias("processed_at"))
 
 

@@ -95,7 +95,15 @@ ORDER_EXTRA = _fields(
 VERSION = "_version"
 SILVER_ROW = T.StructType(SILVER.fields + ORDER_EXTRA.fields)
 SILVER_LOG = T.StructType(SILVER_ROW.fields + [T.StructField(VERSION, T.LongType())])
-COMMIT = _fields(kind=_STRING, version=T.LongType(), source=_STRING, batch_id=T.LongType())
+# A batch commits one row; a compaction one per date it rewrote.
+COMMIT = _fields(
+    kind=_STRING,
+    version=T.LongType(),
+    source=_STRING,
+    batch_id=T.LongType(),
+    date=_STRING,
+    holds_rows=T.BooleanType(),
+)
 
 # Dead letters. `_source` and `_batch_id` are directories, so that writing the
 # letters of a batch again replaces them.

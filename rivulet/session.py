@@ -14,14 +14,19 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
-KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13"
+# Spark lists the files of a streaming batch with one task per file, up to this many.
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+MAX_LISTING_TASKS = 10_000
 
 
 def build_session(app_name: str, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     for name, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if LISTING not in conf:
+        spark.conf.set(LISTING, min(MAX_LISTING_TASKS, 8 * spark.sparkContext.defaultParallelism))
+    return spark
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:

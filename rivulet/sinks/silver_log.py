@@ -1,14 +1,15 @@
 """Silver as a log of batches, where no table format with MERGE is at hand.
 
     batch/_version=7/TransactionDate=2024-01-31/...   latest rows of one batch
-    base/_version=6/TransactionDate=...               everything up to version 6
-    commits/                                          one row per finished write
-
-An upsert writes only the batch, never the table: readers merge. Folders are
-final once their commit row is there, and readers open only committed ones, so
-a reader never meets a half-written batch and a crashed write leaves nothing
-visible. A compaction may run next to the one job that upserts; two upserting
-jobs must not run at once.
+    base/_version=6/TransactionDate=2024-01-30/...    a date as of version 6
+    commits/                                          what is finished
+
+An upsert writes only the batch, never the table: readers merge. A compaction
+rewrites only the dates that the batches touched; every other date stays where
+an earlier one put it. Folders are final once committed, and readers open only
+committed ones, so a reader never meets a half-written batch and a crashed write
+leaves nothing visible. A compaction may run next to the one job that upserts;
+two upserting jobs must not run at once.
 """
 
 from __future__ import annotations
@@ -25,9 +26,16 @@ from rivulet.schemas import COMMIT, KEY, ORDER, SILVER, SILVER_LOG, SILVER_PARTI
 from rivulet.sources.files import read_table
 
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 @dataclass(frozen=True)
 class LiveVersions:
+    """What readers must read: per date the base version that holds it, and the
+    batches after the last compaction. Dates and open batches are both few."""
+
     base: int | None
+    dates: dict[str, int]
     batches: list[int]
 
 
@@ -43,24 +51,21 @@ class SilverLog:
     def _commits(self) -> DataFrame:
         return read_table(self.spark, f"{self.root}/commits", COMMIT)
 
-    def _commit(self, kind: str, version: int, source: str, batch_id: int | None) -> None:
-        row = self.spark.range(1).select(
-            F.lit(kind).alias("kind"),
-            F.lit(version).cast("long").alias("version"),
-            F.lit(source).cast("string").alias("source"),
-            F.lit(batch_id).cast("long").alias("batch_id"),
-        )
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+    def _commit(self, rows: DataFrame) -> None:
+        """Appends commit rows in one file, so that they appear together or not at all."""
+        rows.to(COMMIT).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
     def exists(self) -> bool:
         return not self._commits().isEmpty()
 
     def live(self) -> LiveVersions:
-        """The newest base and the batches after it; both few between compactions."""
         commits = self._commits()
-        base = commits.filter(F.col("kind") == "base").agg(F.max("version")).first()[0]
-        batches = commits.filter((F.col("kind") == "batch") & (F.col("version") > F.lit(-1 if base is None else base)))
-        return LiveVersions(base, sorted(r.version for r in batches.select("version").distinct().collect()))
+        base = commits.filter(F.col("kind") == "base")
+        newest = base.groupBy("date").agg(F.max_by(F.struct("version", "holds_rows"), "version").alias("at"))
+        dates = {r.date: r.at.version for r in newest.collect() if r.at.holds_rows}
+        last = base.agg(F.max("version")).first()[0]
+        batches = commits.filter((F.col("kind") == "batch") & (F.col("version") > F.lit(-1 if last is None else last)))
+        return LiveVersions(last, dates, sorted(r.version for r in batches.select("version").distinct().collect()))
 
     def upsert(self, rows: DataFrame, source: str, batch_id: int) -> bool:
         """Adds one batch, unique by key; False if this batch is there already."""
@@ -78,22 +83,27 @@ class SilverLog:
         # that is too large for one task.
         balanced = rows.to(SILVER_ROW).hint("rebalance", SILVER_PARTITION)
         balanced.write.mode("overwrite").partitionBy(SILVER_PARTITION).parquet(f"{self.root}/batch/{VERSION}={version}")
-        self._commit("batch", version, source, batch_id)
+        done = self.spark.range(1).select(
+            F.lit("batch").alias("kind"),
+            F.lit(version).alias("version"),
+            F.lit(source).alias("source"),
+            F.lit(batch_id).alias("batch_id"),
+        )
+        self._commit(done)
         return True
 
-    def _read(self, kind: str, versions: Sequence[int]) -> DataFrame:
-        folder = f"{self.root}/{kind}"
-        if not versions:
+    def _read(self, kind: str, folders: Sequence[str]) -> DataFrame:
+        root = f"{self.root}/{kind}"
+        if not folders:
             return self.spark.createDataFrame([], SILVER_LOG)
-        paths = [f"{folder}/{VERSION}={v}" for v in versions]
-        return self.spark.read.schema(SILVER_LOG).option("basePath", folder).parquet(*paths)
+        paths = [f"{root}/{folder}" for folder in folders]
+        return self.spark.read.schema(SILVER_LOG).option("basePath", root).parquet(*paths)
 
-    def _merged(self, live: LiveVersions) -> DataFrame:
-        batches = self._read("batch", live.batches)
-        if live.base is None:
-            return latest_per_key(batches, KEY, self.order) if len(live.batches) > 1 else batches
-        base = self._read("base", [live.base])
-        return merge_upsert(base, batches, KEY, self.order) if live.batches else base
+    def _base(self, live: LiveVersions) -> DataFrame:
+        return self._read("base", [f"{VERSION}={v}/{SILVER_PARTITION}={date}" for date, v in live.dates.items()])
+
+    def _batches(self, live: LiveVersions) -> DataFrame:
+        return self._read("batch", [f"{VERSION}={v}" for v in live.batches])
 
     def snapshot(self, fixed_dates: bool = False) -> DataFrame:
         """The table now: one row per transaction id.
@@ -103,28 +113,49 @@ class SilverLog:
         date, the date is part of the key and a filter on it prunes partitions.
         """
         live = self.live()
-        if not fixed_dates:
-            return self._merged(live).select(*SILVER.names)
-        rows = self._read("base", [] if live.base is None else [live.base])
-        rows = rows.unionByName(self._read("batch", live.batches))
-        return latest_per_key(rows, [SILVER_PARTITION, KEY], self.order).select(*SILVER.names)
+        base, batches = self._base(live), self._batches(live)
+        if not live.batches:
+            rows = base
+        elif fixed_dates:
+            rows = latest_per_key(base.unionByName(batches), [SILVER_PARTITION, KEY], self.order)
+        elif live.dates:
+            rows = merge_upsert(base, batches, KEY, self.order)
+        else:
+            rows = latest_per_key(batches, KEY, self.order) if len(live.batches) > 1 else batches
+        return rows.select(*SILVER.names)
 
     def compact(self) -> bool:
-        """Folds the batches into a new base, clustered by amount within the date.
+        """Folds the batches into the base, clustered by amount within the date.
 
-        The range split ends with the key, which is unique, so neither a hot
-        date nor a common amount can fill one task.
+        The dates to rewrite are those of the batch rows and of the base rows
+        they replace; a scan of the base's keys finds the latter. The range split
+        ends with the key, which is unique, so neither a hot date nor a common
+        amount can fill one task.
         """
         live = self.live()
         if not live.batches:
             return False
         version = max(live.batches)
+        base, batches = self._base(live), self._batches(live)
+        replaced = base.join(batches.select(KEY), KEY, "left_semi")
+        touched = self._dates(batches.select(SILVER_PARTITION).unionByName(replaced.select(SILVER_PARTITION)))
+        rewritten = self._base(
+            LiveVersions(live.base, {d: v for d, v in live.dates.items() if d in touched}, live.batches)
+        )
         clustered = (
-            self._merged(live)
+            merge_upsert(rewritten, batches, KEY, self.order)
             .select(*SILVER_ROW.names)
             .repartitionByRange(SILVER_PARTITION, "Amount", KEY)
             .sortWithinPartitions(SILVER_PARTITION, "Amount")
         )
-        clustered.write.mode("overwrite").partitionBy(SILVER_PARTITION).parquet(f"{self.root}/base/{VERSION}={version}")
-        self._commit("base", version, "compaction", None)
+        folder = f"{self.root}/base/{VERSION}={version}"
+        clustered.write.mode("overwrite").partitionBy(SILVER_PARTITION).parquet(folder)
+        filled = self._dates(self.spark.read.schema(SILVER_ROW).parquet(folder).select(SILVER_PARTITION))
+        done = [("base", version, "compaction", None, date, date in filled) for date in sorted(touched)]
+        self._commit(self.spark.createDataFrame(done, COMMIT))
         return True
+
+    def _dates(self, rows: DataFrame) -> set[str]:
+        """The distinct dates of some rows, as they are written in folder names."""
+        name = F.coalesce(F.col(SILVER_PARTITION).cast("string"), F.lit(NULL_PARTITION))
+        return {r.date for r in rows.select(name.alias("date")).distinct().collect()}

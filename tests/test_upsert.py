@@ -138,11 +138,10 @@ def test_batch_committed_while_compacting_survives(spark, log, monkeypatch):
     log.upsert(frame(spark, [row(1, 1, 10)]), "q", 0)
     commit = log._commit
 
-    def slow_commit(kind, *args):
-        if kind == "base":
-            monkeypatch.setattr(log, "_commit", commit)
-            log.upsert(frame(spark, [row(1, 2, 11), row(2, 2, 20)]), "q", 1)
-        commit(kind, *args)
+    def slow_commit(rows):
+        monkeypatch.setattr(log, "_commit", commit)
+        log.upsert(frame(spark, [row(1, 2, 11), row(2, 2, 20)]), "q", 1)
+        commit(rows)
 
     monkeypatch.setattr(log, "_commit", slow_commit)
     log.compact()
@@ -160,6 +159,37 @@ def test_fixed_dates_prune_partitions(spark, log):
     assert content(log.snapshot(fixed_dates=True)) == content(log.snapshot())
 
 
+def test_compaction_leaves_untouched_dates_alone(spark, log):
+    log.upsert(frame(spark, [row(k, 1, k, date=k % 4) for k in range(1, 9)]), "q", 0)
+    log.compact()
+    # Key 1 moves from date 1 to date 5, key 2 stays on its date; key 9 is new on date 5.
+    log.upsert(frame(spark, [row(1, 2, 91, date=5), row(2, 2, 92, date=2), row(9, 2, 99, date=5)]), "q", 1)
+    before = content(log.snapshot())
+    log.compact()
+    assert log.live().dates == {
+        "2024-01-01": 0,
+        "2024-01-02": 1,
+        "2024-01-03": 1,
+        "2024-01-04": 0,
+        "2024-01-06": 1,
+    }
+    assert content(log.snapshot()) == before
+    assert before == [(1, 91), (2, 92), (3, 3), (4, 4), (5, 5), (6, 6), (7, 7), (8, 8), (9, 99)]
+
+
+def test_a_date_that_lost_its_rows_is_gone(spark, log):
+    log.upsert(frame(spark, [row(1, 1, 10, date=0), row(2, 1, 20, date=1)]), "q", 0)
+    log.compact()
+    log.upsert(frame(spark, [row(1, 2, 11, date=1)]), "q", 1)
+    log.compact()
+    assert log.live().dates == {"2024-01-02": 1}
+    assert content(log.snapshot()) == [(1, 11), (2, 20)]
+    log.upsert(frame(spark, [row(3, 3, 30, date=0)]), "q", 2)
+    log.compact()
+    assert log.live().dates == {"2024-01-01": 2, "2024-01-02": 1}
+    assert content(log.snapshot()) == [(1, 11), (2, 20), (3, 30)]
+
+
 def test_null_dates_are_kept_once(spark, log):
     def undated(order, amount):
         return (1, amount, 1, None, None, *row(1, order, amount)[5:])
@@ -187,7 +217,7 @@ def test_compaction_clusters_by_amount_within_the_date(spark, log):
     assert "Exchange" not in plan and "Window" not in plan
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
         st.lists(st.tuples(st.integers(1, 6), st.integers(0, 1000), st.integers(0, 2)), min_size=1, max_size=8),
