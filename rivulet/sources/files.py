@@ -14,7 +14,9 @@ def stream_files(spark: SparkSession, directory: str, **options: str) -> DataFra
 
     Useful options: `pathGlobFilter`, `maxFilesPerTrigger`, `maxBytesPerTrigger`,
     `recursiveFileLookup`. Zero-length files and names that begin with "_" or
-    "." give no row.
+    "." give no row. Spark also passes over a file whose time lies more than
+    `maxFileAge` (a week) behind the newest one seen: raise that where files
+    arrive with old times.
     """
     return spark.readStream.format("binaryFile").schema(FILE_ROW).options(**options).load(directory)
 

@@ -244,6 +244,11 @@ def test_replay_can_be_narrowed(spark, zones):
     assert set(amounts(table)) == {1}
 
 
+def test_replay_needs_the_guard(spark, zones):
+    with pytest.raises(ValueError, match="guard"):
+        replay_failed_batches(spark, zones, SilverLog(spark, zones.silver, order_guard=False))
+
+
 def test_failing_letters_fail_the_query(spark, zones, monkeypatch):
     monkeypatch.setattr(silver_job, "write_failed_batch", lambda *_: (_ for _ in ()).throw(OSError("dlq gone")))
 

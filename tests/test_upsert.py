@@ -71,6 +71,24 @@ def test_small_source_does_not_shuffle_the_target(spark, tmp_path):
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
+def test_large_source_merges_by_shuffle_once_per_side(spark, tmp_path):
+    """Beyond the broadcast limit the target is shuffled, but only once for both joins."""
+    frame(spark, [row(k, 5, k) for k in range(200)]).write.parquet(f"{tmp_path}/t")
+    frame(spark, [row(k, k % 10, 1000 + k) for k in range(100, 300)]).write.parquet(f"{tmp_path}/s")
+    target, source = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s")
+    expected = content(merge_upsert(target, source, KEY, ORDER))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge_upsert(target, source, KEY, ORDER)
+        assert content(merged) == expected
+        merged.collect()
+        final = merged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "SortMergeJoin" in final and "BroadcastHashJoin" not in final and "ReusedExchange" in final
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 # The log
 
 
@@ -159,6 +177,36 @@ def test_fixed_dates_prune_partitions(spark, log):
     assert content(log.snapshot(fixed_dates=True)) == content(log.snapshot())
 
 
+def test_a_hot_date_is_split_over_tasks(spark, log):
+    """All rows on one date: rebalancing cuts them by size, each task writes its part."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    one = row(1, 1)
+    rows = spark.range(0, 200_000, 1, 8).select(
+        F.col("id").alias(KEY),
+        F.col("id").cast("decimal(10,2)").alias("Amount"),
+        F.col("id").alias("CustomerId"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("TransactionDateTime"),
+        F.lit(one[4]).alias("TransactionDate"),
+        F.lit("X").alias("Location"),
+        F.lit("Y").alias("Status"),
+        F.lit(T0).alias("_processed_insert_timestamp"),
+        F.lit(T0).alias("_raw_insert_timestamp"),
+        F.lit(0).alias("_batch_id"),
+        F.lit(T0).alias("_topic_timestamp"),
+        F.lit(0).alias("_topic_partition"),
+        F.col("id").alias("_topic_offset"),
+        F.lit(0).alias("_position"),
+    )
+    spark.conf.set(size, "1MB")
+    try:
+        log.upsert(rows, "q", 0)
+    finally:
+        spark.conf.set(size, before)
+    assert len(log.snapshot().inputFiles()) > 3
+    assert log.snapshot().count() == 200_000
+
+
 def test_compaction_leaves_untouched_dates_alone(spark, log):
     log.upsert(frame(spark, [row(k, 1, k, date=k % 4) for k in range(1, 9)]), "q", 0)
     log.compact()
