@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--attempts", type=int, help="attempts before giving up (silver: 3, others: no limit)")
     parser.add_argument("--documents", type=int, help="generate this many documents, then stop")
     parser.add_argument("--rate", type=int, default=1, help="documents per second to generate without --documents")
+    parser.add_argument("--files", type=int, help="most bronze files per batch")
+    parser.add_argument("--since", type=date.fromisoformat, help="first bronze date that silver looks at")
     parser.add_argument("--max-bytes", help="most bytes of one silver batch")
     return parser.parse_args(argv)
 
@@ -77,7 +80,7 @@ def bronze(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
 
     trigger = DRAIN if args.drain else EVERY_MINUTE
     run_with_restarts(
-        lambda: start_bronze(records(), zones.bronze, zones.bronze_failed, zones.checkpoint("raw"), trigger),
+        lambda: start_bronze(records(), zones.bronze, zones.bronze_failed, zones.checkpoint("raw"), trigger, args.files),
         args.attempts,
     )
 
@@ -85,7 +88,7 @@ def bronze(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
 def silver(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
     limit = {"maxBytesPerTrigger": args.max_bytes} if args.max_bytes else {}
     table = _silver_table(spark, args, zones)
-    run_with_restarts(lambda: start_silver(spark, zones, table, **limit), args.attempts or 3)
+    run_with_restarts(lambda: start_silver(spark, zones, table, since=args.since, **limit), args.attempts or 3)
 
 
 def compact(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:

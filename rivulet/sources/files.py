@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -21,9 +23,32 @@ def stream_files(spark: SparkSession, directory: str, **options: str) -> DataFra
     return spark.readStream.format("binaryFile").schema(FILE_ROW).options(**options).load(directory)
 
 
-def stream_bronze(spark: SparkSession, bronze: str, **options: str) -> DataFrame:
-    """Bronze rows as they are appended, partition columns as DATE and "HH" text."""
-    return spark.readStream.schema(BRONZE).options(**options).parquet(bronze)
+def stream_bronze(spark: SparkSession, bronze: str, since: date | None = None, **options: str) -> DataFrame:
+    """Bronze rows as they are appended, partition columns as DATE and "HH" text.
+
+    Spark lists the whole folder for every batch, which gets slow as bronze
+    grows. `since` leaves out the dates before it. It must not be later than the
+    oldest date that may hold files the query has not read.
+    """
+    stream = spark.readStream.schema(BRONZE).options(**options)
+    if since is None:
+        return stream.parquet(bronze)
+    return stream.option("basePath", bronze).parquet(f"{bronze}/_raw_insert_date={{{','.join(dates_from(since))}}}")
+
+
+def dates_from(first: date) -> list[str]:
+    """Path patterns that match `first` and every later ISO date, with no end.
+
+    A later date agrees with the first up to some digit, has a greater one there,
+    and may be anything after it.
+    """
+    day = first.isoformat()
+    later = [
+        f"{day[:i]}[{int(digit) + 1}-9]{''.join('-' if c == '-' else '?' for c in day[i + 1:])}"
+        for i, digit in enumerate(day)
+        if digit.isdigit() and digit != "9"
+    ]
+    return [day, *later]
 
 
 def stream_topic_log(spark: SparkSession, directory: str, **options: str) -> DataFrame:

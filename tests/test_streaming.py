@@ -1,5 +1,6 @@
+import fnmatch
 import os
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from documents import CASES, SAMPLE, data, transaction
@@ -14,7 +15,15 @@ from rivulet.schemas import BRONZE, BRONZE_FAILED, FAILED_BATCH, MALFORMED, REJE
 from rivulet.sinks.bronze import append_bronze
 from rivulet.sinks.silver_log import SilverLog
 from rivulet.sinks.topic import kafka_writer
-from rivulet.sources.files import read_bronze, read_merged, read_table, stream_topic_log, stream_transactions
+from rivulet.sources.files import (
+    dates_from,
+    read_bronze,
+    read_merged,
+    read_table,
+    stream_bronze,
+    stream_topic_log,
+    stream_transactions,
+)
 from rivulet.sources.kafka import kafka_options, stream_kafka
 from rivulet.streaming import bronze as bronze_job
 from rivulet.streaming import silver as silver_job
@@ -172,6 +181,39 @@ def test_backlog_in_bounded_batches(spark, zones, limit):
     assert len(table.live().batches) == 3 and set(amounts(table)) == {0, 1, 2}
 
 
+def test_since_leaves_out_older_dates(spark, zones):
+    table = SilverLog(spark, zones.silver)
+    for day in (29, 30, 31):
+        at = batch_time(datetime(2024, 1, day, 5, tzinfo=timezone.utc))
+        append_bronze(topic(spark, [message(envelope(data(transaction(str(day)))), day)]), zones.bronze, at)
+    drain(start_silver(spark, zones, table, since=date(2024, 1, 30)))
+    assert set(amounts(table)) == {30, 31}
+    later = batch_time(datetime(2024, 2, 1, tzinfo=timezone.utc))
+    append_bronze(topic(spark, [message(envelope(data(transaction("32"))), 32)]), zones.bronze, later)
+    drain(start_silver(spark, zones, table, since=date(2024, 1, 31)))  # same checkpoint: nothing twice
+    assert set(amounts(table)) == {30, 31, 32} and len(table.live().batches) == 2
+    stream = stream_bronze(spark, zones.bronze, date(2024, 2, 1))
+    query = stream.writeStream.format("memory").queryName("since").trigger(availableNow=True).start()
+    drain(query)
+    row = spark.table("since").first()
+    assert (str(row._raw_insert_date), row._raw_insert_hour) == ("2024-02-01", "00")
+
+
+@pytest.mark.parametrize("first", ["2024-01-30", "2019-12-31", "2024-09-09", "1999-10-01"])
+def test_date_patterns_match_that_day_and_all_later_ones(first):
+    day = date.fromisoformat(first)
+    patterns = dates_from(day)
+    for offset in list(range(-800, 800)) + [-5000, -3000, 3000, 9000]:
+        other = day + timedelta(days=offset)
+        assert any(fnmatch.fnmatchcase(other.isoformat(), p) for p in patterns) == (other >= day), other
+
+
+def test_bronze_files_per_batch(spark, zones):
+    records = topic(spark, [message("x", i) for i in range(64)]).repartition(16)
+    assert append_bronze(records, zones.bronze, batch_time(), files=2) == 64
+    assert len(read_bronze(spark, zones.bronze).inputFiles()) == 2
+
+
 def test_lost_checkpoint_reprocesses_without_harm(spark, zones, tmp_path):
     table = SilverLog(spark, zones.silver)
     to_bronze(spark, zones, data(transaction("1", "10")), hour=1)
