@@ -68,7 +68,8 @@ def land(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
         )
     else:
         run_with_restarts(
-            lambda: land_to_log(spark, zones.landing, zones.topic_log, args.topic, checkpoint, trigger), args.attempts
+            lambda: land_to_log(spark, zones.landing, zones.topic_log, args.topic, checkpoint, trigger),
+            args.attempts,
         )
 
 

@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def batch_time(at: datetime | None = None) -> Column:
@@ -14,7 +15,7 @@ def batch_time(at: datetime | None = None) -> Column:
     Taken on the driver, as `current_timestamp()` would differ between the
     several actions of one batch. `at` must carry a time zone.
     """
-    return F.lit(at or datetime.now(timezone.utc)).cast("timestamp")
+    return F.lit(at or datetime.now(timezone.utc)).cast(T.TimestampType())
 
 
 def with_audit(df: DataFrame, prefix: str, at: Column | None = None) -> DataFrame:

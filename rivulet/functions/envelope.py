@@ -30,9 +30,11 @@ def decode_envelope(messages: DataFrame, value: str = "value") -> DataFrame:
     exactly when there is a reason.
     """
     envelope = F.from_json(value, _ENVELOPE_OR_CORRUPT, {"columnNameOfCorruptRecord": CORRUPT})
+    # Line breaks may wrap base64, but Spark takes one after the padding for an error.
+    content = F.rtrim(F.col("json_data.content"), F.lit(" \t\r\n"))
     decoded = messages.withColumn("json_data", envelope).withColumn(
         "decoded_content",
-        F.when(F.col(f"json_data.{CORRUPT}").isNull(), F.try_to_binary(F.col("json_data.content"), F.lit("base64"))),
+        F.when(F.col(f"json_data.{CORRUPT}").isNull(), F.try_to_binary(content, F.lit("base64"))),
     )
     return (
         decoded.withColumn("_decode_reason", _decode_reason())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivulet.schemas import AMOUNT
 
@@ -30,8 +31,8 @@ def event_time(text: Column) -> Column:
     which the zoned cast would complete with today's date.
     """
     return F.when(
-        present(text).try_cast("timestamp_ntz").isNotNull(),
-        text.try_cast("timestamp").cast("timestamp_ntz"),
+        present(text).try_cast(T.TimestampNTZType()).isNotNull(),
+        text.try_cast(T.TimestampType()).cast(T.TimestampNTZType()),
     )
 
 

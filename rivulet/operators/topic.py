@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivulet.operators.latest import latest_per_key
 from rivulet.schemas import TOPIC_COLUMNS
@@ -27,7 +28,7 @@ def with_topic_order(bronze: DataFrame) -> DataFrame:
     """Typed order columns from the text that bronze holds."""
     return bronze.withColumns(
         {
-            "_topic_timestamp": F.col("timestamp").try_cast("timestamp"),
+            "_topic_timestamp": F.col("timestamp").try_cast(T.TimestampType()),
             "_topic_partition": F.col("partition").try_cast("int"),
             "_topic_offset": F.col("offset").try_cast("bigint"),
         }

@@ -154,7 +154,8 @@ def bronze_failed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_dedup_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = inputs.event_bronze(spark, sf_dir)
-    appended_again = bronze.withColumn("_raw_insert_timestamp", F.col("_raw_insert_timestamp") + F.make_dt_interval(F.lit(1)))
+    next_day = F.col("_raw_insert_timestamp") + F.make_dt_interval(F.lit(1))
+    appended_again = bronze.withColumn("_raw_insert_timestamp", next_day)
     once = dedup_offsets(bronze.unionByName(appended_again))
     return once.select("topic", "partition", "offset", "key", _time("_raw_insert_timestamp"))
 
@@ -265,12 +266,11 @@ def clean_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 3, F.concat(text(price), F.lit("5")))
         .otherwise(text(price))
     )
+    key, no_time = text("o_orderkey"), F.lit(None).cast("string")
     rows = table(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.lit(0).alias("_position"),
-        transaction(text("o_orderkey"), raw, text("o_custkey"), F.lit(None).cast("string"), F.lit("x"), F.lit("y")).alias(
-            "_transaction"
-        ),
+        transaction(key, raw, text("o_custkey"), no_time, F.lit("x"), F.lit("y")).alias("_transaction"),
     )
     flagged = rows.withColumn("invalid", amount_invalid(F.col("_transaction.Amount")))
     return clean_transactions(flagged).select("o_orderkey", text("Amount").alias("amount"), "invalid")

@@ -82,7 +82,8 @@ ORACLE: dict[str, str] = {
                strftime(ts, {_MICROS}) AS "timestamp", true AS audit_consistent
         FROM events""",
     "bronze_failed_batch": """
-        SELECT CAST(0 AS INTEGER) AS _batch_id, count(*) AS n_rows, count(*) AS n_payloads, count(*) AS n_explained
+        SELECT CAST(0 AS INTEGER) AS _batch_id,
+               count(*) AS n_rows, count(*) AS n_payloads, count(*) AS n_explained
         FROM events""",
     "bronze_dedup_offsets": f"""
         SELECT 'transactions' AS topic, CAST(event_id % 4 AS VARCHAR) AS partition,
@@ -138,7 +139,9 @@ ORACLE: dict[str, str] = {
         SELECT {_SILVER} FROM o""",
     "latest_per_key": f"WITH {_LATEST} SELECT {_SILVER} FROM latest",
     "latest_by_user": f"""
-        WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+        WITH r AS (
+          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events
+        )
         SELECT user_id, event_id, event_type, strftime(ts, {_MICROS}) AS ts FROM r WHERE rn = 1""",
     "merge_upsert": f"WITH {_SIDES}, m AS ({_EVENTS_WIN}) SELECT {_SILVER} FROM m",
     "merge_null_keys": f"""

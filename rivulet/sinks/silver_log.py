@@ -61,10 +61,10 @@ class SilverLog:
 
     def live(self) -> LiveVersions:
         commits = self._commits()
-        base = commits.filter(F.col("kind") == "base")
-        newest = base.groupBy("date").agg(F.max_by(F.struct("version", "holds_rows"), "version").alias("at"))
-        dates = {r.date: r.at.version for r in newest.collect() if r.at.holds_rows}
-        last = base.agg(F.max("version")).first()[0]
+        base = commits.filter(F.col("kind") == "base").groupBy("date")
+        newest = base.agg(F.max_by(F.struct("version", "holds_rows"), "version").alias("at")).collect()
+        dates = {r.date: r.at.version for r in newest if r.at.holds_rows}
+        last = max((r.at.version for r in newest), default=None)
         batches = commits.filter((F.col("kind") == "batch") & (F.col("version") > F.lit(-1 if last is None else last)))
         return LiveVersions(last, dates, sorted(r.version for r in batches.select("version").distinct().collect()))
 

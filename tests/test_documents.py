@@ -1,3 +1,5 @@
+import base64
+import json
 from datetime import datetime
 
 import pytest
@@ -117,6 +119,24 @@ def test_envelope_roundtrip_of_any_bytes(spark):
     assert decode_envelope(messages).schema["json_data"].dataType == ENVELOPE
 
 
+def test_base64_may_be_wrapped(spark):
+    """MIME line breaks inside the content are no fault."""
+    document = data(*[transaction(str(i)) for i in range(9)])
+    wrapped = base64.encodebytes(document.encode()).decode()
+    value = json.dumps({"path": "a", "content": wrapped})
+    assert decode_envelope(bronze(spark, [message(value)])).first().xml_content == document
+
+
+def test_the_default_timestamp_type_does_not_matter(spark):
+    rows = documents(spark, data(transaction("1", time="2024-01-31T04:08:41+02:00")))
+    spark.conf.set("spark.sql.timestampType", "TIMESTAMP_NTZ")
+    try:
+        found = silver_rows(refine(rows), 0, F.current_timestamp()).select("TransactionDateTime").first()[0]
+    finally:
+        spark.conf.unset("spark.sql.timestampType")
+    assert str(found) == "2024-01-31 02:08:41"
+
+
 def test_explode_drops_or_keeps_empty_documents(spark):
     parsed = parse_documents(decode_envelope(documents(spark, data(), data(transaction(), transaction()))))
     slim = parsed.select("key", "parsed")

@@ -32,6 +32,9 @@ def test_query_equals_its_sql(spark, duck, name):
     expected = _canonical(relation.fetchall(), relation.columns)
     assert _canonical([tuple(r) for r in result.collect()], result.columns) == expected
     assert expected
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
+        assert unwanted not in plan
 
 
 def test_entry(spark):
