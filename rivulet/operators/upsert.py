@@ -22,7 +22,9 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str, order: Sequence
     the target is never shuffled. The source is read once for its keys and once
     for its rows; persist it if it is dear to compute.
     """
-    keys = source.select(key)
+    # Distinct keys: a repeated one is folded before the shuffle, and the joins
+    # below use the partitioning this leaves behind.
+    keys = source.select(key).distinct()
     untouched = target.join(keys, key, "left_anti").select(*target.columns)
     if order is None:
         return untouched.unionByName(source)

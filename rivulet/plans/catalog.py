@@ -147,7 +147,7 @@ def bronze_failed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     letters = read_table(spark, zones.bronze_failed, BRONZE_FAILED)
     return letters.groupBy("_batch_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("xml_data").alias("n_payloads"),
+        F.count_distinct(F.md5("xml_data")).alias("n_payloads"),
         F.count_if(F.contains("_raw_error_text", F.lit("no-such-filesystem"))).alias("n_explained"),
     )
 

@@ -138,7 +138,7 @@ class SilverLog:
             return False
         version = max(live.batches)
         base, batches = self._base(live), self._batches(live)
-        replaced = base.join(batches.select(KEY), KEY, "left_semi")
+        replaced = base.join(batches.select(KEY).distinct(), KEY, "left_semi")
         touched = self._dates(batches.select(SILVER_PARTITION).unionByName(replaced.select(SILVER_PARTITION)))
         rewritten = self._base(
             LiveVersions(live.base, {d: v for d, v in live.dates.items() if d in touched}, live.batches)

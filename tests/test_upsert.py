@@ -65,10 +65,21 @@ def test_small_source_does_not_shuffle_the_target(spark, tmp_path):
     frame(spark, [row(k, 1, k) for k in range(100)]).write.parquet(f"{tmp_path}/t")
     frame(spark, [row(k, 2, k) for k in range(5)]).write.parquet(f"{tmp_path}/s")
     target, source = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s")
-    merged = merge_upsert(target, source, KEY)
-    assert merged.count() == 100
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    for order in (None, ORDER):
+        merged = merge_upsert(target, source, KEY, order)
+        assert len(merged.collect()) == 100
+        plan = merged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        if order is None:  # the only shuffle is that of the distinct keys
+            assert plan.count("hashpartitioning(TransactionId") == 1
+
+
+def test_a_repeated_source_key_costs_one_row_per_task(spark):
+    source = spark.range(0, 300_000, 1, 8).select(F.lit(7).cast("long").alias(KEY), F.col("id").alias("v"))
+    target = spark.range(10).select(F.col("id").alias(KEY), F.lit(-1).cast("long").alias("v"))
+    merged = merge_upsert(target, source, KEY, ["v"])
+    found = {r[0]: r[1] for r in merged.collect()}
+    assert found == {**{k: -1 for k in range(10)}, 7: 299_999}
 
 
 def test_large_source_merges_by_shuffle_once_per_side(spark, tmp_path):
