@@ -79,6 +79,23 @@ CASES = {
         0,
         0,
     ),
+    "spaced_end": (
+        data(transaction("1").replace("</Transaction>", "</Transaction\n >"), transaction("2")) + data(transaction("3")),
+        "malformed",
+        "unread_transactions",
+        2,
+        0,
+    ),
+    "spaced_end_ok": (data(transaction("1").replace("</Transaction>", "</Transaction  >")), "valid", None, 1, 0),
+    "like_named": (data(transaction("1"), "<TransactionType>x</TransactionType>"), "valid", None, 1, 0),
+    "prefixed_beside": (
+        data(transaction("1"), '<d:Transaction xmlns:d="u"><d:TransactionId>2</d:TransactionId></d:Transaction>'),
+        "malformed",
+        "unread_transactions",
+        1,
+        0,
+    ),
+    "with_attributes": (data(transaction("1").replace("<Transaction>", '<Transaction at="x">')), "valid", None, 1, 0),
     "nested": (data(f"<Group>{transaction()}</Group>"), "malformed", "unread_transactions", 0, 0),
     "commented_out": (data(transaction(), f"<!-- {transaction('9')} -->"), "valid", None, 1, 0),
     "cdata": (data(transaction(place="<![CDATA[</Transaction>]]>")), "valid", None, 1, 0),
