@@ -1,4 +1,4 @@
-"""Command line: `spark-submit ... -m rivulet <job> --root <folder>`."""
+"""Command line: `python -m rivulet <job> --root <folder>`, or `spark-submit job.py ...`."""
 
 from __future__ import annotations
 

@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.functions.envelope import wrap_files
 from rivulet.schemas import AMOUNT, BRONZE, SILVER_ROW
 from rivulet.session import spread
 
+_REST = "</TransactionId></Transaction></Data>"
 _ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 TOPIC_NAME = "transactions"
 BATCHES = 4
@@ -135,14 +135,17 @@ def order_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     xml = (
         F.when(kind == 0, F.concat(F.lit("<Data><Transaction><TransactionId>"), key))
         .when(kind == 1, F.lit("<Data/>"))
-        .when(kind == 5, F.concat(F.lit("<Data/><Data><Transaction><TransactionId>"), key,
-                                  F.lit("</TransactionId></Transaction></Data>")))
+        .when(kind == 5, F.concat(F.lit("<Data/><Data><Transaction><TransactionId>"), key, F.lit(_REST)))
         .otherwise(good)
     )
+    no_utf8 = F.concat(F.encode(key, "UTF-8"), F.unhex(F.lit("FF")))
     messages = enveloped(
-        orders, key, F.col("o_orderdate").cast("timestamp"),
-        F.when(kind == 4, F.concat(F.encode(key, "UTF-8"), F.unhex(F.lit("FF")))).otherwise(F.encode(xml, "UTF-8")),
-        "o_orderkey", "o_orderdate",
+        orders,
+        key,
+        F.col("o_orderdate").cast("timestamp"),
+        F.when(kind == 4, no_utf8).otherwise(F.encode(xml, "UTF-8")),
+        "o_orderkey",
+        "o_orderdate",
     )
     value = (
         F.when(kind == 2, F.concat(F.lit('{"path":"p","content":"###'), key, F.lit('"}')))

@@ -251,6 +251,14 @@ def test_dead_letters_of_a_mixed_batch(spark, zones):
     assert None not in amounts(table)
 
 
+def test_letters_are_gathered_into_few_files(spark, zones):
+    batch = documents(spark, *["junk"] * 32, *[data(transaction("abc"))] * 32).repartition(16)
+    process_batch(batch, 0, "q", SilverLog(spark, zones.silver), zones)
+    for path, schema in ((zones.malformed, MALFORMED), (zones.rejected, REJECTED)):
+        letters = read_table(spark, path, schema)
+        assert letters.count() == 32 and len(letters.inputFiles()) == 1
+
+
 def test_failed_batch_is_kept_swallowed_and_replayed(spark, zones):
     table = SilverLog(spark, zones.silver)
 
