@@ -7,7 +7,9 @@ import duckdb
 import pytest
 from conftest import SF_DIR
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from rivulet.plans.catalog import QUERIES
+from rivulet.plans.oracle import ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -24,10 +26,10 @@ def _canonical(rows, columns):
     return sorted(tuple(repr(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
-    result = queries()[name](spark, SF_DIR)
-    relation = duck.sql(oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    relation = duck.sql(ORACLE[name])
     assert sorted(result.columns) == sorted(relation.columns)
     expected = _canonical(relation.fetchall(), relation.columns)
     assert _canonical([tuple(r) for r in result.collect()], result.columns) == expected
@@ -42,4 +44,4 @@ def test_entry(spark):
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
