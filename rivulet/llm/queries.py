@@ -8,11 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.llm.chat import conversation_digests, format_conversations
 from rivulet.llm.exact import exact_groups
 from rivulet.llm.language import predict_languages
 from rivulet.llm.mixing import mix
 from rivulet.llm.near import near_classes
 from rivulet.llm.packing import packed_documents
+from rivulet.llm.pii import personal_data
+from rivulet.llm.topk import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZERS = os.environ.get("RIVULET_TOKENIZERS", "/opt/tokenizers")
@@ -27,6 +30,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+CONTROL_CONVERSATION = -7
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(CONTROL_CONVERSATION).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    return conversation_digests(format_conversations(turns.unionByName(control), tokenizer()))
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter(F.pmod(F.col("vec_id"), F.lit(50)) == 0), 5)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).drop("n_chars")
 
@@ -48,10 +75,13 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_chat_format": op1_chat_format,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_mixing": op5_mixing,
+    "op6_personal_data": op6_personal_data,
     "op7_packing": op7_packing,
     "op8_near_dedup": op8_near_dedup,
+    "op9_top_k": op9_top_k,
     "op10_language": op10_language,
 }
 
@@ -70,4 +100,21 @@ ORACLE: dict[str, str] = {
         FROM plain
         WINDOW w AS (PARTITION BY body ORDER BY chars DESC, doc_id NULLS LAST)
     """,
+    "op9_top_k": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM scored
+        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER w <= 5
+    """,
 }
