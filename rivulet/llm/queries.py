@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from rivulet.llm.chat import conversation_digests, format_conversations
 from rivulet.llm.exact import exact_groups
 from rivulet.llm.language import predict_languages
+from rivulet.llm.lm import score_documents
 from rivulet.llm.mixing import mix
 from rivulet.llm.near import near_classes
 from rivulet.llm.packing import packed_documents
 from rivulet.llm.pii import personal_data
+from rivulet.llm.repeats import remove_repeats
 from rivulet.llm.topk import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +56,14 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter(F.pmod(F.col("vec_id"), F.lit(50)) == 0), 5)
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), tokenizer())
+
+
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).drop("n_chars")
 
@@ -76,6 +86,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
+    "op2_lm_score": op2_lm_score,
+    "op3_repeats": op3_repeats,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_mixing": op5_mixing,
     "op6_personal_data": op6_personal_data,
