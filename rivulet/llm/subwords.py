@@ -13,7 +13,7 @@ from __future__ import annotations
 import base64
 import re
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -105,6 +105,7 @@ class Subwords:
             for line in lines:
                 token, rank = line.split()
                 ranks[base64.b64decode(token)] = int(rank)
+        self.ranks = ranks
         pattern = r"[\s\S]+"  # what it is given is a pre-token already
         self.pieces = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self._reset()
@@ -116,6 +117,15 @@ class Subwords:
         self.offsets = np.zeros(1 << 14, dtype=np.int64)
         self.counts = np.zeros(1 << 14, dtype=np.int64)
 
+    @cached_property
+    def sizes(self) -> np.ndarray:
+        """Bytes of each id."""
+        out = np.zeros(len(self.ranks) + 1, dtype=np.int64)
+        for token, rank in self.ranks.items():
+            out[rank] = len(token)
+        out[self.tokenizer.token_to_id(SPECIAL)] = len(SPECIAL)
+        return out
+
     def _slots(self, hashes: np.ndarray, text: str, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The cache entry of each distinct pre-token, made where it is new."""
         slots = np.fromiter(map(self.cache.get, hashes.tolist(), [-1] * len(hashes)), np.int64, len(hashes))
