@@ -8,13 +8,15 @@ can come before the slowest register. Bands of registers give buckets; candidate
 checked by the exact similarity of their shingles; links become classes.
 
 Buckets are never expanded into all their pairs: texts with the same words are one
-node, every other member of a bucket is compared with one centre, which differs from
-band to band. Only where members of a bucket then still lie in different classes are
-the pairs across those classes compared as well, so no link inside a bucket is lost.
+node, and every other member of a bucket is compared with the bucket's centre. Only
+where members then still lie in different classes are they compared with each other,
+inside tasks over small blocks that return no more links than join classes. So no
+link inside a bucket is lost.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,13 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import filled, mapped, slices, stored, WHITE
+from rivulet.llm.common import WORD, filled, mapped, slices, stored
 from rivulet.llm.subwords import span_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
 REGISTERS = 128
 BAND_ROWS = 5
+# Members of a bucket that are compared at a time.
+BLOCK = 200
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -37,25 +41,45 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """One number per word; words are split at ASCII white space, A-Z in lower case."""
-    data = np.frombuffer(text.encode(), dtype=np.uint8)
-    data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+def shingles(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """(text number, shingle, count) of all distinct shingles, sorted, and a digest of each text's words.
+
+    Words are split at ASCII white space and compared in lower case. A text of fewer
+    words is one shingle; one without words has none, and an empty digest.
+    """
+    encoded = [t.lower().encode() for t in texts]
+    lengths = np.array([len(e) for e in encoded], dtype=np.int64)
+    data = np.frombuffer(b" ".join(encoded), dtype=np.uint8)
     white = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.diff(np.concatenate([[True], white, [True]]).astype(np.int8))
-    return span_hashes(data, np.flatnonzero(edge == -1), np.flatnonzero(edge == 1))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    words = span_hashes(data, starts, ends)
+    begins = np.cumsum(lengths + 1) - lengths - 1
+    owner = np.searchsorted(begins, starts, side="right") - 1
+    count = np.bincount(owner, minlength=len(texts))
+    # Each word begins a shingle but for the last ones of its text.
+    first = np.cumsum(count) - count
+    place = np.arange(len(words)) - first[owner]
+    width = np.minimum(count, size)[owner]
+    at = np.flatnonzero(place <= count[owner] - width)
+    rolled = np.zeros(len(at), dtype=np.uint64)
+    for i in range(size):
+        within = i < width[at]
+        word = words[np.minimum(at + i, max(len(words) - 1, 0))]
+        rolled = np.where(within, _mix(rolled + word + np.uint64(i + 1)), rolled)
+    order = np.lexsort((rolled, owner[at]))
+    text, key = owner[at][order], rolled[order]
+    new = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (key[1:] != key[:-1]))) if len(key) else at
+    # The sequence of exact words, one blank between them.
+    digests = [hashlib.blake2b(b" ".join(e.split()), digest_size=16).digest() if n else b"" for e, n in zip(encoded, count.tolist())]
+    return text[new], key[new], np.diff(np.append(new, len(key))), digests
 
 
-def shingles(text: str, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles and their counts; a text of fewer words is one shingle, none if empty."""
-    words = word_hashes(text)
-    if not len(words):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    size = min(size, len(words))
-    rolled = np.zeros(len(words) - size + 1, dtype=np.uint64)
-    for i in range(size):
-        rolled = _mix(rolled + words[i : len(words) - size + 1 + i] + np.uint64(i + 1))
-    return np.unique(rolled, return_counts=True)
+def _weighted(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(shingles, counts) of each text."""
+    owner, keys, counts, _ = shingles(texts)
+    cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+    return [(keys[a:b], counts[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -72,61 +96,85 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float((1.0 / (later / x + earlier / y)).sum())
 
 
-def signature(keys: np.ndarray, weights: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
-    """The first shingle to arrive in each register.
+def signatures(owner: np.ndarray, keys: np.ndarray, weights: np.ndarray, texts: int, registers: int = REGISTERS) -> np.ndarray:
+    """The first shingle to arrive in each register, for many texts at once.
 
     The n-th arrival of a shingle depends on the shingle and n alone. A shingle is
     dropped once its arrivals come later than the slowest register's first one.
     """
-    best = np.full(registers, np.inf)
-    holder = np.zeros(registers, dtype=np.uint64)
-    keys, rates, times = keys, weights.astype(float), np.zeros(len(keys))
-    step = 0
+    best = np.full(texts * registers, np.inf)
+    holder = np.zeros(texts * registers, dtype=np.uint64)
+    rates, times, step = weights.astype(float), np.zeros(len(keys)), 0
     while len(keys):
         step += 1
         drawn = _mix(keys + np.uint64((step * 0x9E3779B97F4A7C15) % 2**64))
         uniform = ((drawn >> np.uint64(11)).astype(float) + 0.5) / float(1 << 53)
         times = times - np.log(uniform) / rates
-        slots = (_mix(drawn ^ np.uint64(0xD6E8FEB86659FD93)) % np.uint64(registers)).astype(np.int64)
-        order = np.argsort(times, kind="stable")[::-1]  # the earliest is written last
-        first = np.full(registers, np.inf)
-        who = np.zeros(registers, dtype=np.uint64)
-        first[slots[order]], who[slots[order]] = times[order], keys[order]
-        earlier = first < best
-        best[earlier], holder[earlier] = first[earlier], who[earlier]
-        going = times < best.max()
-        keys, rates, times = keys[going], rates[going], times[going]
-    return holder
+        slots = owner * registers + (_mix(drawn ^ np.uint64(0xD6E8FEB86659FD93)) % np.uint64(registers)).astype(np.int64)
+        np.minimum.at(best, slots, times)
+        won = times == best[slots]
+        holder[slots[won]] = keys[won]
+        going = times < best.reshape(texts, registers).max(axis=1)[owner]
+        owner, keys, rates, times = owner[going], keys[going], rates[going], times[going]
+    return holder.reshape(texts, registers)
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bands = REGISTERS // BAND_ROWS
-    for batch in slices(batches, "text"):
-        rows = []
-        for text in batch.column("text").to_pylist():
-            keys, counts = shingles(text)
-            if not len(keys):
-                rows.append(None)
-                continue
-            held = signature(keys, counts)[: bands * BAND_ROWS].reshape(bands, BAND_ROWS)
-            band = np.arange(bands, dtype=np.uint64)
-            for i in range(BAND_ROWS):
-                band = _mix(band * np.uint64(31) + held[:, i])
-            rows.append(band.view(np.int64).tolist())
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(rows, pa.list_(pa.int64()))], names=["node", "bands"])
+    for batch in slices(batches, "text", 1_000_000):
+        texts = batch.column("text").to_pylist()
+        owner, keys, counts, digests = shingles(texts)
+        held = signatures(owner, keys, counts, len(texts))[:, : bands * BAND_ROWS].reshape(len(texts), bands, BAND_ROWS)
+        band = np.tile(np.arange(bands, dtype=np.uint64), (len(texts), 1))
+        for i in range(BAND_ROWS):
+            band = _mix(band * np.uint64(31) + held[:, :, i])
+        lists = pa.array([b if d else None for b, d in zip(band.view(np.int64).tolist(), digests)], pa.list_(pa.int64()))
+        words = pa.array([d or None for d in digests], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), words, lists], names=["doc_id", "row", "words", "bands"])
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last: tuple = (None, None)
-    for batch in batches:
-        good = []
-        for a, b, x, y in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")]):
-            if last[0] != a:
-                last = (a, shingles(x))
-            good.append(probability_jaccard(last[1], shingles(y)) >= SIMILARITY)
+    for batch in slices(batches, "text_b", 1_000_000):
+        a, left = batch.column("a").to_pylist(), batch.column("text_a").to_pylist()
+        new = [i for i in range(len(a)) if i == 0 or a[i] != a[i - 1]]  # rows come by a
+        firsts = dict(zip((a[i] for i in new), _weighted([left[i] for i in new])))
+        good = [probability_jaccard(firsts[x], y) >= SIMILARITY for x, y in zip(a, _weighted(batch.column("text_b").to_pylist()))]
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(good, pa.bool_())], names=["a", "b", "similar"])
 
 
+def _joined(table: pa.Table) -> pa.Table:
+    """Links that join classes among the members of two blocks of one bucket.
+
+    Every pair across classes is compared, unless links found here have joined them or
+    an earlier band has the pair as well.
+    """
+    node, label, block, band = (table.column(c).to_numpy() for c in ("node", "class", "block", "band"))
+    bands = np.array(table.column("bands").to_pylist(), dtype=np.int64)
+    sets = _weighted(table.column("text").to_pylist())
+    head = {c: c for c in label.tolist()}
+
+    def root(c: int) -> int:
+        while head[c] != c:
+            head[c] = c = head[head[c]]
+        return c
+
+    left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+    links: list[tuple[int, int]] = []
+    one = table.column("one")[0].as_py()
+    if not one and block.min() == block.max():  # the other block is empty
+        left = left[:0]
+    for i in left.tolist():
+        others = right[right > i] if one else right
+        earlier = (bands[others] == bands[i])[:, : int(band[i])].any(axis=1)
+        others = others[~earlier & (label[others] != label[i])]
+        for j in others.tolist():
+            x, y = root(int(label[i])), root(int(label[j]))
+            if x != y and probability_jaccard(sets[i], sets[j]) >= SIMILARITY:
+                head[x] = y
+                links.append((min(node[i], node[j]), max(node[i], node[j])))
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(node, class) of all nodes of (a, b) links: the smallest node that can be reached.
 
@@ -163,90 +211,93 @@ def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return checked.filter("similar").select("a", "b")
 
 
-def _squeezed(text: str):
-    """Words in lower case, one blank between them; NULL for a text without words."""
-    words = F.lower(F.trim(F.regexp_replace(filled(text), WHITE, " ")))
-    return F.when(words != "", words)
-
-
-def _links(texts: DataFrame) -> DataFrame:
-    """(a, b) links among (node, text); with transitivity they give the classes."""
-    sketched = stored(mapped(texts, _sketches, "node long, bands array<long>"), "near-bands")
-    every = sketched.select("node", F.explode("bands").alias("bucket"))
-    centre = F.min(F.struct(F.xxhash64("bucket", "node").alias("h"), "node")).alias("centre")
-    buckets = every.groupBy("bucket").agg(F.count("*").alias("n"), centre).filter("n > 1")
-    buckets = stored(buckets.select("bucket", "n", F.col("centre.node").alias("centre")), "near-buckets")
-    members = stored(every.join(buckets, "bucket").filter(F.col("node").isNotNull()), "near-members")
-    stars = members.filter(F.col("node") != F.col("centre")).groupBy(
-        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
-    ).agg(F.min("centre").alias("centre"))
-    links = stored(_checked(stored(stars.select("a", "b"), "near-pairs"), texts), "near-links")
-    classes = connected(links)
+def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b) links among nodes (node, first, bands); with transitivity they give the classes.
+
+    A bucket's centre is the member that shares most buckets with others, so copies of
+    one text meet that text. What its centres leave apart is compared block by block.
+    """
+    every = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    crowded = every.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    members = stored(every.join(crowded, "bucket"), "near-members")
+    weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    centre = F.max(F.struct("weight", F.xxhash64("node").alias("h"), "node")).alias("c")
+    centres = members.join(weight, "node").groupBy("bucket").agg(centre).select("bucket", F.col("c.node").alias("centre"))
+    stars = members.join(stored(centres, "near-centres"), "bucket").filter(F.col("node") != F.col("centre"))
+    stars = stars.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    # Texts of the nodes that share a bucket, by the row each stands for.
+    wanted = members.select("node").distinct().join(nodes.select("node", "first"), "node")
+    keyed = docs.withColumn("row", F.xxhash64("text"))
+    same_row = F.col("d.doc_id").eqNullSafe(F.col("w.first.doc_id")) & (F.col("d.row") == F.col("w.first.row"))
+    texts = keyed.alias("d").join(wanted.alias("w"), same_row).select("w.node", "d.text").dropDuplicates(["node"])
+    texts = stored(texts, "near-texts")
+    links = stored(_checked(stored(stars, "near-pairs"), texts), "near-links")
     # Buckets of three and more whose members are still apart: what the centres did not settle.
-    named = members.filter("n > 2").join(classes, "node", "left").select(
-        "bucket", "node", F.coalesce("class", "node").alias("class")
-    )
+    named = members.filter("n > 2").join(connected(links), "node", "left").withColumn("class", F.coalesce("class", "node"))
     apart = named.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
     rest = stored(named.join(apart.select("bucket"), "bucket", "left_semi"), "near-apart")
-    one, other = rest.alias("x"), rest.alias("y")
-    across = one.join(other, F.col("x.bucket") == F.col("y.bucket")).filter(F.col("x.class") < F.col("y.class"))
-    across = across.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    across = stored(across.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "near-across")
-    return links.unionByName(stored(_checked(across, texts), "near-links"))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    other = F.explode(F.sequence(F.lit(0), blocks - 1))
+    meetings = rest.withColumn("block", block).withColumn("other", other)
+    meetings = meetings.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    full = meetings.join(nodes.select("node", "bands"), "node").join(texts, "node")
+    full = full.withColumn("one", F.col("low") == F.col("high")).select(
+        "bucket", "low", "high", "one", "node", "class", "block", "band", "bands", "text"
+    )
+    more = full.groupBy("bucket", "low", "high").applyInArrow(_joined, "a long, b long")
+    return links.unionByName(stored(more.distinct(), "near-links"))
 
 
 def near_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row of `docs`: doc_id, class_id, class_size, kept, words_sha256.
+    """One row per row of `docs`: doc_id, class_id, class_size, kept, row (xxhash64 of the text).
 
     The class is named after its smallest doc_id; that document (one of its rows, if
     repeated) is kept. NULL ids come last. Texts with the same words are of one class;
-    texts without words, NULL or empty, are each alone (`words_sha256` is NULL).
-    Links are transitive. An empty table gives an empty result; other columns are not
-    looked at.
+    texts without words, NULL or empty, are each alone. Links are transitive. An empty
+    table gives an empty result; other columns are not looked at.
     """
-    keyed = docs.select(F.col(id_column).alias("doc_id"), _squeezed(text_column).alias("text"))
-    keyed = keyed.withColumn("words_sha256", F.sha2("text", 256))
-    by_id = stored(keyed.groupBy("doc_id", "words_sha256").agg(F.count("*").alias("copies")), "near-rows")
-    # One node per distinct text, with a number of its own.
-    nodes = keyed.filter(F.col("text").isNotNull()).groupBy("words_sha256").agg(F.first("text").alias("text"))
-    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
-    classes = connected(_links(nodes.select("node", "text")))
-    owner = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "words_sha256")
-    words = by_id.filter(F.col("words_sha256").isNotNull()).groupBy("words_sha256").agg(
-        F.min(owner).alias("owner"), F.sum("copies").alias("copies")
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), filled(text_column).alias("text"))
+    sketched = mapped(
+        rows.withColumn("row", F.xxhash64("text")), _sketches, "doc_id long, row long, words binary, bands array<long>"
     )
-    named = stored(
-        words.join(nodes.select("node", "words_sha256"), "words_sha256")
-        .join(classes, "node", "left")
-        .select("words_sha256", F.coalesce("class", "node").alias("class"), "owner", "copies"),
-        "near-named",
+    sketched = stored(sketched, "near-rows")
+    by_row = sketched.groupBy("doc_id", "row", "words").agg(F.count("*").alias("copies"))
+    # One node per distinct sequence of words, with a number of its own.
+    owner = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    nodes = sketched.filter(F.col("words").isNotNull()).groupBy("words").agg(
+        F.min(owner).alias("first"), F.first("bands").alias("bands"), F.count("*").alias("copies")
     )
-    sizes = stored(named.groupBy("class").agg(F.min("owner").alias("owner"), F.sum("copies").alias("class_size")), "near-classes")
-    per_text = stored(named.select("words_sha256", "class").join(sizes, "class"), "near-texts")
-    rows = by_id.alias("r").join(per_text.alias("c"), "words_sha256", "left")
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
+    classes = connected(_links(nodes, rows))
+    named = nodes.select("node", "words", "first", "copies").join(classes, "node", "left")
+    named = stored(named.withColumn("class", F.coalesce("class", "node")), "near-named")
+    sizes = named.groupBy("class").agg(F.min("first").alias("owner"), F.sum("copies").alias("class_size"))
+    per_text = stored(named.select("words", "class").join(stored(sizes, "near-classes"), "class"), "near-classes")
+    each = stored(by_row, "near-rows").alias("r").join(per_text.alias("c"), "words", "left")
     alone = F.col("c.class").isNull()
-    kept = alone | (
-        F.col("r.doc_id").eqNullSafe(F.col("c.owner.doc_id")) & (F.col("words_sha256") == F.col("c.owner.words_sha256"))
-    )
-    each = rows.select(
+    kept = alone | (F.col("r.doc_id").eqNullSafe(F.col("c.owner.doc_id")) & (F.col("r.row") == F.col("c.owner.row")))
+    each = each.select(
         F.col("r.doc_id").alias("doc_id"),
         F.when(alone, F.col("r.doc_id")).otherwise(F.col("c.owner.doc_id")).alias("class_id"),
         F.when(alone, F.lit(1).cast("long")).otherwise(F.col("c.class_size")).alias("class_size"),
         kept.alias("_kept"),
         alone.alias("_alone"),
-        "words_sha256",
+        F.col("r.row").alias("row"),
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("r.copies"))).alias("_copy"),
     )
     return each.select(
-        "doc_id", "class_id", "class_size", (F.col("_kept") & (F.col("_alone") | (F.col("_copy") == 1))).alias("kept"), "words_sha256"
+        "doc_id", "class_id", "class_size", (F.col("_kept") & (F.col("_alone") | (F.col("_copy") == 1))).alias("kept"), "row"
     )
 
 
 def keep_one_of_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """`docs`, all its columns, with one row of each class of near-duplicates."""
-    stays = near_classes(docs, id_column, text_column).filter("kept").filter(F.col("words_sha256").isNotNull())
-    stays = stays.select(F.col("doc_id").alias("_rv_id"), F.col("words_sha256").alias("_rv_sha"))
-    keyed = docs.withColumn("_rv_s", F.sha2(_squeezed(text_column), 256))
-    match = F.col(id_column).eqNullSafe(F.col("_rv_id")) & (F.col("_rv_s") == F.col("_rv_sha"))
-    kept = keyed.filter(F.col("_rv_s").isNotNull()).join(stays, match, "left_semi").dropDuplicates([id_column, "_rv_s"])
-    return kept.unionByName(keyed.filter(F.col("_rv_s").isNull())).select(*docs.columns)
+    has_words = filled(text_column).rlike(WORD)
+    stays = near_classes(docs, id_column, text_column).filter("kept").select(
+        F.col("doc_id").alias("_rv_id"), F.col("row").alias("_rv_row")
+    )
+    keyed = docs.withColumn("_rv_x", F.xxhash64(filled(text_column)))
+    match = F.col(id_column).cast("long").eqNullSafe(F.col("_rv_id")) & (F.col("_rv_x") == F.col("_rv_row"))
+    kept = keyed.filter(has_words).join(stays, match, "left_semi").dropDuplicates([id_column, "_rv_x"])
+    return kept.unionByName(keyed.filter(~has_words)).select(*docs.columns)

@@ -77,7 +77,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_classes(table(spark, sf_dir, "documents")).drop("words_sha256")
+    return near_classes(table(spark, sf_dir, "documents")).drop("row")
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
