@@ -101,8 +101,7 @@ def replay(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
 
 
 def show(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
-    newest = latest_bronze(read_bronze(spark, zones.bronze))
-    newest.withColumn("value", F.substring("value", 1, 60)).show(20)
+    latest_bronze(read_bronze(spark, zones.bronze)).show(20, truncate=False)
     latest_silver(_silver_table(spark, args, zones).snapshot()).show(20)
 
 

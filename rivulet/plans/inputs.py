@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.schemas import AMOUNT, BRONZE, SILVER_ROW
-from rivulet.session import spread
+from rivulet.session import dealt
 
 _REST = "</TransactionId></Transaction></Data>"
 _ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 TOPIC_NAME = "transactions"
 BATCHES = 4
+# The tables here are single files of one split; documents are made of them in so many tasks.
+TASKS = 8
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
@@ -25,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Some columns of a table, for work that is worth a task per core."""
-    return spread(table(spark, sf_dir, name).select(*columns))
+    return dealt(table(spark, sf_dir, name).select(*columns), TASKS)
 
 
 def text(column: Column | str) -> Column:

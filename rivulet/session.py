@@ -43,11 +43,10 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Redistributes a scan that would leave most cores idle.
+def dealt(scan: DataFrame, tasks: int | None = None) -> DataFrame:
+    """The scan as it is, or dealt out anew over a number of tasks that the caller names.
 
-    For work that costs far more than moving its input, such as parsing. A scan
-    with at least half as many splits as there are cores stays as it is.
+    For work that costs far more than moving its input, such as parsing a few large
+    splits. Nothing is decided from the size of the input or of the cluster.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
+    return scan if tasks is None else scan.repartition(tasks)

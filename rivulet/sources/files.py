@@ -11,15 +11,21 @@ from pyspark.sql import types as T
 from rivulet.schemas import BRONZE, CORRUPT, FILE_ROW, TOPIC, TRANSACTION
 
 
+# Spark passes over a file whose time lies more than `maxFileAge` behind the newest one
+# seen. Files arrive late and out of order here, so none is ever too old.
+NO_FILE_TOO_OLD = {"maxFileAge": "36500d"}
+
+
 def stream_files(spark: SparkSession, directory: str, **options: str) -> DataFrame:
     """Every file that lands in `directory`, once per checkpoint, as one row.
 
     Useful options: `pathGlobFilter`, `maxFilesPerTrigger`, `maxBytesPerTrigger`,
     `recursiveFileLookup`. Zero-length files and names that begin with "_" or
-    "." give no row. Spark also passes over a file whose time lies more than
-    `maxFileAge` (a week) behind the newest one seen: raise that where files
-    arrive with old times.
+    "." give no row. No file is passed over for its age; what that costs is a map of
+    all files seen, on the driver, as long as they lie in the folder. Bound it with
+    `cleanSource=archive`, or with a `maxFileAge` of your own where none comes late.
     """
+    options = {**NO_FILE_TOO_OLD, **options}
     return spark.readStream.format("binaryFile").schema(FILE_ROW).options(**options).load(directory)
 
 
@@ -30,7 +36,7 @@ def stream_bronze(spark: SparkSession, bronze: str, since: date | None = None, *
     grows. `since` leaves out the dates before it. It must not be later than the
     oldest date that may hold files the query has not read.
     """
-    stream = spark.readStream.schema(BRONZE).options(**options)
+    stream = spark.readStream.schema(BRONZE).options(**{**NO_FILE_TOO_OLD, **options})
     if since is None:
         return stream.parquet(bronze)
     return stream.option("basePath", bronze).parquet(f"{bronze}/_raw_insert_date={{{','.join(dates_from(since))}}}")
@@ -53,7 +59,8 @@ def dates_from(first: date) -> list[str]:
 
 def stream_topic_log(spark: SparkSession, directory: str, **options: str) -> DataFrame:
     """Messages of the file-based topic (see `sinks.topic_log`)."""
-    return spark.readStream.schema(TOPIC).options(recursiveFileLookup="true", **options).parquet(directory)
+    options = {**NO_FILE_TOO_OLD, "recursiveFileLookup": "true", **options}
+    return spark.readStream.schema(TOPIC).options(**options).parquet(directory)
 
 
 def read_merged(spark: SparkSession, path: str) -> DataFrame:

@@ -59,8 +59,8 @@ def test_sample_document_last_occurrence_wins(spark):
         for r in rows
     ]
     assert found == [
-        (14, "702.61", 53, "SYDNEY", "SUCCESS", "2023-12-13", 3),
-        (83, "81.99", 89, "TOKYO", "FAILURE", "2023-12-13", 3),
+        (77, "640.00", 12, "OSLO", "SUCCESS", "2022-03-01", 3),
+        (501, "20.10", 9, "BERN", "SUCCESS", "2022-02-28", 3),
     ]
 
 

@@ -1,6 +1,8 @@
 import fnmatch
 import os
+import time
 from datetime import date, datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from documents import CASES, SAMPLE, data, transaction
@@ -282,6 +284,41 @@ def test_failed_batch_is_kept_swallowed_and_replayed(spark, zones):
     assert {r.TransactionId: r._batch_id for r in table.snapshot().collect()}[12] == 1
 
 
+def test_a_second_replay_writes_no_letter_twice(spark, zones):
+    table = SilverLog(spark, zones.silver)
+
+    def broken(_):
+        raise ValueError("no")
+
+    batch = documents(spark, "junk", data(transaction("abc"), transaction("5")))
+    process_batch(batch, 4, "q", table, zones, refine_rows=broken)
+    for _ in range(2):
+        counts = replay_failed_batches(spark, zones, table)
+        assert (counts.malformed, counts.rejected, counts.valid) == (1, 1, 1)
+        assert read_table(spark, zones.malformed, MALFORMED).count() == 1
+        assert read_table(spark, zones.rejected, REJECTED).count() == 1
+    assert set(amounts(table)) == {5}
+
+
+def test_files_of_any_age_are_read(spark, zones):
+    """A file nine days older than one seen before still lands, and bronze files of that age still reach silver."""
+    now = time.time()
+    for name, age_days in (("a", 0), ("b", 9), ("c", 0)):
+        land(zones.landing, f"{name}.xml", data(transaction("1")))
+        os.utime(f"{zones.landing}/{name}.xml", (now - age_days * 86_400,) * 2)
+        drain(land_to_log(spark, zones.landing, zones.topic_log, "t", zones.checkpoint("landing"), DRAIN))
+    keys = [r.key for r in spark.read.schema(TOPIC).option("recursiveFileLookup", "true").parquet(zones.topic_log).collect()]
+    assert sorted(os.path.basename(k) for k in keys) == ["a.xml", "b.xml", "c.xml"]
+    table = SilverLog(spark, zones.silver)
+    for hour, age_days in ((1, 0), (2, 9), (3, 0)):
+        before = set(Path(zones.bronze).rglob("*.parquet")) if os.path.exists(zones.bronze) else set()
+        to_bronze(spark, zones, data(transaction(str(hour))), hour=hour)
+        for path in set(Path(zones.bronze).rglob("*.parquet")) - before:
+            os.utime(path, (now - age_days * 86_400,) * 2)
+        drain(start_silver(spark, zones, table))
+    assert set(amounts(table)) == {1, 2, 3}
+
+
 def test_replay_can_be_narrowed(spark, zones):
     table = SilverLog(spark, zones.silver)
 
@@ -324,7 +361,7 @@ def test_three_jobs_end_to_end(spark, zones):
     drain(start_bronze(stream, zones.bronze, zones.bronze_failed, zones.checkpoint("raw"), DRAIN))
     table = SilverLog(spark, zones.silver)
     drain(start_silver(spark, zones, table))
-    assert amounts(table) == {14: 702.61, 83: 81.99}
+    assert amounts(table) == {501: 20.1, 77: 640.0}
     assert read_table(spark, zones.malformed, MALFORMED).count() == 1
 
 
