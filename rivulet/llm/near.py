@@ -32,7 +32,7 @@ SIMILARITY = 0.8
 REGISTERS = 128
 BAND_ROWS = 5
 # Members of a bucket that are compared at a time.
-BLOCK = 200
+BLOCK = 512
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
