@@ -15,7 +15,7 @@ from rivulet.session import build_session
 from rivulet.sinks.catalog_table import CatalogTable
 from rivulet.sinks.documents import start_document_files, write_document_files
 from rivulet.sinks.silver_log import SilverLog
-from rivulet.sources.files import read_bronze, stream_topic_log
+from rivulet.sources.files import read_merged_bronze, stream_topic_log
 from rivulet.sources.kafka import stream_kafka
 from rivulet.streaming.bronze import start_bronze
 from rivulet.streaming.common import DRAIN, EVERY_MINUTE
@@ -33,6 +33,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--topic", default="transactions")
     parser.add_argument("--table", help="catalog table with MERGE for silver; without it a batch log")
     parser.add_argument("--no-order-guard", action="store_true", help="last processed wins, however old")
+    parser.add_argument("--fixed-dates", action="store_true", help="no transaction changes its date (--table)")
     parser.add_argument("--drain", action="store_true", help="stop when the source is read to its end")
     parser.add_argument("--attempts", type=int, help="attempts before giving up (silver: 3, others: no limit)")
     parser.add_argument("--documents", type=int, help="generate this many documents, then stop")
@@ -46,7 +47,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def _silver_table(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> SilverLog | CatalogTable:
     guard = not args.no_order_guard
     if args.table:
-        return CatalogTable(spark, args.table, order_guard=guard)
+        return CatalogTable(spark, args.table, order_guard=guard, fixed_dates=args.fixed_dates)
     return SilverLog(spark, zones.silver, order_guard=guard)
 
 
@@ -101,7 +102,7 @@ def replay(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
 
 
 def show(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
-    latest_bronze(read_bronze(spark, zones.bronze)).show(20, truncate=False)
+    latest_bronze(read_merged_bronze(spark, zones.bronze)).show(20, truncate=False)
     latest_silver(_silver_table(spark, args, zones).snapshot()).show(20)
 
 

@@ -19,9 +19,15 @@ def dedup_offsets(bronze: DataFrame) -> DataFrame:
     """One row per message.
 
     Bronze is appended at least once, so a message may be there again after a
-    crash. (topic, partition, offset) names a message; the last copy stays.
+    crash. (topic, partition, offset) names a message; the last copy stays. Keys are
+    counted first: only messages that are there again are ranked with their payload.
     """
-    return latest_per_key(bronze, ["topic", "partition", "offset"], ["_raw_insert_timestamp"])
+    message = ["topic", "partition", "offset"]
+    again = bronze.groupBy(*message).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").alias("again")
+    rows = bronze.alias("rows")
+    same = [F.col(f"rows.{c}").eqNullSafe(F.col(f"again.{c}")) for c in message]
+    repeated = latest_per_key(rows.join(again, same, "left_semi"), message, ["_raw_insert_timestamp"])
+    return rows.join(again, same, "left_anti").unionByName(repeated)
 
 
 def with_topic_order(bronze: DataFrame) -> DataFrame:

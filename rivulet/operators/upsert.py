@@ -13,7 +13,8 @@ from rivulet.operators.latest import latest_per_key
 def merge_upsert(target: DataFrame, source: DataFrame, key: str, order: Sequence[str] | None = None) -> DataFrame:
     """The target, unique on `key`, after merging `source` into it.
 
-    A NULL key matches nothing, so such rows of either side are all kept.
+    A NULL key matches nothing, so such rows of either side are all kept. They go
+    straight to the result: no join and no shuffle gathers them in one task.
 
     Without `order` the source, which must be unique too, replaces the target
     rows it matches. With `order` the greatest tuple wins, among the source's own
@@ -24,10 +25,12 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str, order: Sequence
     """
     # Distinct keys: a repeated one is folded before the shuffle, and the joins
     # below use the partitioning this leaves behind.
-    keys = source.select(key).distinct()
-    untouched = target.join(keys, key, "left_anti").select(*target.columns)
+    has_key = F.col(key).isNotNull()
+    keys = source.filter(has_key).select(key).distinct()
+    known = target.filter(has_key)
+    untouched = known.join(keys, key, "left_anti").select(*target.columns).unionByName(target.filter(~has_key))
     if order is None:
         return untouched.unionByName(source)
-    matched = target.join(keys, key, "left_semi").select(*target.columns)
-    contest = latest_per_key(matched.unionByName(source.filter(F.col(key).isNotNull())), key, order)
-    return untouched.unionByName(contest).unionByName(source.filter(F.col(key).isNull()))
+    matched = known.join(keys, key, "left_semi").select(*target.columns)
+    contest = latest_per_key(matched.unionByName(source.filter(has_key)), key, order)
+    return untouched.unionByName(contest).unionByName(source.filter(~has_key))

@@ -16,7 +16,7 @@ from rivulet.functions.audit import batch_time, with_audit
 from rivulet.functions.envelope import decode_envelope, wrap_files
 from rivulet.operators.documents import document_class, explode_transactions, parse_documents
 from rivulet.operators.generate import MAX_ID, generate_documents
-from rivulet.operators.inference import infer_document_schema, schema_rows
+from rivulet.operators.inference import infer_document_schema, schema_of_document, schema_rows
 from rivulet.operators.latest import latest_per_key
 from rivulet.operators.topic import dedup_offsets, project_topic
 from rivulet.operators.transactions import amount_invalid, clean_transactions
@@ -24,14 +24,14 @@ from rivulet.operators.upsert import merge_upsert
 from rivulet.operators.views import latest_bronze, latest_silver
 from rivulet.plans import inputs
 from rivulet.plans.inputs import BATCHES, ORDER_COLUMNS, document, enveloped, spread_table, table, text, transaction
-from rivulet.plans.refine import refine, silver_rows
+from rivulet.plans.refine import batch_counts, refine, silver_rows
 from rivulet.schemas import BRONZE_FAILED, BRONZE_PARTITIONS, FAILED_BATCH, KEY, MALFORMED, ORDER
 from rivulet.session import work_dir
 from rivulet.sinks.bronze import append_bronze
 from rivulet.sinks.dead_letters import malformed_letters, rejected_letters, write_letters
 from rivulet.sinks.documents import write_document_files
 from rivulet.sinks.silver_log import SilverLog
-from rivulet.sources.files import read_bronze, read_table, read_transactions, stream_topic_log
+from rivulet.sources.files import read_bronze, read_merged_bronze, read_table, read_transactions, stream_topic_log
 from rivulet.streaming.bronze import start_bronze
 from rivulet.streaming.common import DRAIN
 from rivulet.streaming.landing import land_to_log
@@ -41,6 +41,7 @@ from rivulet.zones import Zones
 
 Query = Callable[[SparkSession, str], DataFrame]
 POISONED = 2
+UNREACHABLE = "no-such-filesystem://bronze"
 
 
 def _date(column: str) -> Column:
@@ -142,8 +143,7 @@ def bronze_failed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = _zones(spark, "bronze-failed")
     project_topic(inputs.event_bronze(spark, sf_dir)).write.parquet(zones.topic_log)
     records = stream_topic_log(spark, zones.topic_log)
-    unreachable = "no-such-filesystem://bronze"
-    start_bronze(records, unreachable, zones.bronze_failed, zones.checkpoint("raw"), DRAIN).awaitTermination()
+    start_bronze(records, UNREACHABLE, zones.bronze_failed, zones.checkpoint("raw"), DRAIN).awaitTermination()
     letters = read_table(spark, zones.bronze_failed, BRONZE_FAILED)
     return letters.groupBy("_batch_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -152,6 +152,74 @@ def bronze_failed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _messages(bronze: DataFrame) -> DataFrame:
+    return bronze.select("key", "partition", "offset")
+
+
+def empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch in which nothing is left counts as done: only messages that come later arrive."""
+    zones = _zones(spark, "empty-batch")
+    messages = project_topic(inputs.event_bronze(spark, sf_dir))
+    messages.write.parquet(zones.topic_log)
+    records = stream_topic_log(spark, zones.topic_log)
+    for wanted in (records.filter(F.length("topic") == 0), records):
+        start_bronze(wanted, zones.bronze, zones.bronze_failed, zones.checkpoint("raw"), DRAIN).awaitTermination()
+    messages.write.mode("append").parquet(zones.topic_log)
+    start_bronze(records, zones.bronze, zones.bronze_failed, zones.checkpoint("raw"), DRAIN).awaitTermination()
+    return _messages(read_bronze(spark, zones.bronze))
+
+
+def _running_bronze(spark: SparkSession, sf_dir: str, purpose: str, trigger: dict | None) -> DataFrame:
+    """Bronze of a query that goes on running while more messages come."""
+    zones = _zones(spark, purpose)
+    messages = project_topic(inputs.event_bronze(spark, sf_dir))
+    early = F.col("partition").isin("0", "1")
+    messages.filter(early).write.parquet(zones.topic_log)
+    records = stream_topic_log(spark, zones.topic_log)
+    query = start_bronze(records, zones.bronze, zones.bronze_failed, zones.checkpoint("raw"), trigger)
+    try:
+        query.processAllAvailable()
+        messages.filter(~early).write.mode("append").parquet(zones.topic_log)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return _messages(read_bronze(spark, zones.bronze))
+
+
+def interval_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _running_bronze(spark, sf_dir, "interval", {"processingTime": "1 second"})
+
+
+def default_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _running_bronze(spark, sf_dir, "default-trigger", None)
+
+
+def restarted_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query that can write neither bronze nor letters fails; the next attempt takes up its batch."""
+    zones = _zones(spark, "restarted")
+    project_topic(inputs.event_bronze(spark, sf_dir)).write.parquet(zones.topic_log)
+    targets = [(UNREACHABLE, UNREACHABLE), (zones.bronze, zones.bronze_failed)]
+
+    def start():
+        bronze, failed = targets.pop(0)
+        return start_bronze(stream_topic_log(spark, zones.topic_log), bronze, failed, zones.checkpoint("raw"), DRAIN)
+
+    outcome = run_with_restarts(start, max_attempts=3, backoff_seconds=0)
+    return _messages(read_bronze(spark, zones.bronze)).withColumn("attempts", F.lit(outcome.attempts))
+
+
+def merged_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appends, the second with one more column."""
+    zones = _zones(spark, "merged")
+    messages = project_topic(inputs.event_bronze(spark, sf_dir))
+    early = F.col("partition").isin("0", "1")
+    grown = messages.filter(~early).withColumn("headers", F.concat(F.lit("h"), "offset"))
+    append_bronze(messages.filter(early), zones.bronze, batch_time(_processed_at(0)))
+    append_bronze(grown, zones.bronze, batch_time(_processed_at(1)))
+    bronze = read_merged_bronze(spark, zones.bronze)
+    return bronze.select("key", "partition", "offset", "headers", _date("_raw_insert_date"))
+
+
 def bronze_dedup_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = inputs.event_bronze(spark, sf_dir)
     next_day = F.col("_raw_insert_timestamp") + F.make_dt_interval(F.lit(1))
@@ -185,10 +253,16 @@ def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_letters(malformed_letters(refined), zones.malformed, "orders", 0, batch_time())
     refined.unpersist()
     letters = read_table(spark, zones.malformed, MALFORMED)
-    shown = F.when(F.col("_reason").isin("bad_xml", "unread_transactions", "bad_envelope"), F.col("_corrupt_file"))
+    # A payload that is no text stays in its envelope.
+    content = F.get_json_object("_corrupt_file", "$.content")
+    shown = F.when(F.col("_reason") == "bad_utf8", content).otherwise(F.col("_corrupt_file"))
     return letters.select("key", "_reason", shown.alias("corrupt_text"))
 
 
+def counted_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batch_counts(refine(inputs.order_bronze(spark, sf_dir)))
+
+
 def flatten_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parse_documents(decode_envelope(inputs.event_bronze(spark, sf_dir)))
     return explode_transactions(parsed.select("key", "parsed")).select(
@@ -238,6 +312,38 @@ def schema_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(schema_rows(inferred), "field string, type string")
 
 
+def literal_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents read with the schema of one of them, that of the smallest key."""
+    key = F.col("o_orderkey")
+    documents = spread_table(spark, sf_dir, "orders", *ORDER_COLUMNS).select(
+        "o_orderkey",
+        document(
+            F.transform(
+                F.sequence(F.lit(0), F.lit(1)),
+                lambda i: transaction(
+                    text(key * 2 + i),
+                    text(F.col("o_totalprice").cast("decimal(10,2)")),
+                    text("o_custkey"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"),
+                    F.col("o_orderpriority"),
+                    F.col("o_orderstatus"),
+                ),
+            )
+        ).alias("xml"),
+    )
+    sample = documents.orderBy("o_orderkey").select("xml").first().xml
+    found = F.from_xml("xml", schema_of_document(spark, sample))
+    rows = documents.select("o_orderkey", F.explode_outer(found.getField("Transaction")).alias("row"))
+    return rows.select(
+        "o_orderkey",
+        F.col("row.TransactionId").alias("id"),
+        text(F.col("row.Amount").cast("decimal(10,2)")).alias("amount"),
+        F.col("row.CustomerId").alias("customer"),
+        F.col("row.Location").alias("place"),
+        F.typeof("row.DateTime").alias("time_type"),
+    )
+
+
 def large_document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "large")
     orders = spread_table(spark, sf_dir, "orders", *ORDER_COLUMNS).select(
@@ -250,7 +356,7 @@ def large_document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders.write.format("xml").options(rootTag="Data", rowTag="Transaction").save(folder)
     rows = read_transactions(spark, folder)
-    return rows.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    return rows.withColumn("corrupt", F.col("_corrupt_record").isNotNull()).drop("_corrupt_record")
 
 
 # Cleaning
@@ -517,9 +623,15 @@ QUERIES: dict[str, Query] = {
     "bronze_partitions": bronze_partitions,
     "stream_bronze": stream_bronze,
     "bronze_failed_batch": bronze_failed_batch,
+    "empty_batch": empty_batch,
+    "interval_trigger": interval_trigger,
+    "default_trigger": default_trigger,
+    "restarted_stream": restarted_stream,
+    "merged_bronze": merged_bronze,
     "bronze_dedup_offsets": bronze_dedup_offsets,
     "document_classes": document_classes,
     "malformed_rows": malformed_rows,
+    "batch_counts": counted_batch,
     "flatten_transactions": flatten_transactions,
     "clean_amounts": clean_amounts,
     "clean_labels": clean_labels,
@@ -542,6 +654,7 @@ QUERIES: dict[str, Query] = {
     "latest20_bronze": latest20_bronze,
     "latest20_silver": latest20_silver,
     "schema_inference": schema_inference,
+    "literal_schema": literal_schema,
     "generate_documents": generated_documents,
     "large_document_rows": large_document_rows,
 }

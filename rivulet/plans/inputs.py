@@ -18,6 +18,7 @@ TOPIC_NAME = "transactions"
 BATCHES = 4
 # The tables here are single files of one split; documents are made of them in so many tasks.
 TASKS = 8
+ORDER_KINDS = 13
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
@@ -118,10 +119,14 @@ def event_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as bronze rows of which a good half is broken, each in a known way."""
+    """Orders as bronze rows of which a good half is broken, each in a known way.
+
+    Some hold transactions where the parser does not look: behind the first root, below
+    another element, in lower case.
+    """
     orders = spread_table(spark, sf_dir, "orders", *ORDER_COLUMNS)
     key = text("o_orderkey")
-    kind = F.pmod(F.col("o_orderkey"), F.lit(10))
+    kind = F.pmod(F.col("o_orderkey"), F.lit(ORDER_KINDS))
     good = document(
         F.array(
             transaction(
@@ -134,10 +139,14 @@ def order_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
+    lower = F.concat(F.lit("<Data><transaction><TransactionId>"), key, F.lit("</TransactionId></transaction></Data>"))
     xml = (
         F.when(kind == 0, F.concat(F.lit("<Data><Transaction><TransactionId>"), key))
         .when(kind == 1, F.lit("<Data/>"))
         .when(kind == 5, F.concat(F.lit("<Data/><Data><Transaction><TransactionId>"), key, F.lit(_REST)))
+        .when(kind == 10, F.concat(F.lit("<Data><Transaction/></Data><Data><Transaction><TransactionId>"), key, F.lit(_REST)))
+        .when(kind == 11, F.concat(lower, lower))
+        .when(kind == 12, F.concat(F.lit("<Data><g><transaction><TransactionId>"), key, F.lit("</TransactionId></transaction></g></Data>")))
         .otherwise(good)
     )
     no_utf8 = F.concat(F.encode(key, "UTF-8"), F.unhex(F.lit("FF")))

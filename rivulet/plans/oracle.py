@@ -56,9 +56,13 @@ e AS (
 _EVENTS_WIN = "SELECT * FROM e UNION ALL SELECT * FROM o WHERE TransactionId NOT IN (SELECT TransactionId FROM e)"
 _ORDERS_WIN = "SELECT * FROM o UNION ALL SELECT * FROM e WHERE TransactionId NOT IN (SELECT TransactionId FROM o)"
 
-_ORDER_REASON = """CASE o_orderkey % 10
+_EVENT_MESSAGES = """SELECT '/in/' || event_id || '.xml' AS key, CAST(event_id % 4 AS VARCHAR) AS partition,
+               CAST(event_id // 4 AS VARCHAR) AS "offset\""""
+
+_ORDER_REASON = """CASE o_orderkey % 13
     WHEN 0 THEN 'bad_xml' WHEN 2 THEN 'bad_base64' WHEN 3 THEN 'bad_envelope'
-    WHEN 4 THEN 'bad_utf8' WHEN 5 THEN 'unread_transactions' END"""
+    WHEN 4 THEN 'bad_utf8' WHEN 5 THEN 'unread_transactions'
+    WHEN 10 THEN 'unread_transactions' WHEN 11 THEN 'unread_transactions' WHEN 12 THEN 'unread_transactions' END"""
 
 ORACLE: dict[str, str] = {
     "envelope_roundtrip": """
@@ -85,24 +89,48 @@ ORACLE: dict[str, str] = {
         SELECT CAST(0 AS INTEGER) AS _batch_id,
                count(*) AS n_rows, count(*) AS n_payloads, count(*) AS n_explained
         FROM events""",
+    "empty_batch": f"{_EVENT_MESSAGES} FROM events",
+    "interval_trigger": f"{_EVENT_MESSAGES} FROM events",
+    "default_trigger": f"{_EVENT_MESSAGES} FROM events",
+    "restarted_stream": f"{_EVENT_MESSAGES}, CAST(2 AS INTEGER) AS attempts FROM events",
+    "merged_bronze": f"""
+        {_EVENT_MESSAGES}, CASE WHEN event_id % 4 > 1 THEN 'h' || event_id // 4 END AS headers,
+               CASE WHEN event_id % 4 > 1 THEN '2024-03-02' ELSE '2024-03-01' END AS _raw_insert_date
+        FROM events""",
     "bronze_dedup_offsets": f"""
         SELECT 'transactions' AS topic, CAST(event_id % 4 AS VARCHAR) AS partition,
                CAST(event_id // 4 AS VARCHAR) AS "offset", '/in/' || event_id || '.xml' AS key,
                strftime(date_trunc('hour', ts) + INTERVAL 1 DAY, {_MICROS}) AS _raw_insert_timestamp
         FROM events""",
     "document_classes": f"""
-        WITH d AS (SELECT o_orderkey % 10 AS k, {_ORDER_REASON} AS reason FROM orders)
+        WITH d AS (SELECT o_orderkey % 13 AS k, {_ORDER_REASON} AS reason FROM orders)
         SELECT CASE WHEN reason IS NOT NULL THEN 'malformed' WHEN k = 1 THEN 'empty' ELSE 'valid' END AS class,
                coalesce(reason, 'none') AS reason, count(*) AS n_documents
         FROM d GROUP BY 1, 2""",
     "malformed_rows": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS key, {_ORDER_REASON} AS _reason,
-               CASE o_orderkey % 10
+               CASE o_orderkey % 13
+                 WHEN 2 THEN '{{"path":"p","content":"###' || o_orderkey || '"}}'
+                 WHEN 4 THEN base64(encode(CAST(o_orderkey AS VARCHAR)) || '\\xFF'::BLOB)
+                 WHEN 10 THEN '<Data><Transaction/></Data><Data><Transaction><TransactionId>' || o_orderkey
+                              || '</TransactionId></Transaction></Data>'
+                 WHEN 11 THEN repeat('<Data><transaction><TransactionId>' || o_orderkey
+                                     || '</TransactionId></transaction></Data>', 2)
+                 WHEN 12 THEN '<Data><g><transaction><TransactionId>' || o_orderkey
+                              || '</TransactionId></transaction></g></Data>'
                  WHEN 0 THEN '<Data><Transaction><TransactionId>' || o_orderkey
                  WHEN 3 THEN 'no envelope ' || o_orderkey
                  WHEN 5 THEN '<Data/><Data><Transaction><TransactionId>' || o_orderkey
                              || '</TransactionId></Transaction></Data>' END AS corrupt_text
-        FROM orders WHERE o_orderkey % 10 IN (0, 2, 3, 4, 5)""",
+        FROM orders WHERE o_orderkey % 13 IN (0, 2, 3, 4, 5, 10, 11, 12)""",
+    "batch_counts": """
+        WITH d AS (SELECT o_orderkey % 13 AS k FROM orders)
+        SELECT count(*) AS documents,
+               count_if(k IN (0, 2, 3, 4, 5, 10, 11, 12)) AS malformed,
+               count_if(k = 1) AS empty,
+               count_if(k IN (6, 7, 8, 9, 11)) AS valid,
+               count_if(k = 10) AS rejected
+        FROM d""",
     "flatten_transactions": f"""
         WITH {_TRANSACTIONS}
         SELECT '/in/' || CustomerId || '.xml' AS key, i AS position, CAST(TransactionId AS VARCHAR) AS TransactionId,
@@ -192,6 +220,10 @@ ORACLE: dict[str, str] = {
           ('Transaction[].Amount', 'double'), ('Transaction[].CustomerId', 'bigint'),
           ('Transaction[].DateTime', 'timestamp'), ('Transaction[].Location', 'string'),
           ('Transaction[].Result', 'string'), ('Transaction[].TransactionId', 'string')) AS t(field, type)""",
+    "literal_schema": """
+        SELECT o_orderkey, o_orderkey * 2 + i AS id, CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR) AS amount,
+               o_custkey AS customer, o_orderpriority AS place, 'timestamp' AS time_type
+        FROM (SELECT *, unnest(range(0, 2)) AS i FROM orders)""",
     "generate_documents": """
         SELECT o_orderkey, true AS size_ok, true AS ids_ok, true AS customers_ok, true AS amounts_ok,
                true AS locations_ok, true AS results_ok, true AS times_ok
@@ -201,6 +233,6 @@ ORACLE: dict[str, str] = {
                CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR) AS "Amount",
                CAST(o_custkey AS VARCHAR) AS "CustomerId",
                strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS "DateTime",
-               o_orderpriority AS "Location", o_orderstatus AS "Result"
+               o_orderpriority AS "Location", o_orderstatus AS "Result", false AS corrupt
         FROM orders""",
 }

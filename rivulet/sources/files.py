@@ -68,6 +68,18 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def read_merged_bronze(spark: SparkSession, bronze: str) -> DataFrame:
+    """Bronze with every column that any of its files has grown, after the declared ones."""
+    try:
+        found = read_merged(spark, bronze).schema
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return read_bronze(spark, bronze)
+    grown = [field for field in found if field.name not in BRONZE.names]
+    return read_table(spark, bronze, T.StructType(BRONZE.fields + grown))
+
+
 def read_bronze(spark: SparkSession, bronze: str) -> DataFrame:
     return read_table(spark, bronze, BRONZE)
 

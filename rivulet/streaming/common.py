@@ -14,8 +14,10 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
 
     It survives restarts and changes with a new checkpoint, where batch ids
     start over at zero; (query id, batch id) therefore names a batch for good.
+    Inside a batch Spark has it at hand; elsewhere it is read from the checkpoint.
     """
-    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first().id
+    running = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return running or spark.read.schema("id string").json(f"{checkpoint}/metadata").first().id
 
 
 def start(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> StreamingQuery:
