@@ -106,7 +106,7 @@ def stages(spark: SparkSession, sf_dir: str) -> tuple[dict[str, float], dict[str
     for percent in (1, 10, 100):
         log = SilverLog(spark, Zones(work_dir(spark, f"bench-upsert-{percent}")).silver)
         log.upsert(base, "base", 0)
-        log.compact()
+        log = log.compact(work_dir(spark, f"bench-compacted-{percent}"))
         batch = base.filter(F.pmod(F.xxhash64("TransactionId"), F.lit(100)) < percent)
 
         def upsert_and_read(log=log, batch=batch):

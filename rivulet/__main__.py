@@ -31,7 +31,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--root", required=True, help="folder of all zones, e.g. hdfs://host:9000")
     parser.add_argument("--kafka", help="broker address; without it a Parquet folder serves as the topic")
     parser.add_argument("--topic", default="transactions")
-    parser.add_argument("--table", help="catalog table with MERGE for silver; without it a batch log")
+    parser.add_argument("--table", help="catalog table with MERGE for silver; without it a folder per batch")
+    parser.add_argument("--silver", help="folder of silver, say one that compact has written (default: below the root)")
+    parser.add_argument("--to", help="new folder that compact writes silver to")
     parser.add_argument("--no-order-guard", action="store_true", help="last processed wins, however old")
     parser.add_argument("--fixed-dates", action="store_true", help="no transaction changes its date (--table)")
     parser.add_argument("--drain", action="store_true", help="stop when the source is read to its end")
@@ -48,7 +50,7 @@ def _silver_table(spark: SparkSession, args: argparse.Namespace, zones: Zones) -
     guard = not args.no_order_guard
     if args.table:
         return CatalogTable(spark, args.table, order_guard=guard, fixed_dates=args.fixed_dates)
-    return SilverLog(spark, zones.silver, order_guard=guard)
+    return SilverLog(spark, args.silver or zones.silver, order_guard=guard)
 
 
 def generate(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
@@ -94,7 +96,13 @@ def silver(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
 
 
 def compact(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
-    _silver_table(spark, args, zones).compact()
+    table = _silver_table(spark, args, zones)
+    if isinstance(table, CatalogTable):
+        table.compact()
+    elif args.to:
+        table.compact(args.to)
+    else:
+        raise SystemExit("compact needs --to, a new folder; give it to later jobs as --silver")
 
 
 def replay(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:

@@ -487,7 +487,8 @@ def merge_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _log_of(spark: SparkSession, purpose: str, batches: list[DataFrame], order_guard: bool = True) -> SilverLog:
     log = SilverLog(spark, _zones(spark, purpose).silver, order_guard)
     for batch_id, rows in enumerate(batches):
-        log.upsert(rows, purpose, batch_id)
+        at = batch_time(_processed_at(batch_id))
+        log.upsert(rows.withColumn("_processed_insert_timestamp", at), purpose, batch_id)
     return log
 
 
@@ -521,7 +522,7 @@ def _fold(spark: SparkSession, sf_dir: str, purpose: str, compact_after: tuple[i
         refined = refine(_event_batch(spark, sf_dir, batch_id))
         log.upsert(silver_rows(refined, batch_id, batch_time(_processed_at(batch_id))), purpose, batch_id)
         if batch_id in compact_after:
-            log.compact()
+            log = log.compact(f"{log.root}-compacted")
     return log
 
 
@@ -581,7 +582,8 @@ def stream_failed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dlq_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = _zones(spark, "replay")
     log = _drain_batches(spark, sf_dir, zones, refine_rows=_refine_poisoned)
-    replay_failed_batches(spark, zones, log, F.col("_batch_id") == POISONED)
+    for _ in range(2):  # the second replay changes nothing
+        replay_failed_batches(spark, zones, log, F.col("_batch_id") == POISONED)
     return _silver_columns(log.snapshot(), "_batch_id")
 
 

@@ -90,20 +90,8 @@ ORDER_EXTRA = _fields(
     _position=T.IntegerType(),
 )
 
-# Silver as stored in the batch log: the public columns, the rest of the order
-# tuple, and the log version (from the directory name).
-VERSION = "_version"
+# Silver as stored: the public columns and the rest of the order tuple.
 SILVER_ROW = T.StructType(SILVER.fields + ORDER_EXTRA.fields)
-SILVER_LOG = T.StructType(SILVER_ROW.fields + [T.StructField(VERSION, T.LongType())])
-# A batch commits one row; a compaction one per date it rewrote.
-COMMIT = _fields(
-    kind=_STRING,
-    version=T.LongType(),
-    source=_STRING,
-    batch_id=T.LongType(),
-    date=_STRING,
-    holds_rows=T.BooleanType(),
-)
 
 # Dead letters. `_source` and `_batch_id` are directories, so that writing the
 # letters of a batch again replaces them.

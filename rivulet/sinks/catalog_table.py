@@ -51,23 +51,21 @@ class CatalogTable:
         within = day.isNull() | day.between(F.lit(span.low), F.lit(span.high))
         return match & day.eqNullSafe(F.col(f"source.{SILVER_PARTITION}")) & within
 
-    def upsert(self, rows: DataFrame, source: str, batch_id: int) -> bool:
+    def upsert(self, rows: DataFrame, source: str, batch_id: int) -> None:
         """Merges one batch, unique by key. The merge is keyed, so repeating it is harmless."""
         rows = rows.to(SILVER_ROW)
         if not self.exists():
             rows.writeTo(self.name).using(self.provider).partitionedBy(F.col(SILVER_PARTITION)).create()
-            return True
+            return
         merge = rows.alias("source").mergeInto(self.name, self._match(rows))
         matched = merge.whenMatched(self._newer()) if self.order_guard else merge.whenMatched()
         matched.updateAll().whenNotMatched().insertAll().merge()
-        return True
 
     def snapshot(self) -> DataFrame:
         return self.spark.table(self.name).select(*SILVER.names)
 
-    def compact(self) -> bool:
+    def compact(self) -> None:
         """Delta's own clustering command; other formats have their own."""
         if self.provider != "delta":
             raise ValueError(f"{self.provider} tables are compacted with the format's own procedures")
         self.spark.sql(f"OPTIMIZE {self.name} ZORDER BY (Amount)")
-        return True

@@ -1,162 +1,79 @@
-"""Silver as a log of batches, where no table format with MERGE is at hand.
-
-    batch/_version=7/TransactionDate=2024-01-31/...   latest rows of one batch
-    base/_version=6/TransactionDate=2024-01-30/...    a date as of version 6
-    commits/                                          what is finished
-
-An upsert writes only the batch, never the table: readers merge. A compaction
-rewrites only the dates that the batches touched; every other date stays where
-an earlier one put it. Folders are final once committed, and readers open only
-committed ones, so a reader never meets a half-written batch and a crashed write
-leaves nothing visible. A compaction may run next to the one job that upserts;
-two upserting jobs must not run at once.
+"""Silver as a folder per batch, where no table format with MERGE is at hand.
+
+    base/TransactionDate=2024-01-30/...                                what a compaction wrote, if any
+    batch/_source=<query id>/_batch=7/TransactionDate=2024-01-31/...   latest rows of one batch
+
+An upsert writes only the batch, never the table: readers merge. A batch that runs
+again overwrites its own folder. A compaction writes the merged rows as the base of
+another root and leaves this one as it is.
+
+These are plain Parquet folders with Spark's own committer. A reader that lists a
+batch while it is being written may miss some of its rows, and one that is reading a
+batch while it runs again may fail; neither sees anything wrong afterwards.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from rivulet.operators.latest import latest_per_key
 from rivulet.operators.upsert import merge_upsert
-from rivulet.schemas import COMMIT, KEY, ORDER, SILVER, SILVER_LOG, SILVER_PARTITION, SILVER_ROW, VERSION
+from rivulet.schemas import KEY, ORDER, SILVER, SILVER_PARTITION, SILVER_ROW
 from rivulet.sources.files import read_table
 
-
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-
-@dataclass(frozen=True)
-class LiveVersions:
-    """What readers must read: per date the base version that holds it, and the
-    batches after the last compaction. Dates and open batches are both few."""
-
-    base: int | None
-    dates: dict[str, int]
-    batches: list[int]
+PROCESSED = "_processed_insert_timestamp"
 
 
 class SilverLog:
     """`order_guard` decides which row of a key counts: the greatest order tuple
-    (default), or, without it, simply the one processed last."""
+    (default), or, without it, the one processed last."""
 
     def __init__(self, spark: SparkSession, root: str, order_guard: bool = True):
         self.spark = spark
         self.root = root.rstrip("/")
         self.order_guard = order_guard
-        self.order = [*ORDER, VERSION] if order_guard else [VERSION]
-
-    def _commits(self) -> DataFrame:
-        return read_table(self.spark, f"{self.root}/commits", COMMIT)
-
-    def _commit(self, rows: DataFrame) -> None:
-        """Appends commit rows in one file, so that they appear together or not at all."""
-        rows.to(COMMIT).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
-
-    def exists(self) -> bool:
-        return not self._commits().isEmpty()
-
-    def live(self) -> LiveVersions:
-        commits = self._commits()
-        base = commits.filter(F.col("kind") == "base").groupBy("date")
-        newest = base.agg(F.max_by(F.struct("version", "holds_rows"), "version").alias("at")).collect()
-        dates = {r.date: r.at.version for r in newest if r.at.holds_rows}
-        last = max((r.at.version for r in newest), default=None)
-        batches = commits.filter((F.col("kind") == "batch") & (F.col("version") > F.lit(-1 if last is None else last)))
-        return LiveVersions(last, dates, sorted(r.version for r in batches.select("version").distinct().collect()))
-
-    def upsert(self, rows: DataFrame, source: str, batch_id: int) -> bool:
-        """Adds one batch, unique by key; False if this batch is there already."""
-        mine = (F.col("source") == source) & (F.col("batch_id") == batch_id)
-        state = (
-            self._commits()
-            .filter(F.col("kind") == "batch")
-            .agg(F.max("version").alias("last"), F.count_if(mine).alias("seen"))
-            .first()
-        )
-        if state.seen:
-            return False
-        version = 0 if state.last is None else state.last + 1
+        self.order = [*ORDER, PROCESSED] if order_guard else [PROCESSED, *ORDER]
+
+    def upsert(self, rows: DataFrame, source: str, batch_id: int) -> None:
+        """Adds one batch, unique by key, in place of what (source, batch_id) wrote before."""
         # Rebalancing gathers a date's rows into few files, and splits a date
         # that is too large for one task.
         balanced = rows.to(SILVER_ROW).hint("rebalance", SILVER_PARTITION)
-        balanced.write.mode("overwrite").partitionBy(SILVER_PARTITION).parquet(f"{self.root}/batch/{VERSION}={version}")
-        done = self.spark.range(1).select(
-            F.lit("batch").alias("kind"),
-            F.lit(version).alias("version"),
-            F.lit(source).alias("source"),
-            F.lit(batch_id).alias("batch_id"),
-        )
-        self._commit(done)
-        return True
-
-    def _read(self, kind: str, folders: Sequence[str]) -> DataFrame:
-        root = f"{self.root}/{kind}"
-        if not folders:
-            return self.spark.createDataFrame([], SILVER_LOG)
-        paths = [f"{root}/{folder}" for folder in folders]
-        return self.spark.read.schema(SILVER_LOG).option("basePath", root).parquet(*paths)
+        folder = f"{self.root}/batch/_source={source}/_batch={batch_id}"
+        balanced.write.mode("overwrite").partitionBy(SILVER_PARTITION).parquet(folder)
 
-    def _base(self, live: LiveVersions) -> DataFrame:
-        return self._read("base", [f"{VERSION}={v}/{SILVER_PARTITION}={date}" for date, v in live.dates.items()])
+    def _read(self, part: str) -> DataFrame:
+        return read_table(self.spark, f"{self.root}/{part}", SILVER_ROW).select(*SILVER_ROW.names)
 
-    def _batches(self, live: LiveVersions) -> DataFrame:
-        return self._read("batch", [f"{VERSION}={v}" for v in live.batches])
+    def _merged(self, fixed_dates: bool = False) -> DataFrame:
+        base, batches = self._read("base"), self._read("batch")
+        if fixed_dates:
+            return latest_per_key(base.unionByName(batches), [SILVER_PARTITION, KEY], self.order)
+        return merge_upsert(base, batches, KEY, self.order)
 
     def snapshot(self, fixed_dates: bool = False) -> DataFrame:
         """The table now: one row per transaction id.
 
-        Without batches since the last compaction this is a plain scan. With
-        `fixed_dates`, the caller's word that no transaction ever changes its
-        date, the date is part of the key and a filter on it prunes partitions.
+        Without batches since the compaction this is a plain scan: Spark drops the
+        joins with a part that is not there. With `fixed_dates`, the caller's word
+        that no transaction ever changes its date, the date is part of the key and a
+        filter on it prunes partitions.
         """
-        live = self.live()
-        base, batches = self._base(live), self._batches(live)
-        if not live.batches:
-            rows = base
-        elif fixed_dates:
-            rows = latest_per_key(base.unionByName(batches), [SILVER_PARTITION, KEY], self.order)
-        elif live.dates:
-            rows = merge_upsert(base, batches, KEY, self.order)
-        else:
-            rows = latest_per_key(batches, KEY, self.order) if len(live.batches) > 1 else batches
-        return rows.select(*SILVER.names)
-
-    def compact(self) -> bool:
-        """Folds the batches into the base, clustered by amount within the date.
-
-        The dates to rewrite are those of the batch rows and of the base rows
-        they replace; a scan of the base's keys finds the latter. The range split
-        ends with the key, which is unique, so neither a hot date nor a common
-        amount can fill one task.
+        return self._merged(fixed_dates).select(*SILVER.names)
+
+    def compact(self, root: str) -> SilverLog:
+        """Writes the table, clustered by amount within the date, as the base of a new root.
+
+        Returns silver at that root. Stop the job that upserts, compact, and let it go
+        on at the new root: what it writes to the old one in between is not taken over.
+        The range split ends with the key, which is unique, so neither a hot date nor a
+        common amount can fill one task.
         """
-        live = self.live()
-        if not live.batches:
-            return False
-        version = max(live.batches)
-        base, batches = self._base(live), self._batches(live)
-        replaced = base.join(batches.select(KEY).distinct(), KEY, "left_semi")
-        touched = self._dates(batches.select(SILVER_PARTITION).unionByName(replaced.select(SILVER_PARTITION)))
-        rewritten = self._base(
-            LiveVersions(live.base, {d: v for d, v in live.dates.items() if d in touched}, live.batches)
-        )
+        compacted = SilverLog(self.spark, root, self.order_guard)
         clustered = (
-            merge_upsert(rewritten, batches, KEY, self.order)
-            .select(*SILVER_ROW.names)
+            self._merged()
             .repartitionByRange(SILVER_PARTITION, "Amount", KEY)
             .sortWithinPartitions(SILVER_PARTITION, "Amount")
         )
-        folder = f"{self.root}/base/{VERSION}={version}"
-        clustered.write.mode("overwrite").partitionBy(SILVER_PARTITION).parquet(folder)
-        filled = self._dates(self.spark.read.schema(SILVER_ROW).parquet(folder).select(SILVER_PARTITION))
-        done = [("base", version, "compaction", None, date, date in filled) for date in sorted(touched)]
-        self._commit(self.spark.createDataFrame(done, COMMIT))
-        return True
-
-    def _dates(self, rows: DataFrame) -> set[str]:
-        """The distinct dates of some rows, as they are written in folder names."""
-        name = F.coalesce(F.col(SILVER_PARTITION).cast("string"), F.lit(NULL_PARTITION))
-        return {r.date for r in rows.select(name.alias("date")).distinct().collect()}
+        clustered.write.partitionBy(SILVER_PARTITION).parquet(f"{compacted.root}/base")
+        return compacted

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.schemas import BRONZE, CORRUPT, FILE_ROW, TOPIC, TRANSACTION
@@ -91,7 +92,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        # Known to be empty when the plan is made, so joins with it fall away.
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        return spark.range(1).filter(F.lit(False)).select(*nothing)
 
 
 _ROW_SCHEMA = T.StructType(TRANSACTION.fields + [T.StructField(CORRUPT, T.StringType())])

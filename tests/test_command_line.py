@@ -19,12 +19,13 @@ def test_the_whole_pipeline_from_the_command_line(spark, zones, capfd):
         main(["land", "--root", zones.root, "--drain"])
         main(["bronze", "--root", zones.root, "--drain"])
         main(["silver", "--root", zones.root])
-    main(["compact", "--root", zones.root])
-    main(["replay", "--root", zones.root])
-    main(["show", "--root", zones.root])
-    log = SilverLog(spark, zones.silver)
-    assert log.live().base == 0 and log.live().batches == []
-    silver = log.snapshot()
+    with pytest.raises(SystemExit, match="--to"):
+        main(["compact", "--root", zones.root])
+    compacted = f"{zones.silver}-2"
+    main(["compact", "--root", zones.root, "--to", compacted])
+    main(["replay", "--root", zones.root, "--silver", compacted])
+    main(["show", "--root", zones.root, "--silver", compacted])
+    silver = SilverLog(spark, compacted).snapshot()
     assert 50 < silver.count() <= 100
     assert spark.read.format("binaryFile").load(zones.landing).count() == 40
     assert "_processed_insert_timestamp" in capfd.readouterr().out
@@ -71,4 +72,15 @@ def test_catalog_table_creates_then_merges(spark):
     assert table.exists() and table.snapshot().count() == 1
     with pytest.raises(Exception, match="MERGE INTO TABLE"):
         table.upsert(rows, "q", 1)
+    with pytest.raises(ValueError, match="parquet"):
+        table.compact()
     spark.sql("DROP TABLE silver_by_catalog")
+
+
+def test_fixed_dates_bound_the_merge_by_the_dates_of_the_batch(spark):
+    rows = silver_rows(refine(documents(spark, data(transaction("1"), transaction("2")))), 0, F.current_timestamp())
+    later = rows.withColumn("TransactionDate", F.date_add("TransactionDate", 1))
+    target = rows.unionByName(later).alias("t")
+    for fixed_dates, matches in ((False, 4), (True, 2)):
+        table = CatalogTable(spark, "c.d.t", fixed_dates=fixed_dates)
+        assert rows.alias("source").join(target, table._match(rows)).count() == matches

@@ -21,6 +21,7 @@ from rivulet.sources.files import (
     dates_from,
     read_bronze,
     read_merged,
+    read_merged_bronze,
     read_table,
     stream_bronze,
     stream_topic_log,
@@ -53,6 +54,11 @@ def to_bronze(spark, zones, *texts, hour=0, first_offset=0):
     append_bronze(records, zones.bronze, batch_time(datetime(2024, 1, 31, hour, tzinfo=timezone.utc)))
 
 
+def batches(table):
+    """The folders of the batches in silver."""
+    return sorted(Path(table.root).glob("batch/*/*"))
+
+
 def amounts(table):
     return {r.TransactionId: float(r.Amount) for r in table.snapshot().collect()}
 
@@ -167,7 +173,7 @@ def test_silver_job_drains_resumes_and_updates(spark, zones):
     drain(start_silver(spark, zones, table))
     assert amounts(table) == {1: 10, 2: 20}
     drain(start_silver(spark, zones, table))  # nothing new
-    assert table.live().batches == [0]
+    assert len(batches(table)) == 1
     to_bronze(spark, zones, data(transaction("2", "21"), transaction("3", "31")), hour=2)
     drain(start_silver(spark, zones, table))
     assert amounts(table) == {1: 10, 2: 21, 3: 31}
@@ -180,7 +186,7 @@ def test_backlog_in_bounded_batches(spark, zones, limit):
     for i in range(3):
         to_bronze(spark, zones, data(transaction(str(i))), hour=i)
     drain(start_silver(spark, zones, table, **limit))
-    assert len(table.live().batches) == 3 and set(amounts(table)) == {0, 1, 2}
+    assert len(batches(table)) == 3 and set(amounts(table)) == {0, 1, 2}
 
 
 def test_since_leaves_out_older_dates(spark, zones):
@@ -193,7 +199,7 @@ def test_since_leaves_out_older_dates(spark, zones):
     later = batch_time(datetime(2024, 2, 1, tzinfo=timezone.utc))
     append_bronze(topic(spark, [message(envelope(data(transaction("32"))), 32)]), zones.bronze, later)
     drain(start_silver(spark, zones, table, since=date(2024, 1, 31)))  # same checkpoint: nothing twice
-    assert set(amounts(table)) == {30, 31, 32} and len(table.live().batches) == 2
+    assert set(amounts(table)) == {30, 31, 32} and len(batches(table)) == 2
     stream = stream_bronze(spark, zones.bronze, date(2024, 2, 1))
     query = stream.writeStream.format("memory").queryName("since").trigger(availableNow=True).start()
     drain(query)
@@ -210,6 +216,28 @@ def test_date_patterns_match_that_day_and_all_later_ones(first):
         assert any(fnmatch.fnmatchcase(other.isoformat(), p) for p in patterns) == (other >= day), other
 
 
+def test_a_batch_knows_its_query(spark, zones):
+    to_bronze(spark, zones, SAMPLE)
+    seen = []
+
+    def write(batch, _):
+        seen.append(query_id(batch.sparkSession, "/no/such/checkpoint"))
+
+    stream = stream_bronze(spark, zones.bronze).writeStream.foreachBatch(write)
+    query = stream.option("checkpointLocation", zones.checkpoint("seen")).trigger(availableNow=True).start()
+    drain(query)
+    assert seen == [query.id]
+
+
+def test_grown_columns_are_read(spark, zones):
+    assert read_merged_bronze(spark, zones.bronze).schema == BRONZE
+    to_bronze(spark, zones, SAMPLE, hour=5)
+    grown = topic(spark, [message("x", 1)]).withColumn("headers", F.lit("h"))
+    append_bronze(grown, zones.bronze, batch_time(datetime(2024, 1, 31, 6, tzinfo=timezone.utc)))
+    rows = {r._raw_insert_hour: r.headers for r in read_merged_bronze(spark, zones.bronze).collect()}
+    assert rows == {"05": None, "06": "h"}
+
+
 def test_bronze_files_per_batch(spark, zones):
     records = topic(spark, [message("x", i) for i in range(64)]).repartition(16)
     assert append_bronze(records, zones.bronze, batch_time(), files=2) == 64
@@ -225,7 +253,7 @@ def test_lost_checkpoint_reprocesses_without_harm(spark, zones, tmp_path):
     os.rename(zones.checkpoint("processed"), str(tmp_path / "lost"))
     drain(start_silver(spark, zones, table, maxFilesPerTrigger="1"))
     assert query_id(spark, zones.checkpoint("processed")) != first
-    assert len(table.live().batches) > 1
+    assert len(batches(table)) > 1
     assert amounts(table) == {1: 11}
 
 
@@ -249,7 +277,7 @@ def test_dead_letters_of_a_mixed_batch(spark, zones):
     assert reasons["badid"] == reasons["badts"] == reasons["badcust"] == reasons["timeonly"] == "bad_type"
     assert reasons["nokey"] == reasons["blankkey"] == reasons["nothing"] == "null_key"
     assert {r.transaction.TransactionId for r in rejected if r.key == "badid"} == {"abc"}
-    assert table.live().batches == [0]
+    assert len(batches(table)) == 1
     assert None not in amounts(table)
 
 

@@ -74,6 +74,16 @@ def test_small_source_does_not_shuffle_the_target(spark, tmp_path):
             assert plan.count("hashpartitioning(TransactionId") == 1
 
 
+def test_rows_without_a_key_meet_no_join(spark, tmp_path):
+    frame(spark, [row(k or None, 1, k) for k in range(9)]).write.parquet(f"{tmp_path}/t")
+    target = spark.read.parquet(f"{tmp_path}/t")
+    merged = merge_upsert(target, target, KEY, ORDER)
+    assert content(merged) == [(-1, 0), (-1, 0), *[(k, k) for k in range(1, 9)]]
+    lines = merged._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [i for i, line in enumerate(lines) if "Join Left" in line]
+    assert len(joins) == 2 and all("Filter isnotnull(TransactionId" in lines[i + 1] for i in joins)
+
+
 def test_a_repeated_source_key_costs_one_row_per_task(spark):
     source = spark.range(0, 300_000, 1, 8).select(F.lit(7).cast("long").alias(KEY), F.col("id").alias("v"))
     target = spark.range(10).select(F.col("id").alias(KEY), F.lit(-1).cast("long").alias("v"))
@@ -109,77 +119,59 @@ def log(spark, tmp_path):
 
 
 def test_empty_log(log):
-    assert not log.exists()
     assert log.snapshot().count() == 0
-    assert log.compact() is False
+    assert log.compact(f"{log.root}-2").snapshot().count() == 0
 
 
 def test_batches_merge_on_read(spark, log):
     log.upsert(frame(spark, [row(1, 1, 10), row(2, 1, 20)]), "q", 0)
     log.upsert(frame(spark, [row(2, 2, 21), row(3, 2, 31)]), "q", 1)
-    assert log.exists()
     assert content(log.snapshot()) == [(1, 10), (2, 21), (3, 31)]
 
 
-def test_a_batch_is_applied_once(spark, log):
-    assert log.upsert(frame(spark, [row(1, 1, 10)]), "q", 0)
-    assert not log.upsert(frame(spark, [row(1, 9, 99)]), "q", 0)
+def test_a_batch_that_runs_again_replaces_itself(spark, log):
+    for _ in range(2):
+        log.upsert(frame(spark, [row(1, 1, 10), row(2, 1, 20)]), "q", 0)
+        assert content(log.snapshot()) == [(1, 10), (2, 20)]
+    log.upsert(frame(spark, [row(1, 1, 10)]), "q", 0)
     assert content(log.snapshot()) == [(1, 10)]
 
 
 def test_a_new_query_may_reuse_batch_ids(spark, log):
     log.upsert(frame(spark, [row(1, 1, 10)]), "q", 0)
-    assert log.upsert(frame(spark, [row(1, 9, 99)]), "r", 0)
+    log.upsert(frame(spark, [row(1, 9, 99)]), "r", 0)
     assert content(log.snapshot()) == [(1, 99)]
 
 
-def test_unfinished_write_is_invisible_and_replaced(spark, log):
-    log.upsert(frame(spark, [row(1, 1, 10)]), "q", 0)
-    frame(spark, [row(5, 5, 50)]).write.partitionBy("TransactionDate").parquet(f"{log.root}/batch/_version=1")
-    assert content(log.snapshot()) == [(1, 10)]
-    log.upsert(frame(spark, [row(2, 2, 20)]), "q", 1)
-    assert content(log.snapshot()) == [(1, 10), (2, 20)]
+def processed(rows, hour):
+    return rows.withColumn("_processed_insert_timestamp", F.lit(T0 + timedelta(hours=hour)))
 
 
 def test_late_batch_and_the_guard(spark, tmp_path):
     newer, older = frame(spark, [row(1, 5, 50)]), frame(spark, [row(1, 1, 10), row(2, 1, 20)])
     for guard, expected in [(True, [(1, 50), (2, 20)]), (False, [(1, 10), (2, 20)])]:
         log = SilverLog(spark, str(tmp_path / f"silver-{guard}"), order_guard=guard)
-        log.upsert(newer, "q", 0)
-        log.upsert(older, "q", 1)
+        log.upsert(processed(newer, 0), "q", 0)
+        log.upsert(processed(older, 1), "q", 1)
         assert content(log.snapshot()) == expected
-        log.compact()
+        log = log.compact(f"{log.root}-2")
         assert content(log.snapshot()) == expected
-        log.upsert(frame(spark, [row(2, 0, 1)]), "q", 2)
+        log.upsert(processed(frame(spark, [row(2, 0, 1)]), 2), "q", 2)
         assert content(log.snapshot()) == [expected[0], (2, 20) if guard else (2, 1)]
 
 
 def test_changed_date_leaves_nothing_behind(spark, log):
     log.upsert(frame(spark, [row(1, 1, 10, date=0)]), "q", 0)
-    log.compact()
+    log = log.compact(f"{log.root}-2")
     log.upsert(frame(spark, [row(1, 2, 11, date=1)]), "q", 1)
     for _ in range(2):
         assert [(str(r.TransactionDate), int(r.Amount)) for r in log.snapshot().collect()] == [("2024-01-02", 11)]
-        log.compact()
-
-
-def test_batch_committed_while_compacting_survives(spark, log, monkeypatch):
-    log.upsert(frame(spark, [row(1, 1, 10)]), "q", 0)
-    commit = log._commit
-
-    def slow_commit(rows):
-        monkeypatch.setattr(log, "_commit", commit)
-        log.upsert(frame(spark, [row(1, 2, 11), row(2, 2, 20)]), "q", 1)
-        commit(rows)
-
-    monkeypatch.setattr(log, "_commit", slow_commit)
-    log.compact()
-    assert content(log.snapshot()) == [(1, 11), (2, 20)]
+        log = log.compact(f"{log.root}-2")
 
 
 def test_fixed_dates_prune_partitions(spark, log):
     log.upsert(frame(spark, [row(k, 1, k, date=k % 5) for k in range(20)]), "q", 0)
-    log.compact()
+    log = log.compact(f"{log.root}-2")
     log.upsert(frame(spark, [row(k, 2, 100 + k, date=k % 5) for k in range(10)]), "q", 1)
     one_day = log.snapshot(fixed_dates=True).filter("TransactionDate = date'2024-01-03'")
     assert content(one_day) == [(2, 102), (7, 107), (12, 12), (17, 17)]
@@ -218,43 +210,12 @@ def test_a_hot_date_is_split_over_tasks(spark, log):
     assert log.snapshot().count() == 200_000
 
 
-def test_compaction_leaves_untouched_dates_alone(spark, log):
-    log.upsert(frame(spark, [row(k, 1, k, date=k % 4) for k in range(1, 9)]), "q", 0)
-    log.compact()
-    # Key 1 moves from date 1 to date 5, key 2 stays on its date; key 9 is new on date 5.
-    log.upsert(frame(spark, [row(1, 2, 91, date=5), row(2, 2, 92, date=2), row(9, 2, 99, date=5)]), "q", 1)
-    before = content(log.snapshot())
-    log.compact()
-    assert log.live().dates == {
-        "2024-01-01": 0,
-        "2024-01-02": 1,
-        "2024-01-03": 1,
-        "2024-01-04": 0,
-        "2024-01-06": 1,
-    }
-    assert content(log.snapshot()) == before
-    assert before == [(1, 91), (2, 92), (3, 3), (4, 4), (5, 5), (6, 6), (7, 7), (8, 8), (9, 99)]
-
-
-def test_a_date_that_lost_its_rows_is_gone(spark, log):
-    log.upsert(frame(spark, [row(1, 1, 10, date=0), row(2, 1, 20, date=1)]), "q", 0)
-    log.compact()
-    log.upsert(frame(spark, [row(1, 2, 11, date=1)]), "q", 1)
-    log.compact()
-    assert log.live().dates == {"2024-01-02": 1}
-    assert content(log.snapshot()) == [(1, 11), (2, 20)]
-    log.upsert(frame(spark, [row(3, 3, 30, date=0)]), "q", 2)
-    log.compact()
-    assert log.live().dates == {"2024-01-01": 2, "2024-01-02": 1}
-    assert content(log.snapshot()) == [(1, 11), (2, 20), (3, 30)]
-
-
 def test_null_dates_are_kept_once(spark, log):
     def undated(order, amount):
         return (1, amount, 1, None, None, *row(1, order, amount)[5:])
 
     log.upsert(frame(spark, [undated(1, 10)]), "q", 0)
-    log.compact()
+    log = log.compact(f"{log.root}-2")
     log.upsert(frame(spark, [undated(2, 11)]), "q", 1)
     assert content(log.snapshot()) == content(log.snapshot(fixed_dates=True)) == [(1, 11)]
 
@@ -262,8 +223,10 @@ def test_null_dates_are_kept_once(spark, log):
 def test_compaction_clusters_by_amount_within_the_date(spark, log):
     log.upsert(frame(spark, [row(k, 1, 997 * k % 1000, date=k % 3) for k in range(300)]), "q", 0)
     before = content(log.snapshot())
-    assert log.compact() and not log.compact()
-    base = spark.read.parquet(f"{log.root}/base/_version=0").withColumn("file", F.input_file_name())
+    log = log.compact(f"{log.root}-2")
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        log.compact(log.root)
+    base = spark.read.parquet(f"{log.root}/base").withColumn("file", F.input_file_name())
     ranges = base.groupBy("TransactionDate", "file").agg(F.min("Amount").alias("lo"), F.max("Amount").alias("hi"))
     by_date = {}
     for r in ranges.collect():
@@ -273,7 +236,7 @@ def test_compaction_clusters_by_amount_within_the_date(spark, log):
         assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
     assert content(log.snapshot()) == before
     plan = log.snapshot()._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Window" not in plan
+    assert "Exchange" not in plan and "Join" not in plan and "Window" not in plan
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
@@ -296,7 +259,7 @@ def test_folding_batches_equals_one_global_latest(spark, tmp_path_factory, batch
         everything += rows
         log.upsert(latest_per_key(frame(spark, rows), KEY, ORDER), "q", batch_id)
         if batch_id in compact_after:
-            log.compact()
+            log = log.compact(f"{log.root}-2")
     expected = {}
     for r in everything:
         if r[0] not in expected or r[12] > expected[r[0]][0]:
