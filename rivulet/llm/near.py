@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from rivulet.llm.common import WORD, filled, mapped, slices, stored
 from rivulet.llm.subwords import span_hashes
 
 SHINGLE = 5
-SIMILARITY = 0.8
+SIMILARITY = Fraction(4, 5)
 REGISTERS = 128
 BAND_ROWS = 5
 # Members of a bucket that are compared at a time.
@@ -82,18 +83,34 @@ def _weighted(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(keys[a:b], counts[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Exact similarity: sum over common i of 1 / sum over j of max(a_j / a_i, b_j / b_i)."""
-    common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    if not len(common):
-        return 0.0
-    x, y = a[1][i].astype(float), b[1][j].astype(float)
+def _terms(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(numerators, denominators), whole numbers, of what each common shingle adds to the similarity."""
+    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    x, y = a[1][i].astype(np.int64), b[1][j].astype(np.int64)
     order = np.argsort(x / y, kind="stable")
     x, y = x[order], y[order]
     # Where j comes after i in this order, a_j / a_i is the greater one; before, b_j / b_i.
-    later = a[1].sum() - x.sum() + x.sum() - np.cumsum(x) + x
+    later = a[1].sum() - np.cumsum(x) + x
     earlier = b[1].sum() - y.sum() + np.cumsum(y) - y
-    return float((1.0 / (later / x + earlier / y)).sum())
+    return x * y, later * y + earlier * x
+
+
+def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Similarity: sum over common i of 1 / sum over j of max(a_j / a_i, b_j / b_i)."""
+    over, under = _terms(a, b)
+    return float((over / under).sum())
+
+
+def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> bool:
+    """Whether the similarity is `SIMILARITY` or more; where rounding could decide, by exact fractions."""
+    over, under = _terms(a, b)
+    rounded = float((over / under).sum())
+    if abs(rounded - float(SIMILARITY)) > 1e-9:
+        return rounded > SIMILARITY
+    # Shingles with one ratio of weights add equal parts of their weights, so few fractions are left.
+    divisor = np.gcd(over, under)
+    parts, counts = np.unique(np.stack([over // divisor, under // divisor]), axis=1, return_counts=True)
+    return sum(int(n) * Fraction(int(x), int(y)) for x, y, n in zip(*parts, counts)) >= SIMILARITY
 
 
 def signatures(owner: np.ndarray, keys: np.ndarray, weights: np.ndarray, texts: int, registers: int = REGISTERS) -> np.ndarray:
@@ -138,7 +155,7 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, left = batch.column("a").to_pylist(), batch.column("text_a").to_pylist()
         new = [i for i in range(len(a)) if i == 0 or a[i] != a[i - 1]]  # rows come by a
         firsts = dict(zip((a[i] for i in new), _weighted([left[i] for i in new])))
-        good = [probability_jaccard(firsts[x], y) >= SIMILARITY for x, y in zip(a, _weighted(batch.column("text_b").to_pylist()))]
+        good = [similar(firsts[x], y) for x, y in zip(a, _weighted(batch.column("text_b").to_pylist()))]
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(good, pa.bool_())], names=["a", "b", "similar"])
 
 
@@ -169,7 +186,7 @@ def _joined(table: pa.Table) -> pa.Table:
         others = others[~earlier & (label[others] != label[i])]
         for j in others.tolist():
             x, y = root(int(label[i])), root(int(label[j]))
-            if x != y and probability_jaccard(sets[i], sets[j]) >= SIMILARITY:
+            if x != y and similar(sets[i], sets[j]):
                 head[x] = y
                 links.append((min(node[i], node[j]), max(node[i], node[j])))
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from rivulet.llm.exact import exact_groups, keep_one_of_equals
 from rivulet.llm.language import keep_known_languages, predict_languages
 from rivulet.llm.lm import score_documents
 from rivulet.llm.mixing import mix, mixed_documents
-from rivulet.llm.near import keep_one_of_near, near_classes, probability_jaccard, shingles
+from rivulet.llm.near import _joined, _similar, keep_one_of_near, near_classes, probability_jaccard, shingles, similar
 from rivulet.llm.packing import packed_documents, piece_bounds, plan_sequences
 from rivulet.llm.pii import base_spans, personal_data, redacted
 from rivulet.llm.queries import tokenizer
@@ -110,6 +111,21 @@ def test_probability_jaccard_is_jaccard_for_even_weights():
     assert probability_jaccard(x, y) == pytest.approx(slow)
 
 
+def test_similarity_of_exactly_the_limit_links():
+    even = lambda n: (np.arange(n, dtype=np.uint64), np.ones(n, int))
+    assert all(similar(even(4 * k), even(5 * k)) and not similar(even(4 * k - 1), even(5 * k)) for k in range(1, 1000))
+    # 1/5 + 3 * 1/5 with uneven weights, and just below it
+    assert similar((np.arange(4, dtype=np.uint64), np.full(4, 3)), (np.arange(5, dtype=np.uint64), np.full(5, 7)))
+    assert not similar((np.arange(5, dtype=np.uint64), np.array([1, 1, 1, 1, 2])), (np.arange(5, dtype=np.uint64), np.array([3, 3, 3, 3, 1])))
+    for words, common in ((19, 16), (64, 52)):  # 12 of 15 shingles, 48 of 60
+        text = " ".join(f"w{i}" for i in range(words))
+        part = " ".join(text.split()[:common])
+        pair = pa.record_batch({"a": pa.array([1]), "b": pa.array([2]), "text_a": [text], "text_b": [part]})
+        assert next(_similar(iter([pair]))).column("similar").to_pylist() == [True]
+        block = {"node": [1, 2], "class": [1, 2], "block": [0, 0], "band": [0, 0], "bands": [[1], [1]], "one": [True, True], "text": [text, part]}
+        assert _joined(pa.table(block)).to_pylist() == [{"a": 1, "b": 2}]
+
+
 def test_repeats_against_brute_force(docs, empty):
     found = {(r.doc_id, r.n_bytes): r for r in remove_repeats(docs).collect()}
     order = sorted(TEXTS, key=lambda t: (t[0] is None, t[0]))
