@@ -11,9 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from rivulet.llm.chat import conversation_digests, escape, format_conversations, read_turns, unescape
+from rivulet.llm.chunks import pack_chunks
 from rivulet.llm.exact import exact_groups, keep_one_of_equals
 from rivulet.llm.language import keep_known_languages, predict_languages
-from rivulet.llm.lm import score_documents
+from rivulet.llm.lm import START, VOCABULARY, pair_counts, score_documents, train_model
 from rivulet.llm.mixing import mix, mixed_documents
 from rivulet.llm.near import _joined, _similar, keep_one_of_near, near_classes, probability_jaccard, shingles, similar
 from rivulet.llm.packing import packed_documents, piece_bounds, plan_sequences
@@ -257,6 +258,25 @@ def test_language_model(docs, empty):
     assert score_documents(empty, tokenizer()).count() == 0
 
 
+def test_language_model_counts_all_training_documents(spark, monkeypatch):
+    monkeypatch.setattr("rivulet.llm.chunks.CHUNK_BYTES", 20_000)
+    texts = [f"w{i} the of and" for i in range(4500)] + ["zebra " * 3000]  # more than 4,000 documents
+    rows = spark.createDataFrame([(i, i % 5 == 1, t) for i, t in enumerate(texts)], "doc_id long, held_out boolean, text string").repartition(4)
+    chunks = pack_chunks(rows, more=("held_out",))
+    encoder, expected = subwords(tokenizer()).tokenizer, Counter()
+    for i, t in enumerate(texts):
+        if i % 5 != 1:
+            ids = [START, *encoder.encode(t, add_special_tokens=False).ids, START]
+            expected.update(zip(ids[:-1], ids[1:]))
+    assert {(r.before, r.subword): r.n for r in pair_counts(chunks, tokenizer()).collect()} == expected
+    model = train_model(chunks, tokenizer())
+    # A distribution: classes add up to one, and so do the subwords of each class.
+    sums = np.stack([np.bincount(model.class_of, e, 64) for e in model.emit])
+    assert sums[:, np.unique(model.class_of)] == pytest.approx(1, abs=1e-3) and model.emit.shape == (64, VOCABULARY)
+    trained = model.token_logs([np.array(x) for x in ([START], encoder.encode("the of and").ids)])
+    assert np.isfinite(trained).all()
+
+
 def test_top_k(spark):
     vectors = [(i, RNG.normal(size=8).round(2).tolist()) for i in range(120)]
     vectors += [(50, vectors[50][1]), (200, None), (201, [1.0, None] * 4), (202, [float("nan")] * 8), (None, [1.0] * 8), (150, [])]
