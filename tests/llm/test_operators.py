@@ -277,6 +277,20 @@ def test_language_model_counts_all_training_documents(spark, monkeypatch):
     assert np.isfinite(trained).all()
 
 
+def test_score_is_the_attention_models_own(spark):
+    texts = ["the of and in that", "THE  of\nand in that", "zyxwv qwertz"] * 4
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = {r.doc_id: r for r in score_documents(docs, tokenizer()).collect()}
+    held = docs.withColumn("held_out", F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1)
+    model, encoder = train_model(pack_chunks(held, more=("held_out",)), tokenizer()), subwords(tokenizer())
+    for i, t in enumerate(texts):
+        ids = np.append(encoder.encode([t])[0].astype(int), START)
+        assert found[i].score == pytest.approx(model.token_logs([ids]).sum())
+    # Spellings of one text share the baseline's score, not the model's.
+    assert found[0].base_score == found[1].base_score and found[0].score != found[1].score
+    assert found[0].mixed_score >= found[0].base_score - 0.302 * found[0].n_tokens
+
+
 def test_top_k(spark):
     vectors = [(i, RNG.normal(size=8).round(2).tolist()) for i in range(120)]
     vectors += [(50, vectors[50][1]), (200, None), (201, [1.0, None] * 4), (202, [float("nan")] * 8), (None, [1.0] * 8), (150, [])]
