@@ -7,7 +7,9 @@ strings have equal keys. Keys of a single document are done with. The others bri
 their surroundings together by key, and there a Burrows-Wheeler transform decides:
 breadth-first backward extension visits the intervals of all strings by growing
 length and sets a common prefix between neighbours when it first separates them.
-It stops at `LEAST`: what is not separated by then repeats.
+It stops at `LEAST`: what is not separated by then repeats. A hot key, one whose
+surroundings are too many for a transform, is split instead: its single strings of
+`LEAST` bytes are dealt out by their own hash, and equal ones meet there.
 """
 
 from __future__ import annotations
@@ -31,8 +33,10 @@ PLACES = LEAST - GRAM + 1
 _POSITION_BITS = np.uint64(24)
 _NO_ID = np.iinfo(np.int64).max
 _NONE = np.uint64(2**64 - 1)
-# Text that one transform holds, unless the surroundings of a single key are longer.
+# Text that one transform holds.
 TRANSFORM_BYTES = 1_000_000
+# A key with more distinct runs, which one transform could not hold, is hot.
+HOT_RUNS = TRANSFORM_BYTES // (LEAST + PLACES - 1)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -101,8 +105,16 @@ def _grouped(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return ordered[starts], starts, *[v[order] for v in values]
 
 
+def _strings(data: np.ndarray, runs: Runs, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, place, document) of every string of these runs."""
+    count = runs.last[which] - runs.first[which] + 1
+    place = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count - runs.first[which], count)
+    return span_hashes(data, place, place + LEAST), place, np.repeat(runs.doc[which], count)
+
+
 def _ask_keys(parts: int):
-    """Per part: distinct keys and whether two documents of the chunk share one."""
+    """Per part: distinct keys, whether two documents of the chunk share one, and how many
+    distinct runs more than one a key has in the chunk, where it has more."""
 
     def requests(row: dict) -> Iterator[tuple[int, bytes]]:
         data, lengths, ids = _read(row)
@@ -111,30 +123,46 @@ def _ask_keys(parts: int):
         if not len(keys):
             return
         shared = np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
+        _, sample = np.unique(runs.whole, return_index=True)
+        extra = np.bincount(np.searchsorted(keys, runs.key[sample]), minlength=len(keys)) - 1
         order, found, cuts = by_part(keys, parts)
         for part, a, b in zip(found.tolist(), cuts[:-1], cuts[1:]):
-            yield part, keys[order[a:b]].tobytes() + np.packbits(shared[order[a:b]]).tobytes()
+            own = order[a:b]
+            more = np.flatnonzero(extra[own] > 0)
+            counted = np.stack([more, extra[own][more]]).astype("<u4").tobytes()
+            yield part, np.array([len(own)], "<i8").tobytes() + keys[own].tobytes() + np.packbits(shared[own]).tobytes() + counted
 
     return requests
 
 
 def _answer_keys(blocks: list[bytes]) -> tuple[list[bytes], list[int]]:
-    """Per block the keys that more than one document has."""
-    sizes = [int(len(b) * 8 // 65) for b in blocks]
-    keys = np.concatenate([np.frombuffer(b[: 8 * n], dtype="<u8") for b, n in zip(blocks, sizes)])
-    shared = np.concatenate([np.unpackbits(np.frombuffer(b[8 * n :], np.uint8), count=n) for b, n in zip(blocks, sizes)]).astype(bool)
+    """Per block the keys that more than one document has, and those of them that are hot."""
+    sizes = [int(np.frombuffer(b, "<i8", 1)[0]) for b in blocks]
+    keys = np.concatenate([np.frombuffer(b, "<u8", n, 8) for b, n in zip(blocks, sizes)])
+    tails = [(b[8 + 8 * n : 8 + 8 * n + (n + 7) // 8], b[8 + 8 * n + (n + 7) // 8 :]) for b, n in zip(blocks, sizes)]
+    shared = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8), count=n) for (t, _), n in zip(tails, sizes)]).astype(bool)
+    runs = np.ones(len(keys), dtype=np.int64)
+    for (_, counted), start in zip(tails, np.cumsum([0, *sizes])):
+        more, extra = np.frombuffer(counted, "<u4").reshape(2, -1).astype(np.int64)
+        runs[start + more] += extra
     order = np.argsort(keys, kind="stable")
     equal = keys[order][1:] == keys[order][:-1]
     again = np.zeros(len(keys), dtype=bool)
     again[order[1:]] |= equal
     again[order[:-1]] |= equal
     again |= shared
+    # As many distinct runs as a key can have in all chunks together.
+    begins = np.flatnonzero(np.append(True, ~equal))
+    hot = np.empty(len(keys), dtype=bool)
+    hot[order] = np.repeat(np.add.reduceat(runs[order], begins) > HOT_RUNS, np.diff(np.append(begins, len(keys))))
+    hot &= again
     cuts = np.cumsum([0, *sizes])
-    return [squeeze(np.packbits(again[a:b]).tobytes()) for a, b in zip(cuts[:-1], cuts[1:])], []
+    return [squeeze(np.packbits(np.append(again[a:b], hot[a:b])).tobytes()) for a, b in zip(cuts[:-1], cuts[1:])], []
 
 
 def _ask_surroundings(parts: int):
-    """Per part: distinct runs of repeated keys with the least and greatest id in the chunk."""
+    """Per part: distinct runs of repeated keys, and distinct strings of hot ones, each with
+    the least and greatest id in the chunk."""
 
     def requests(row: dict) -> Iterator[tuple[int, bytes]]:
         data, lengths, ids = _read(row)
@@ -142,25 +170,27 @@ def _ask_surroundings(parts: int):
         keys = np.unique(runs.key)
         order, found, cuts = by_part(keys, parts)
         bits = {r["part"]: r["reply"] for r in row["replies"] or ()}
-        again = np.zeros(len(keys), dtype=bool)
+        again, hot = np.zeros((2, len(keys)), dtype=bool)
         for part, a, b in zip(found.tolist(), cuts[:-1], cuts[1:]):
-            again[order[a:b]] = np.unpackbits(array_of(bits[part], "u1"), count=b - a).astype(bool)
-        own = np.flatnonzero(again[np.searchsorted(keys, runs.key)])
-        whole, starts, ids_of, at = _grouped(runs.whole[own], ids[runs.doc[own]], own)
-        if not len(whole):
-            return
-        low, high = np.minimum.reduceat(ids_of, starts), np.maximum.reduceat(ids_of, starts)
-        sample = at[starts]
+            again[order[a:b]], hot[order[a:b]] = np.unpackbits(array_of(bits[part], "u1"), count=2 * (b - a)).astype(bool).reshape(2, -1)
+        at = np.searchsorted(keys, runs.key)
+        own = np.flatnonzero(again[at] & ~hot[at])
+        whole, starts, ids_of, own = _grouped(runs.whole[own], ids[runs.doc[own]], own)
+        low, high = _ends(ids_of, starts)
+        sample = own[starts]
         key, first, size = runs.key[sample], runs.first[sample], runs.last[sample] - runs.first[sample] + LEAST
-        order = np.argsort(key % np.uint64(parts), kind="stable")
-        part_of = (key[order] % np.uint64(parts)).astype(np.int64)
-        found, cuts = np.unique(part_of, return_index=True)
-        for part, a, b in zip(found.tolist(), cuts, np.append(cuts[1:], len(order))):
-            at = order[a:b]
+        line, _, doc = _strings(data, runs, np.flatnonzero(hot[at]))
+        line, starts, ids_of = _grouped(line, ids[doc])
+        line_low, line_high = _ends(ids_of, starts)
+        runs_of, lines_of = _dealt(key, parts), _dealt(line, parts)
+        none = np.zeros(0, np.int64)
+        for part in sorted({*runs_of, *lines_of}):
+            at, lines = runs_of.get(part, none), lines_of.get(part, none)
             total = int(size[at].sum())
             offsets = np.cumsum(size[at]) - size[at]
             take = np.arange(total) - np.repeat(offsets - first[at], size[at])
-            head = np.array([len(at)], dtype="<i8").tobytes()
+            head = np.array([len(at), len(lines)], dtype="<i8").tobytes()
+            head += line[lines].tobytes() + line_low[lines].tobytes() + line_high[lines].tobytes()
             yield part, squeeze(
                 head + key[at].tobytes() + whole[at].tobytes() + low[at].tobytes() + high[at].tobytes() + size[at].astype(np.uint8).tobytes() + data[take].tobytes()
             )
@@ -168,6 +198,21 @@ def _ask_surroundings(parts: int):
     return requests
 
 
+def _ends(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least and the greatest value of each group."""
+    if not len(starts):
+        return values[:0], values[:0]
+    return np.minimum.reduceat(values, starts), np.maximum.reduceat(values, starts)
+
+
+def _dealt(keys: np.ndarray, parts: int) -> dict[int, np.ndarray]:
+    """Where the keys of each part are."""
+    part = (keys % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    found, cuts = np.unique(part[order], return_index=True)
+    return {p: order[a:b] for p, a, b in zip(found.tolist(), cuts, np.append(cuts[1:], len(order)))}
+
+
 def prefix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes of `text` (numbers below 512) sorted by their first `depth` signs at least."""
     n = len(text)
@@ -251,13 +296,15 @@ def least_ids(segments: list[np.ndarray], ids: np.ndarray, least: int = LEAST) -
 
 
 def _answer_surroundings(blocks: list[bytes]) -> tuple[list[bytes], list[int]]:
-    """Per block: for each of its runs, which places a document with a smaller id has too."""
+    """Per block: for each of its runs, which places a document with a smaller id has too;
+    then the strings of hot keys that such a document has."""
     columns: list[list[np.ndarray]] = [[], [], [], [], []]
-    texts, counts = [], []
+    texts, counts, lines = [], [], []
     for block in blocks:
         raw = expand(block)
-        n = int(np.frombuffer(raw, "<i8", 1)[0])
-        at = 8
+        n, n_lines = np.frombuffer(raw, "<i8", 2).tolist()
+        lines.append((np.frombuffer(raw, "<u8", n_lines, 16), *np.frombuffer(raw, "<i8", 2 * n_lines, 16 + 8 * n_lines).reshape(2, -1)))
+        at = 16 + 24 * n_lines
         for i, kind in enumerate(("<u8", "<u8", "<i8", "<i8", "u1")):
             columns[i].append(np.frombuffer(raw, kind, n, at))
             at += n * columns[i][-1].itemsize
@@ -266,6 +313,9 @@ def _answer_surroundings(blocks: list[bytes]) -> tuple[list[bytes], list[int]]:
     key, whole, low, high, size = (np.concatenate(c) for c in columns)
     size = size.astype(np.int64)
     text = np.concatenate(texts)
+    line, line_at = np.unique(np.concatenate([x for x, _, _ in lines]), return_inverse=True)
+    line_least = np.full(len(line), _NO_ID)
+    np.minimum.at(line_least, line_at, np.concatenate([x for _, x, _ in lines]))
     start = np.cumsum(size) - size
     distinct, first, inverse = np.unique(whole, return_index=True, return_inverse=True)
     lowest = np.full(len(distinct), _NO_ID)
@@ -299,11 +349,12 @@ def _answer_surroundings(blocks: list[bytes]) -> tuple[list[bytes], list[int]]:
 
     held, bytes_held = [], 0
     for a, b in zip(edges[ends - edges > 1], ends[ends - edges > 1]):
-        held.append(order[a:b])
-        bytes_held += int(size[first[order[a:b]]].sum())
-        if bytes_held > TRANSFORM_BYTES:
+        own = int(size[first[order[a:b]]].sum())
+        if held and bytes_held + own > TRANSFORM_BYTES:
             decide(np.concatenate(held))
             held, bytes_held = [], 0
+        held.append(order[a:b])
+        bytes_held += own
     if held:
         decide(np.concatenate(held))
     run, a, b, least = (np.concatenate(c) for c in (run_of, place_a, place_b, least_id))
@@ -312,14 +363,18 @@ def _answer_surroundings(blocks: list[bytes]) -> tuple[list[bytes], list[int]]:
     by = np.argsort(run, kind="stable")
     run, a, b, least = run[by], a[by], b[by], least[by]
     replies, cuts = [], np.cumsum([0, *counts])
-    for i, j in zip(cuts[:-1], cuts[1:]):
+    line_cuts = np.cumsum([0, *[len(x) for x, _, _ in lines]])
+    for i, j, k, m, (asked, _, greatest) in zip(cuts[:-1], cuts[1:], line_cuts[:-1], line_cuts[1:], lines):
         own = np.unique(inverse[i:j])
         top = np.full(len(own), np.iinfo(np.int64).min)
         np.maximum.at(top, np.searchsorted(own, inverse[i:j]), high[i:j])
         at = np.searchsorted(own, run)
-        mine = (at < len(own)) & (own[np.minimum(at, len(own) - 1)] == run)
+        mine = at < len(own)
+        mine[mine] = own[at[mine]] == run[mine]
         mine[mine] = least[mine] < top[at[mine]]
-        head = np.array([mine.sum()], dtype="<i8").tobytes()
+        lower = line_least[line_at[k:m]]
+        use = lower < greatest
+        head = np.array([mine.sum(), use.sum()], dtype="<i8").tobytes() + asked[use].tobytes() + lower[use].tobytes()
         body = distinct[run[mine]].tobytes() + least[mine].tobytes() + a[mine].astype(np.uint8).tobytes() + b[mine].astype(np.uint8).tobytes()
         replies.append(squeeze(head + body))
     return replies, []
@@ -330,10 +385,12 @@ def _covered(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data, lengths, ids = _read(row)
     runs = Runs(data, lengths)
     columns: list[list[np.ndarray]] = [[], [], [], []]
+    lines = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
     for reply in row["replies"] or ():
         raw = expand(reply["reply"])
-        n = int(np.frombuffer(raw, "<i8", 1)[0])
-        at = 8
+        n, n_lines = np.frombuffer(raw, "<i8", 2).tolist()
+        lines.append((np.frombuffer(raw, "<u8", n_lines, 16), np.frombuffer(raw, "<i8", n_lines, 16 + 8 * n_lines)))
+        at = 16 + 16 * n_lines
         for i, kind in enumerate(("<u8", "<i8", "u1", "u1")):
             columns[i].append(np.frombuffer(raw, kind, n, at))
             at += n * columns[i][-1].itemsize
@@ -350,6 +407,15 @@ def _covered(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         run, at = run[smaller], at[smaller]
         np.add.at(change, runs.first[run] + a[at], 1)
         np.add.at(change, runs.first[run] + b[at] + LEAST, -1)
+    line, least = (np.concatenate(c) for c in zip(*lines))
+    if len(line):
+        order = np.argsort(line)
+        line, least = line[order], least[order]
+        own, place, doc = _strings(data, runs, np.arange(len(runs.key)))  # equal strings have equal keys
+        at = np.minimum(np.searchsorted(line, own), len(line) - 1)
+        gone = place[(line[at] == own) & (least[at] < ids[doc])]
+        np.add.at(change, gone, 1)
+        np.add.at(change, gone + LEAST, -1)
     return data, lengths, np.cumsum(change[:-1]) > 0
 
 

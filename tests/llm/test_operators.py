@@ -10,8 +10,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from rivulet.llm import repeats
 from rivulet.llm.chat import conversation_digests, escape, format_conversations, read_turns, unescape
-from rivulet.llm.chunks import pack_chunks
+from rivulet.llm.chunks import pack_chunks, squeeze
 from rivulet.llm.exact import exact_groups, keep_one_of_equals
 from rivulet.llm.language import keep_known_languages, predict_languages
 from rivulet.llm.lm import START, VOCABULARY, pair_counts, score_documents, train_model
@@ -148,6 +149,53 @@ def test_repeats_against_brute_force(docs, empty):
     assert remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("hot_runs", [50, 0, 10**6])
+def test_repeats_split_hot_keys(monkeypatch, hot_runs):
+    rng, sizes = np.random.default_rng(4), []
+    letters = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes()
+    grams = [letters(20) for _ in range(3000)]
+    gram = min(grams, key=lambda g: repeats._gram_hashes(np.frombuffer(g, np.uint8))[0])
+    texts = [letters(45) + gram + letters(45) for _ in range(300)]
+    texts[40], texts[250], texts[299] = texts[7][5:95] + b"!", b"?" + texts[290], texts[0]
+    texts += [letters(70), b"", letters(30)]
+    ids = rng.permutation(len(texts)).tolist()
+    monkeypatch.setattr(repeats, "HOT_RUNS", hot_runs)
+    monkeypatch.setattr(repeats, "TRANSFORM_BYTES", 4000)
+    real = repeats.least_ids
+    monkeypatch.setattr(repeats, "least_ids", lambda segments, own: sizes.append(sum(map(len, segments))) or real(segments, own))
+    chunks = [{"chunk": c, "doc_id": ids[c::4], "lengths": [len(t) for t in texts[c::4]], "data": squeeze(b"".join(texts[c::4]))} for c in range(4)]
+
+    def exchange(requests, replies):
+        asked = [(part, c["chunk"], block) for c in chunks for part, block in requests(c)]
+        found = defaultdict(list)
+        for part in {a[0] for a in asked}:
+            own = [a for a in asked if a[0] == part]
+            for (_, chunk, _), reply in zip(own, replies([a[2] for a in own])[0]):
+                found[chunk].append({"part": part, "reply": reply})
+        return [c | {"replies": found[c["chunk"]]} for c in chunks]
+
+    chunks = exchange(repeats._ask_keys(3), repeats._answer_keys)
+    chunks = exchange(repeats._ask_surroundings(3), repeats._answer_surroundings)
+    least = {}
+    for i, t in zip(ids, texts):
+        for at in range(len(t) - LEAST + 1):
+            least[t[at : at + LEAST]] = min(i, least.get(t[at : at + LEAST], i))
+    removed = 0
+    for c in chunks:
+        _, _, gone = repeats._covered(c)
+        expected = b""
+        for i, t in zip(c["doc_id"], texts[c["chunk"] :: 4]):
+            mask = bytearray(len(t))
+            for at in range(len(t) - LEAST + 1):
+                if least[t[at : at + LEAST]] < i:
+                    mask[at : at + LEAST] = b"\1" * LEAST
+            expected += bytes(mask)
+        assert gone.astype(np.uint8).tobytes() == expected
+        removed += sum(expected)
+    assert removed > 250
+    assert max(sizes, default=0) <= 4000 or hot_runs > 50
+
+
 def test_interval_expansion_finds_common_prefixes():
     text = np.append(RNG.integers(1, 3, 400), 0)  # texts end with a sign of their own
     order = prefix_order(text, 12)
