@@ -19,7 +19,7 @@ from rivulet.llm.lm import START, VOCABULARY, pair_counts, score_documents, trai
 from rivulet.llm.mixing import mix, mixed_documents
 from rivulet.llm.near import _joined, _similar, keep_one_of_near, near_classes, probability_jaccard, shingles, similar
 from rivulet.llm.packing import packed_documents, piece_bounds, plan_sequences
-from rivulet.llm.pii import base_spans, personal_data, redacted
+from rivulet.llm.pii import DOCUMENT_ROWS, Detector, base_spans, candidates, drawn_rows, personal_data, redacted, training_rows
 from rivulet.llm.queries import tokenizer
 from rivulet.llm.repeats import LEAST, least_ids, prefix_order, remove_repeats, separated
 from rivulet.llm.subwords import subwords
@@ -290,6 +290,23 @@ def test_personal_data(docs, empty):
     assert personal_data(empty).count() == 0
 
 
+def test_natural_masked_forms_are_found():
+    natural, texts = [], []
+    for i in range(300):
+        base = f"{WORDS[i % 30]}.{i}@mail{i % 9}.example.org", f"10.{i % 200}.3.{i % 250}", f"+1 555 {100 + i} {1000 + 7 * i}"
+        masked = f"{WORDS[i % 29]}{i} [at] host{i % 7} [dot] org", f"10[.]{i % 99}[.]0[.]{i % 251}"
+        natural.append(masked)
+        texts.append(f"please write to {base[0]} or {masked[0]} today, the server is {base[1]} and {masked[1]} then call {base[2]} before 2021-03-{i % 28 + 1:02d} ok")
+    assert all(candidates(m) and not list(training_rows(m)) for own in natural for m in own)
+    assert [y for _, y in training_rows("on 300.1.2.3 or 4111 1111 1111 1112")][:1] == [0]
+    assert len(drawn_rows(" ".join(texts))) == DOCUMENT_ROWS
+    rows = [row for t in texts for row, _ in drawn_rows(t)]
+    detector = Detector([rows[i] for i in np.random.default_rng(5).permutation(len(rows))])
+    found = [{t[s:e].strip() for _, s, e in detector.added(t, base_spans(t))} for t in texts]
+    for form in (0, 1):
+        assert sum(own[form] in got for own, got in zip(natural, found)) >= 270
+
+
 def test_language_model(docs, empty):
     found = score_documents(docs, tokenizer()).collect()
     tokens = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()), None]
