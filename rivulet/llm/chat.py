@@ -1,7 +1,7 @@
 """Chat formatting in budgeted windows.
 
 A conversation longer than the token budget becomes several windows. Prefix sums of
-turn tokens choose the turns of a window, whole turns always; each window begins with
+the tokens of turns as they are written choose the turns of a window, whole turns always; each window begins with
 the system turn, repeats the last turns of the window before as history within a
 budget of its own, and masks what it repeats, so that every assistant text is a
 training target once.
@@ -27,7 +27,6 @@ from rivulet.llm.subwords import subwords
 
 BUDGET = 1024
 HISTORY = 256
-TURN_TOKENS = 8  # what the template adds to a turn, at most
 TARGET = "assistant"
 SYSTEM = "system"
 # Turns of one conversation that are held at a time.
@@ -76,7 +75,7 @@ class _Windows:
 
     def add(self, role: str, text: str, tokens: int) -> list:
         done = []
-        turn = (role, text, tokens + TURN_TOKENS)
+        turn = (role, text, tokens)
         fixed = self.system[2] if self.system else 0
         if len(self.turns) > self.repeated and fixed + self.sums[-1] + turn[2] > self.budget:
             done.append(self.close())
@@ -148,7 +147,8 @@ def format_conversations(
 
         for batch in slices(batches, "text"):
             ids, roles, texts = (batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))
-            for own, role, text, tokens in zip(ids, roles, texts, map(len, encoder.encode(texts))):
+            written = encoder.encode([format_turn(*turn)[0] for turn in zip(roles, texts)])
+            for own, role, text, tokens in zip(ids, roles, texts, map(len, written)):
                 if state is None or own != conv:
                     if state is not None:
                         emit(state.close())

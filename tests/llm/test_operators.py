@@ -398,3 +398,13 @@ def test_chat(spark):
         assert read_turns(row.formatted)[0] == ("system", "s")
     assert unescape(escape(control)) == control
     assert conversation_digests(format_conversations(df.limit(0), tokenizer())).count() == 0
+
+
+def test_chat_windows_keep_the_budget_as_written(spark):
+    odd = ["#" * 900, "<td>" * 200, "\\n" * 150, "## a <b>" * 30, "plain text"]
+    turns = [(1, i, ("user", "assistant")[i % 2], odd[i % 5]) for i in range(30)]
+    turns += [(2, i, "<a long role>:" * 9, "x") for i in range(60)]
+    windows = format_conversations(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), tokenizer()).collect()
+    encoder = subwords(tokenizer()).tokenizer
+    sizes = [(len(read_turns(w.formatted)), len(encoder.encode(w.formatted, add_special_tokens=False).ids)) for w in windows]
+    assert any(n > 1 for n, _ in sizes) and all(tokens <= 1024 for n, tokens in sizes if n > 1)
