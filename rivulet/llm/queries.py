@@ -20,6 +20,7 @@ from rivulet.llm.pii import personal_data
 from rivulet.llm.repeats import remove_repeats
 from rivulet.llm.topk import top_k
 from rivulet.llm.transducer import audit_filters
+from rivulet.llm.vectors import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZERS = os.environ.get("RIVULET_TOKENIZERS", "/opt/tokenizers")
@@ -90,6 +91,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_sources(table(spark, sf_dir, "documents"))
 
 
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -106,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op9_top_k": op9_top_k,
     "op10_language": op10_language,
     "op11_source_divergence": op11_source_divergence,
+    "op12_near_vectors": op12_near_vectors,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -190,6 +196,28 @@ ORACLE: dict[str, str] = {
         )
         SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
     """,
+    "op12_near_vectors": """
+        WITH RECURSIVE whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+        ),
+        measured AS (
+            SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS size FROM whole WHERE len(list_filter(v, lambda x: x <> 0)) > 0
+        ),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM measured a JOIN measured b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            WHERE list_inner_product(a.v, b.v) / (a.size * b.size) >= 0.95
+        ),
+        reach(a, b) AS (
+            SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        ),
+        least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+        degree AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+        SELECT e.vec_id, coalesce(d.n_links, 0) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+        FROM embeddings e JOIN least l ON l.a = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id
+    """,
     "op13_filter_audit": r"""
         WITH figures AS (
             SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
