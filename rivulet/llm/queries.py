@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,12 +23,11 @@ from rivulet.llm.transducer import audit_filters
 from rivulet.llm.vectors import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
-TOKENIZERS = os.environ.get("RIVULET_TOKENIZERS", "/opt/tokenizers")
 
 
 def tokenizer(name: str = "byte_bpe_50k.json") -> str:
     """The file of a public tokenizer, which every executor has at the same place."""
-    return os.path.join(TOKENIZERS, name)
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,91 +1,55 @@
-"""Byte-level BPE ids of many texts at once.
-
-A text is cut into pre-tokens by the vocabulary's own rule (letters, digits, other
-signs, each with at most one leading space; white space). The cuts of a whole block
-of texts are found with array operations, each distinct pre-token is encoded once
-per worker, and ids are gathered from there. Texts with a contraction or the text
-of the special token take the ordinary way, text by text. Equal to
-`Tokenizer.from_file(..).encode(text, add_special_tokens=False).ids`.
+"""Byte-level BPE ids of texts, and hashes of byte spans.
+
+The ids are those of `Tokenizer.from_file(..).encode(text, add_special_tokens=False)`.
+They come from the same vocabulary as ranks (its `.tiktoken` twin), whose encoder keeps
+nothing between calls: a worker holds the vocabulary and the ids of one piece of text.
 """
 
 from __future__ import annotations
 
 import base64
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property, lru_cache
 
 import numpy as np
+import xxhash
 
 SPECIAL = "<|endoftext|>"
-# Fixed values of the vocabulary's pattern: its contractions.
-CONTRACTION = re.compile(r"'(?:s|t|re|ve|m|ll|d)")
-LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
-CACHE_LIMIT = 2_000_000
-
-
-@lru_cache(maxsize=1)
-def _classes() -> np.ndarray:
-    """Class of every code point, by the `regex` module's Unicode tables."""
-    import regex
-
-    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    everything = "".join(points)
-    table = np.full(0x110000, OTHER, dtype=np.uint8)
-    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
-        for run in regex.finditer(pattern, everything):
-            for at in range(run.start(), run.end()):
-                table[ord(points[at])] = kind
-    # Control separators that the pattern's engine does not count as white space.
-    table[0x1C:0x20] = OTHER
-    return table
-
-
-@lru_cache(maxsize=1)
-def _weights() -> tuple[np.uint64, np.ndarray]:
-    rng = np.random.default_rng(20240501)
-    return np.uint64(rng.integers(1, 2**62) * 2 + 1), rng.integers(1, 2**63, 0x110000, dtype=np.uint64)
-
-
-@lru_cache(maxsize=4)
-def _powers(size: int) -> np.ndarray:
-    base, _ = _weights()
-    return np.cumprod(np.full(size, base, dtype=np.uint64))
-
-
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of `values` (code points or bytes), the same wherever the span lies."""
-    base, random = _weights()
-    inverse = np.uint64(pow(int(base), -1, 2**64))
-    size = 1 << max(10, int(len(values) + 1).bit_length())
-    sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(random[values] * _powers(size)[: len(values)], out=sums[1:])
-    back = _inverse_powers(size, int(inverse))
-    hashed = (sums[ends] - sums[starts]) * back[starts]
-    hashed ^= hashed >> np.uint64(29)
-    return hashed * np.uint64(0xBF58476D1CE4E5B9)
-
-
-@lru_cache(maxsize=4)
-def _inverse_powers(size: int, inverse: int) -> np.ndarray:
-    return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size, np.uint64(inverse), dtype=np.uint64))])
-
-
-def pretoken_starts(points: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
-    """Where pre-tokens start in concatenated texts (code points) without contractions."""
-    kinds = _classes()[points]
-    first = np.zeros(len(points) + 1, dtype=bool)
-    first[text_starts[text_starts < len(points)]] = True
-    starts = first[:-1].copy()
-    starts[1:] |= kinds[1:] != kinds[:-1]
-    space = kinds == SPACE
-    # The last white space before something else: a blank joins what follows, another sign stands alone.
-    before = np.zeros(len(points), dtype=bool)
-    before[:-1] = space[:-1] & ~space[1:] & ~first[1:-1]
-    starts |= before
-    joined = np.flatnonzero(before & (points == 0x20)) + 1
-    starts[joined] = False
-    return np.flatnonzero(starts)
+PIECE = 1_000_000
+# Between these a blank always begins a pre-token, so a text can be cut there.
+CUT = re.compile(r"(?<=[A-Za-z0-9.,;]) (?=[A-Za-z0-9])")
+# Longer runs of white space overflow the stack of the encoder's pattern engine.
+BLANK = 10_000
+BLANKS = re.compile(rf"\s{{{BLANK}}}")
+HASHED = 128
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of these bytes, the same wherever the span lies.
+
+    Eight bytes are mixed in at a time, each step multiplied and folded, so that texts
+    of like structure do not collide as under a sum of powers. Longer spans than
+    `HASHED` bytes are hashed one by one.
+    """
+    lengths = ends - starts
+    out = lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    eights = np.lib.stride_tricks.as_strided(padded, (len(data) + 1, 8), (1, 1))
+    going = np.flatnonzero(lengths <= HASHED)
+    for at in range(0, HASHED, 8):
+        going = going[lengths[going] > at]
+        if not len(going):
+            break
+        loaded = eights[starts[going] + at].view(np.uint64).ravel()
+        spare = np.clip(8 - (lengths[going] - at), 0, 7).astype(np.uint64) * np.uint64(8)
+        mixed = (out[going] ^ (loaded << spare)) * np.uint64(0xFF51AFD7ED558CCD)
+        mixed ^= mixed >> np.uint64(32)
+        out[going] = mixed * np.uint64(0xC4CEB9FE1A85EC53)
+    for i in np.flatnonzero(lengths > HASHED).tolist():
+        out[i] ^= np.uint64(xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes()))
+    out ^= out >> np.uint64(29)
+    return out * np.uint64(0xBF58476D1CE4E5B9)
 
 
 @dataclass
@@ -93,29 +57,24 @@ class Subwords:
     """Encoder over one vocabulary; `path` is the tokenizers file, its `.tiktoken` twin lies beside it."""
 
     path: str
-    cache: dict[int, int] = field(default_factory=dict)
 
     def __post_init__(self):
         import tiktoken
-        from tokenizers import Tokenizer
+        from public_tokenizers import PATTERN
 
-        self.tokenizer = Tokenizer.from_file(self.path)
-        ranks = {}
+        self.ranks = {}
         with open(self.path.removesuffix(".json") + ".tiktoken", "rb") as lines:
             for line in lines:
                 token, rank = line.split()
-                ranks[base64.b64decode(token)] = int(rank)
-        self.ranks = ranks
-        pattern = r"[\s\S]+"  # what it is given is a pre-token already
-        self.pieces = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self._reset()
-
-    def _reset(self) -> None:
-        self.cache = {}
-        self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.used = 0
-        self.offsets = np.zeros(1 << 14, dtype=np.int64)
-        self.counts = np.zeros(1 << 14, dtype=np.int64)
+                self.ranks[base64.b64decode(token)] = int(rank)
+        self.encoding = tiktoken.Encoding("subwords", pat_str=PATTERN, mergeable_ranks=self.ranks, special_tokens={})
+        self.special = len(self.ranks)
+
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     @cached_property
     def sizes(self) -> np.ndarray:
@@ -123,76 +82,36 @@ class Subwords:
         out = np.zeros(len(self.ranks) + 1, dtype=np.int64)
         for token, rank in self.ranks.items():
             out[rank] = len(token)
-        out[self.tokenizer.token_to_id(SPECIAL)] = len(SPECIAL)
+        out[self.special] = len(SPECIAL)
         return out
 
-    def _slots(self, hashes: np.ndarray, text: str, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """The cache entry of each distinct pre-token, made where it is new."""
-        slots = np.fromiter(map(self.cache.get, hashes.tolist(), [-1] * len(hashes)), np.int64, len(hashes))
-        new = np.flatnonzero(slots < 0)
-        if not len(new):
-            return slots
-        encode = self.pieces._core_bpe.encode_single_piece
-        made = [encode(text[s:e].encode()) for s, e in zip(starts[new].tolist(), ends[new].tolist())]
-        lengths = np.fromiter(map(len, made), np.int64, len(made))
-        at, total = len(self.cache), int(lengths.sum())
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while at + len(new) > len(self.offsets):
-            self.offsets = np.concatenate([self.offsets, np.zeros_like(self.offsets)])
-            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
-        self.flat[self.used : self.used + total] = np.fromiter((i for ids in made for i in ids), np.uint32, total)
-        self.offsets[at : at + len(new)] = self.used + np.cumsum(lengths) - lengths
-        self.counts[at : at + len(new)] = lengths
-        self.used += total
-        slots[new] = np.arange(at, at + len(new))
-        self.cache.update(zip(hashes[new].tolist(), slots[new].tolist()))
-        return slots
-
-    def _encode_plain(self, texts: list[str]) -> list[np.ndarray]:
-        text = "".join(texts)
-        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-        text_starts = np.cumsum(lengths) - lengths
-        points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
-        if not len(points):
-            return [np.zeros(0, np.uint32) for _ in texts]
-        starts = pretoken_starts(points, text_starts)
-        ends = np.append(starts[1:], len(points))
-        hashes = span_hashes(points, starts, ends)
-        distinct, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.cache) > CACHE_LIMIT:
-            self._reset()
-        slots = self._slots(distinct, text, starts[where], ends[where])[inverse]
-        counts = self.counts[slots]
-        totals = np.cumsum(counts)
-        ids = np.ones(int(totals[-1]), dtype=np.int64)  # steps: 1 inside a pre-token, jumps between
-        begin = totals - counts
-        offsets = self.offsets[slots]
-        ids[begin[1:]] = offsets[1:] - (offsets[:-1] + counts[:-1] - 1)
-        ids[0] = offsets[0]
-        ids = self.flat[np.cumsum(ids)]
-        first = np.searchsorted(starts, text_starts)
-        cut = np.append(np.append(0, totals)[first], totals[-1])
-        return [ids[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+    def _piece(self, text: str) -> np.ndarray:
+        if len(text) >= BLANK and BLANKS.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        return np.array(self.encoding.encode_ordinary(text), dtype=np.uint32)
+
+    def _ordinary(self, text: str) -> list[np.ndarray]:
+        """Ids of a text without the special token, a piece of about `PIECE` letters at a time."""
+        out, at = [], 0
+        while len(text) - at > 2 * PIECE:
+            cut = CUT.search(text, at + PIECE)
+            if cut is None:
+                break
+            out.append(self._piece(text[at : cut.start()]))
+            at = cut.start()
+        out.append(self._piece(text[at:] if at else text))
+        return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as unsigned 32-bit arrays."""
-        odd = [i for i, t in enumerate(texts) if ("'" in t and CONTRACTION.search(t)) or SPECIAL in t]
-        apart = set(odd)
-        rest = [i for i in range(len(texts)) if i not in apart]
-        out: list = [None] * len(texts)
-        block, size = [], 0
-        for i in rest:
-            if block and size + len(texts[i]) > 1_000_000:
-                for j, ids in zip(block, self._encode_plain([texts[j] for j in block])):
-                    out[j] = ids
-                block, size = [], 0
-            block.append(i)
-            size += len(texts[i])
-        for j, ids in zip(block, self._encode_plain([texts[j] for j in block])):
-            out[j] = ids
-        for i in odd:
-            out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, dtype=np.uint32)
+        out = []
+        for text in texts:
+            pieces = []
+            for i, part in enumerate(text.split(SPECIAL)):
+                if i:
+                    pieces.append(np.array([self.special], dtype=np.uint32))
+                pieces += self._ordinary(part)
+            out.append(pieces[0] if len(pieces) == 1 else np.concatenate(pieces))
         return out
 
 
