@@ -32,9 +32,9 @@ from rivulet.llm.near import connected
 
 COSINE = 0.95
 BLOCKS = 4
-# Nodes that a leaf should hold, and what a task compares with each other.
-LEAF_NODES = 8192
-PART_NODES = 4096
+# Nodes that a leaf should hold, and bytes of vectors that one side of a comparison does.
+LEAF_NODES = 65_536
+PART_BYTES = 16_000_000
 # The sample that leaves and pivots are fitted on; every vector is then dealt by them.
 SAMPLE_NODES = 8192
 SAMPLE_BYTES = 16_000_000
@@ -229,16 +229,18 @@ def _compared(kind: str, cosine: float):
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
         turned, cuts, allowed = _matrix(table.column("turned"), "<f4", size), block_cuts(size), budgets(size, cosine)
         data = _matrix(table.column("data"), kind, size)
-        own = turned[:, cuts[block] : cuts[block + 1]].astype(np.float64)
-        squares = (own * own).sum(axis=1)
-        left = np.flatnonzero(part == low)
-        right = np.flatnonzero(part == high)
+        own = turned[:, cuts[block] : cuts[block + 1]]
+        # One product says how far apart two are: x.y - (x.x + y.y) / 2 is half the squared distance, negative.
+        half, one = -(own * own).sum(axis=1, keepdims=True) / 2, np.ones((len(own), 1), np.float32)
+        asking, asked = np.hstack([own, half, one]), np.hstack([own, one, half])
+        least = np.float32(-(allowed[block] + SLACK) / 2)
+        left, right = np.flatnonzero(part == low), np.flatnonzero(part == high)
         links, label = np.zeros(len(node), dtype=np.int64), np.arange(len(node))
         for at in range(0, len(left), ROWS_AT_ONCE):
             rows = left[at : at + ROWS_AT_ONCE]
-            apart = squares[rows][:, None] + squares[right][None, :] - 2 * own[rows] @ own[right].T
-            x, y = np.nonzero(apart <= allowed[block] + SLACK)
-            a, b = rows[x], right[y]
+            columns = right[at:] if low == high else right
+            hits = np.flatnonzero(asking[rows] @ asked[columns].T >= least)
+            a, b = rows[hits // len(columns)], columns[hits % len(columns)]
             met = (home[a] | home[b]) & ((crowd[a] < 0) | (crowd[a] != crowd[b]))
             if low == high:
                 met &= a < b
@@ -286,8 +288,10 @@ def _meetings(dealt: DataFrame) -> DataFrame:
     place = ["size", "block", "leaf"]
     counts = dealt.groupBy(*place, "crowd").agg(F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy(*place))
-    parts = counts.withColumn("full", total > 2 * PART_NODES)
-    own = F.when(F.col("full"), F.ceil(F.col("n") / PART_NODES)).otherwise(F.lit(0)).cast("int")
+    # A vector travels as its components and as their rotated ones.
+    room = F.greatest(F.lit(1), F.floor(F.lit(PART_BYTES) / (8 * F.col("size"))))
+    parts = counts.withColumn("full", total > 2 * room)
+    own = F.when(F.col("full"), F.ceil(F.col("n") / room)).otherwise(F.lit(0)).cast("int")
     before = Window.partitionBy(*place).orderBy("crowd").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("own", own)
     parts = parts.withColumns(

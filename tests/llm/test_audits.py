@@ -208,10 +208,10 @@ def crowded(seed=5, size=16):
     return [*rows, *unlucky, (706, [2.0, 4.0]), (None, rows[0][1]), rows[1], (None, [5.0] * 3), (708, [-0.0, 1.0, 0.0]), (709, [0.0, 2.0, 0.0])]
 
 
-@pytest.mark.parametrize("leaf, part", [(8192, 4096), (40, 24)])
+@pytest.mark.parametrize("leaf, part", [(65_536, 32_768), (40, 24)])
 def test_near_vectors_against_all_pairs(spark, monkeypatch, leaf, part):
     monkeypatch.setattr(vectors, "LEAF_NODES", leaf)
-    monkeypatch.setattr(vectors, "PART_NODES", part)
+    monkeypatch.setattr(vectors, "PART_BYTES", part * 8 * 16)
     rows = crowded()
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     table = table.withColumns({"node": F.lit(1), "key": F.lit("x"), "links": F.lit(0)}).repartition(3)
