@@ -4,22 +4,24 @@ from __future__ import annotations
 
 import argparse
 import logging
+from contextlib import nullcontext
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.operators.generate import document_stream, generate_documents
-from rivulet.operators.views import latest_bronze, latest_silver
+from rivulet.operators.views import latest_silver, newest_bronze
 from rivulet.session import build_session
 from rivulet.sinks.catalog_table import CatalogTable
 from rivulet.sinks.documents import start_document_files, write_document_files
 from rivulet.sinks.silver_log import SilverLog
-from rivulet.sources.files import read_merged_bronze, stream_topic_log
+from rivulet.sources.files import stream_topic_log
 from rivulet.sources.kafka import stream_kafka
 from rivulet.streaming.bronze import start_bronze
 from rivulet.streaming.common import DRAIN, EVERY_MINUTE
-from rivulet.streaming.landing import land_to_kafka, land_to_log
+from rivulet.streaming.landing import land_records_to_log, land_to_kafka, land_to_log
+from rivulet.streaming.outcomes import OutcomeLog
 from rivulet.streaming.silver import replay_failed_batches, start_silver
 from rivulet.streaming.supervise import run_with_restarts
 from rivulet.zones import Zones
@@ -43,6 +45,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--files", type=int, help="most bronze files per batch")
     parser.add_argument("--since", type=date.fromisoformat, help="first bronze date that silver looks at")
     parser.add_argument("--max-bytes", help="most bytes of one silver batch")
+    parser.add_argument("--large-files", action="store_true", help="land a message per transaction, not per file (without --kafka)")
+    parser.add_argument("--once-within", help="silver passes over messages read before within this time, e.g. '7 days'")
+    parser.add_argument("--max-probes", type=int, default=200, help="silver looks for the bad messages of a failing batch (0: batch goes whole)")
+    parser.add_argument("--outcomes", action="store_true", help="keep a row per batch and run in the outcomes folder")
     return parser.parse_args(argv)
 
 
@@ -70,8 +76,9 @@ def land(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
             lambda: land_to_kafka(spark, zones.landing, args.kafka, args.topic, checkpoint, trigger), args.attempts
         )
     else:
+        land_files = land_records_to_log if args.large_files else land_to_log
         run_with_restarts(
-            lambda: land_to_log(spark, zones.landing, zones.topic_log, args.topic, checkpoint, trigger),
+            lambda: land_files(spark, zones.landing, zones.topic_log, args.topic, checkpoint, trigger),
             args.attempts,
         )
 
@@ -92,7 +99,8 @@ def bronze(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
 def silver(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
     limit = {"maxBytesPerTrigger": args.max_bytes} if args.max_bytes else {}
     table = _silver_table(spark, args, zones)
-    run_with_restarts(lambda: start_silver(spark, zones, table, since=args.since, **limit), args.attempts or 3)
+    options = {"since": args.since, "once_within": args.once_within, "max_probes": args.max_probes, **limit}
+    run_with_restarts(lambda: start_silver(spark, zones, table, **options), args.attempts or 3)
 
 
 def compact(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
@@ -110,7 +118,7 @@ def replay(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
 
 
 def show(spark: SparkSession, args: argparse.Namespace, zones: Zones) -> None:
-    latest_bronze(read_merged_bronze(spark, zones.bronze)).show(20, truncate=False)
+    newest_bronze(spark, zones.bronze, merge=True).show(20, truncate=False)
     latest_silver(_silver_table(spark, args, zones).snapshot()).show(20)
 
 
@@ -128,7 +136,9 @@ JOBS = {
 def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     args = arguments(argv)
-    JOBS[args.job](build_session(f"rivulet-{args.job}"), args, Zones(args.root))
+    spark, zones = build_session(f"rivulet-{args.job}"), Zones(args.root)
+    with OutcomeLog(spark, zones.outcomes) if args.outcomes else nullcontext():
+        JOBS[args.job](spark, args, zones)
 
 
 if __name__ == "__main__":

@@ -32,7 +32,7 @@ def parse_documents(df: DataFrame, xml: str = "xml_content") -> DataFrame:
 
 def _doc_reason(xml: Column, from_envelope: bool) -> Column:
     decode_reason = F.col("_decode_reason") if from_envelope else F.lit(None).cast("string")
-    written = _transactions_written(F.col("_elements"))
+    written = _opening_tags(F.col("_elements"))
     read = F.coalesce(F.size("parsed.Transaction"), F.lit(0))
     return (
         F.when(decode_reason.isNotNull(), decode_reason)
@@ -42,11 +42,15 @@ def _doc_reason(xml: Column, from_envelope: bool) -> Column:
     )
 
 
-def _transactions_written(elements: Column) -> Column:
-    """How many transactions the text opens, whatever their case or namespace prefix."""
+def _opening_tags(elements: Column) -> Column:
     return F.regexp_count(elements, F.lit(_TRANSACTION))
 
 
+def transactions_written(xml: Column) -> Column:
+    """How many transactions the text opens, whatever their case or namespace prefix."""
+    return _opening_tags(F.when(F.contains(xml, F.lit("<!")), F.regexp_replace(xml, _QUOTED, "")).otherwise(xml))
+
+
 def document_class() -> Column:
     """`malformed`, `empty` (well-formed, no transaction) or `valid`."""
     return (

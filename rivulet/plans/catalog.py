@@ -21,20 +21,23 @@ from rivulet.operators.latest import latest_per_key
 from rivulet.operators.topic import dedup_offsets, project_topic
 from rivulet.operators.transactions import amount_invalid, clean_transactions
 from rivulet.operators.upsert import merge_upsert
-from rivulet.operators.views import latest_bronze, latest_silver
+from rivulet.operators.transactions import is_valid_row
+from rivulet.operators.views import latest_bronze, latest_silver, newest_bronze
 from rivulet.plans import inputs
 from rivulet.plans.inputs import BATCHES, ORDER_COLUMNS, document, enveloped, spread_table, table, text, transaction
 from rivulet.plans.refine import batch_counts, refine, silver_rows
-from rivulet.schemas import BRONZE_FAILED, BRONZE_PARTITIONS, FAILED_BATCH, KEY, MALFORMED, ORDER
+from rivulet.schemas import BRONZE_FAILED, BRONZE_PARTITIONS, FAILED_BATCH, KEY, MALFORMED, ORDER, REJECTED
 from rivulet.session import work_dir
 from rivulet.sinks.bronze import append_bronze
 from rivulet.sinks.dead_letters import malformed_letters, rejected_letters, write_letters
 from rivulet.sinks.documents import write_document_files
 from rivulet.sinks.silver_log import SilverLog
 from rivulet.sources.files import read_bronze, read_merged_bronze, read_table, read_transactions, stream_topic_log
+from rivulet.sources.records import read_records, record_files
 from rivulet.streaming.bronze import start_bronze
 from rivulet.streaming.common import DRAIN
-from rivulet.streaming.landing import land_to_log
+from rivulet.streaming.landing import land_records_to_log, land_to_log
+from rivulet.streaming.outcomes import OutcomeLog, read_outcomes
 from rivulet.streaming.silver import replay_failed_batches, start_silver
 from rivulet.streaming.supervise import run_with_restarts
 from rivulet.zones import Zones
@@ -618,6 +621,154 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver_columns(log.snapshot())
 
 
+# What goes wrong on the way
+
+
+def stream_repeated_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message is appended to bronze twice, and each time a new run of the silver job drains it."""
+    zones = _zones(spark, "repeated")
+    log, documents = SilverLog(spark, zones.silver), []
+    messages = project_topic(inputs.order_bronze(spark, sf_dir))
+
+    def run():
+        count = lambda _, counts: documents.append(counts.documents)
+        return start_silver(spark, zones, log, once_within="7 days", report=count)
+
+    for batch_id in range(2):
+        append_bronze(messages, zones.bronze, batch_time(_processed_at(batch_id)))
+        run_with_restarts(run, max_attempts=3)
+    columns = ["zone", "reason", "n_rows"]
+
+    def letters(path: str, schema, zone: str) -> DataFrame:
+        counts = read_table(spark, path, schema).groupBy(F.col("_reason").alias("reason"))
+        return counts.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("zone", F.lit(zone)).select(*columns)
+
+    silver = log.snapshot().agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("silver"), F.lit("none"), "n_rows")
+    counted = spark.createDataFrame([("counted", "none", sum(documents))], "zone string, reason string, n_rows long")
+    malformed, rejected = letters(zones.malformed, MALFORMED, "malformed"), letters(zones.rejected, REJECTED, "rejected")
+    return malformed.unionByName(rejected).union(silver).union(counted)
+
+
+def _refine_few_poisoned(bronze: DataFrame) -> DataFrame:
+    """One message in 20,000 cannot be refined."""
+    event = F.col("offset").cast("long") * BATCHES + F.col("partition").cast("long")
+    poison = F.raise_error(F.concat(F.lit("poisoned "), "key")).cast("string")
+    return refine(bronze.withColumn("value", F.when(F.pmod(event, F.lit(20_000)) == 3, poison).otherwise(F.col("value"))))
+
+
+def stream_isolated_poison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches in which single messages fail: these alone are letters, silver has all others."""
+    zones = _zones(spark, "isolated")
+    log = _drain_batches(spark, sf_dir, zones, refine_rows=_refine_few_poisoned, max_probes=500)
+    failed = read_table(spark, zones.failed_batches, FAILED_BATCH)
+    explained = F.contains("error_message", F.lit("poisoned"))
+    counts = log.snapshot().groupBy("_batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    columns = ["zone", F.col("_batch_id").cast("long").alias("batch_id"), "key", "n_rows"]
+    silver = counts.withColumns({"zone": F.lit("silver"), "key": F.lit("")}).select(*columns)
+    bad = failed.groupBy("_batch_id", "key").agg(F.count_if(explained).alias("n_rows")).withColumn("zone", F.lit("failed"))
+    return silver.unionByName(bad.select(*columns))
+
+
+def latest20_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest messages of a bronze folder with a date folder for each day, without a look at older ones."""
+    zones = _zones(spark, "newest")
+    at = F.date_trunc("day", F.col("_raw_insert_timestamp"))
+    bronze = inputs.event_bronze(spark, sf_dir).drop(*BRONZE_PARTITIONS).withColumn("_raw_insert_timestamp", at)
+    daily = with_audit(bronze, "_raw_insert", F.col("_raw_insert_timestamp"))
+    daily.repartition(*BRONZE_PARTITIONS).write.partitionBy(*BRONZE_PARTITIONS).parquet(zones.bronze)
+    newest = newest_bronze(spark, zones.bronze)
+    return newest.select("key", "partition", "offset", _time("_raw_insert_timestamp"))
+
+
+RECORD_KINDS = 7
+
+
+def _order_files(spark: SparkSession, sf_dir: str, directory: str) -> None:
+    """Orders as XML files of very many roots, some written in ways that need care."""
+    key, kind = text("o_orderkey"), F.pmod("o_orderkey", F.lit(RECORD_KINDS))
+
+    def element(opening: str = "<Transaction>", place: Column = F.col("o_orderpriority")) -> Column:
+        parts = [
+            F.lit(f"{opening}<TransactionId>"), key, F.lit("</TransactionId><Amount>"),
+            text(F.col("o_totalprice").cast("decimal(10,2)")), F.lit("</Amount><CustomerId>"), text("o_custkey"),
+            F.lit("</CustomerId><DateTime>"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"),
+            F.lit("</DateTime><Location>"), place, F.lit("</Location><Result>Success</Result></Transaction>"),
+        ]
+        return F.concat(*parts)
+
+    quoted = F.concat(F.lit("<![CDATA["), F.col("o_orderpriority"), F.lit("]]>"))
+    root = lambda *inner: F.concat(F.lit("<Data>"), *inner, F.lit("</Data>"))
+    xml = (
+        F.when(kind == 1, root(element(), F.lit("<!-- and -->"), F.regexp_replace(element(), "<TransactionId>", "<TransactionId>-")))
+        .when(kind == 2, root(F.lit("<Transaction/>")))
+        .when(kind == 3, root(element(place=quoted)))
+        .when(kind == 4, root(F.lit("<!-- "), element(), F.lit(" -->"), element()))
+        .when(kind == 5, root(element('<Transaction no="1">')))
+        .when(kind == 6, root(element("<Transaction\t>")))
+        .otherwise(root(element()))
+    )
+    table(spark, sf_dir, "orders").select(xml.alias("value")).write.text(directory)
+
+
+def _records_read(valid: DataFrame, malformed: DataFrame) -> DataFrame:
+    """Transactions, and how many opening tags lie in documents that are letters."""
+    rows = valid.select(
+        "TransactionId", text("Amount").alias("Amount"), "CustomerId", "Location", F.lit(0).cast("long").alias("n_tags")
+    )
+    tags = malformed.agg(F.sum(F.regexp_count("_corrupt_file", F.lit("<Transaction(?=[\\s/>])"))).cast("long").alias("n_tags"))
+    none = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns[:-1]]
+    return rows.unionByName(tags.select(*none, "n_tags"))
+
+
+def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of many roots, each file read by several tasks, a transaction at a time."""
+    zones = _zones(spark, "split")
+    _order_files(spark, sf_dir, zones.landing)
+    none = [F.lit(None).cast("string").alias(c) for c in ("topic", "partition", "offset", "timestamp", "timestampType")]
+    messages = wrap_files(record_files(read_records(spark, zones.landing))).select("key", "value", *none)
+    refined = refine(with_audit(messages, "_raw_insert", batch_time(_processed_at(0)))).persist()
+    write_letters(malformed_letters(refined), zones.malformed, "split", 0, batch_time())
+    result = _records_read(refined.filter(is_valid_row()), read_table(spark, zones.malformed, MALFORMED))
+    return result
+
+
+def stream_split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files through all three jobs."""
+    zones = _zones(spark, "stream-split")
+    _order_files(spark, sf_dir, zones.landing)
+    land_records_to_log(spark, zones.landing, zones.topic_log, "orders", zones.checkpoint("landing"), DRAIN).awaitTermination()
+    start_bronze(
+        stream_topic_log(spark, zones.topic_log), zones.bronze, zones.bronze_failed, zones.checkpoint("raw"), DRAIN
+    ).awaitTermination()
+    log = SilverLog(spark, zones.silver)
+    start_silver(spark, zones, log).awaitTermination()
+    return _records_read(log.snapshot(), read_table(spark, zones.malformed, MALFORMED))
+
+
+def batch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the outcome table says of a run that fails, and of the one that takes up its batch."""
+    zones = _zones(spark, "outcomes")
+    project_topic(inputs.event_bronze(spark, sf_dir)).write.parquet(zones.topic_log)
+    targets, queries = [(UNREACHABLE, UNREACHABLE), (zones.bronze, zones.bronze_failed)], []
+
+    def start():
+        bronze, failed = targets.pop(0)
+        records = stream_topic_log(spark, zones.topic_log)
+        queries.append(start_bronze(records, bronze, failed, zones.checkpoint("raw"), DRAIN))
+        return queries[-1]
+
+    with OutcomeLog(spark, zones.outcomes) as outcomes:
+        run_with_restarts(start, max_attempts=3, backoff_seconds=0)
+        settled = all([outcomes.settled(query) for query in queries])
+    rows = read_outcomes(spark, zones.outcomes).filter(F.col("query_id") == str(queries[0].id))
+    run = F.when(F.col("run_id") == str(queries[0].runId), 1).otherwise(2)
+    explained = F.contains("error", F.lit("no-such-filesystem"))
+    return rows.select(
+        run.alias("run"), "event", "batch_id", (F.col("rows") > 0).alias("read"), (F.col("seconds") >= 0).alias("timed"),
+        explained.alias("explained"), F.lit(settled).alias("settled"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "envelope_roundtrip": envelope_roundtrip,
     "topic_projection": topic_projection,
@@ -659,4 +810,10 @@ QUERIES: dict[str, Query] = {
     "literal_schema": literal_schema,
     "generate_documents": generated_documents,
     "large_document_rows": large_document_rows,
+    "stream_repeated_messages": stream_repeated_messages,
+    "stream_isolated_poison": stream_isolated_poison,
+    "latest20_partitions": latest20_partitions,
+    "split_documents": split_documents,
+    "stream_split_documents": stream_split_documents,
+    "batch_outcomes": batch_outcomes,
 }

@@ -64,6 +64,15 @@ _ORDER_REASON = """CASE o_orderkey % 13
     WHEN 4 THEN 'bad_utf8' WHEN 5 THEN 'unread_transactions'
     WHEN 10 THEN 'unread_transactions' WHEN 11 THEN 'unread_transactions' WHEN 12 THEN 'unread_transactions' END"""
 
+# Orders as transactions of large files; some opening tags belong to no transaction.
+_RECORDS = """
+        SELECT CAST(CASE WHEN i = 1 THEN -o_orderkey ELSE o_orderkey END AS BIGINT) AS "TransactionId",
+               CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR) AS "Amount", o_custkey AS "CustomerId",
+               upper(o_orderpriority) AS "Location", CAST(0 AS BIGINT) AS n_tags
+        FROM (SELECT *, unnest(range(0, CASE o_orderkey % 7 WHEN 1 THEN 2 WHEN 2 THEN 0 ELSE 1 END)) AS i FROM orders)
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, CAST(sum(CASE WHEN o_orderkey % 7 IN (2, 4) THEN 1 ELSE 0 END) AS BIGINT) FROM orders"""
+
 ORACLE: dict[str, str] = {
     "envelope_roundtrip": """
         SELECT url AS path, octet_length(encode(html)) AS declared_bytes,
@@ -235,4 +244,29 @@ ORACLE: dict[str, str] = {
                strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS "DateTime",
                o_orderpriority AS "Location", o_orderstatus AS "Result", false AS corrupt
         FROM orders""",
+    "stream_repeated_messages": f"""
+        WITH d AS (SELECT o_orderkey % 13 AS k, {_ORDER_REASON} AS reason FROM orders)
+        SELECT 'malformed' AS zone, reason, count(*) AS n_rows FROM d WHERE reason IS NOT NULL GROUP BY reason
+        UNION ALL SELECT 'rejected', 'null_key', count(*) FROM d WHERE k = 10
+        UNION ALL SELECT 'silver', 'none', count(*) FROM d WHERE k IN (6, 7, 8, 9, 11)
+        UNION ALL SELECT 'counted', 'none', count(*) FROM d""",
+    "stream_isolated_poison": f"""
+        WITH {_latest("p", where="CustomerId % 20000 <> 3")}
+        SELECT 'silver' AS zone, p AS batch_id, '' AS key, count(*) AS n_rows FROM latest GROUP BY p
+        UNION ALL
+        SELECT 'failed', event_id % 4, '/in/' || event_id || '.xml', 1 FROM events WHERE event_id % 20000 = 3""",
+    "latest20_partitions": f"""
+        SELECT '/in/' || event_id || '.xml' AS key, CAST(event_id % 4 AS VARCHAR) AS partition,
+               CAST(event_id // 4 AS VARCHAR) AS "offset",
+               strftime(date_trunc('day', ts), {_MICROS}) AS _raw_insert_timestamp
+        FROM events ORDER BY date_trunc('day', ts) DESC, event_id % 4 DESC, event_id // 4 DESC LIMIT 20""",
+    "split_documents": _RECORDS,
+    "stream_split_documents": _RECORDS,
+    "batch_outcomes": """
+        SELECT CAST(1 AS INTEGER) AS run, 'failed' AS event, CAST(NULL AS BIGINT) AS batch_id,
+               CAST(NULL AS BOOLEAN) AS read, CAST(NULL AS BOOLEAN) AS timed, true AS explained, true AS settled
+        UNION ALL
+        SELECT 2, 'batch', 0, true, true, NULL, true
+        UNION ALL
+        SELECT 2, 'ended', NULL, NULL, NULL, NULL, true""",
 }

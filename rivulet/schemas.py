@@ -145,3 +145,15 @@ BRONZE_FAILED = T.StructType(
     ).fields
     + _LETTER_ID.fields
 )
+# What became of a batch (`batch`) or of a run (`ended`, `failed`).
+OUTCOME = _fields(
+    query_id=_STRING,
+    run_id=_STRING,
+    name=_STRING,
+    event=_STRING,
+    batch_id=T.LongType(),
+    rows=T.LongType(),
+    seconds=T.DoubleType(),
+    error=_STRING,
+    at=T.TimestampType(),
+)

@@ -85,6 +85,27 @@ def read_bronze(spark: SparkSession, bronze: str) -> DataFrame:
     return read_table(spark, bronze, BRONZE)
 
 
+def read_bronze_since(spark: SparkSession, bronze: str, first: date, merge: bool = False) -> DataFrame:
+    """Bronze from a date on. Only the folders of these dates are listed.
+
+    With `merge`, the columns that their files have grown come after the declared ones.
+    """
+    dates = f"{bronze}/_raw_insert_date={{{','.join(dates_from(first))}}}"
+
+    def read(schema: T.StructType) -> DataFrame:
+        try:
+            return spark.read.schema(schema).option("basePath", bronze).parquet(dates)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], schema)
+
+    if not merge or not read(BRONZE).inputFiles():
+        return read(BRONZE)
+    found = spark.read.option("basePath", bronze).option("mergeSchema", "true").parquet(dates).schema
+    return read(T.StructType(BRONZE.fields + [f for f in found if f.name not in BRONZE.names]))
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet table with a known schema; empty while its folder does not exist."""
     try:

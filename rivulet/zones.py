@@ -47,5 +47,13 @@ class Zones:
     def failed_batches(self) -> str:
         return self._path("dlq", "processed", f"{self.name}_failed_batches")
 
+    @property
+    def outcomes(self) -> str:
+        return self._path("outcomes", self.name)
+
+    def isolation(self, source: str) -> str:
+        """Where a failing batch lies while its bad messages are looked for."""
+        return self._path("work", self.name, f"isolation-{source}")
+
     def checkpoint(self, job: str) -> str:
         return self._path("checkpoint", job, self.name)
