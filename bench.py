@@ -122,6 +122,7 @@ def main() -> None:
         "bench",
         **{
             "spark.master": f"local[{CPUS}]",
+            inputs.TASKS_SETTING: str(CPUS),
             "spark.ui.enabled": "false",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
             "spark.sql.shuffle.partitions": str(CPUS),

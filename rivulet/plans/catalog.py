@@ -6,6 +6,7 @@ depend on how a client renders them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
@@ -537,6 +538,17 @@ def fold_onto_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver_columns(_fold(spark, sf_dir, "fold-base", compact_after=(1,)).snapshot(), "_batch_id")
 
 
+def fold_onto_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A base that is bucketed by id after two batches, and two more batches on top of it."""
+    log = SilverLog(spark, _zones(spark, "fold-buckets").silver)
+    for batch_id in range(BATCHES):
+        refined = refine(_event_batch(spark, sf_dir, batch_id))
+        log.upsert(silver_rows(refined, batch_id, batch_time(_processed_at(batch_id))), "fold", batch_id)
+        if batch_id == 1:
+            log = log.compact_to_table(f"{log.root}-buckets", f"silver_{uuid.uuid4().hex}", 16)
+    return _silver_columns(log.snapshot(), "_batch_id")
+
+
 def compacted_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver_columns(_fold(spark, sf_dir, "compacted", compact_after=(1, 3)).snapshot(), "_batch_id")
 
@@ -799,6 +811,7 @@ QUERIES: dict[str, Query] = {
     "merge_partition_move": merge_partition_move,
     "fold_batches": fold_batches,
     "fold_onto_base": fold_onto_base,
+    "fold_onto_buckets": fold_onto_buckets,
     "compacted_silver": compacted_silver,
     "stream_silver": stream_silver,
     "stream_failed_batch": stream_failed_batch,

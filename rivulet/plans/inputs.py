@@ -16,8 +16,8 @@ _REST = "</TransactionId></Transaction></Data>"
 _ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 TOPIC_NAME = "transactions"
 BATCHES = 4
-# The tables here are single files of one split; documents are made of them in so many tasks.
-TASKS = 8
+# A session whose tables are single files of one split names here in how many tasks documents are made of them.
+TASKS_SETTING = "spark.rivulet.inputTasks"
 ORDER_KINDS = 13
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
@@ -27,8 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Some columns of a table, for work that is worth a task per core."""
-    return dealt(table(spark, sf_dir, name).select(*columns), TASKS)
+    """Some columns of a table, by the splits of its scan unless the session names a number of tasks."""
+    tasks = spark.conf.get(TASKS_SETTING, None)
+    return dealt(table(spark, sf_dir, name).select(*columns), int(tasks) if tasks else None)
 
 
 def text(column: Column | str) -> Column:

@@ -195,6 +195,7 @@ ORACLE: dict[str, str] = {
         SELECT strftime(TransactionDateTime, '%Y-%m-%d') AS "TransactionDate", count(*) AS n_rows FROM m GROUP BY 1""",
     "fold_batches": _SNAPSHOT,
     "fold_onto_base": _SNAPSHOT,
+    "fold_onto_buckets": _SNAPSHOT,
     "compacted_silver": _SNAPSHOT,
     "stream_silver": _SNAPSHOT_BY_ARRIVAL,
     "stream_failed_batch": f"""

@@ -16,8 +16,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from rivulet.functions.morton import morton, place
 from rivulet.operators.latest import latest_per_key
-from rivulet.operators.upsert import merge_upsert
+from rivulet.operators.upsert import merge_joined, merge_upsert
 from rivulet.schemas import KEY, ORDER, SILVER, SILVER_PARTITION, SILVER_ROW
 from rivulet.sources.files import read_table
 
@@ -26,9 +29,11 @@ PROCESSED = "_processed_insert_timestamp"
 
 class SilverLog:
     """`order_guard` decides which row of a key counts: the greatest order tuple
-    (default), or, without it, the one processed last."""
+    (default), or, without it, the one processed last. `base_table` is the base as a
+    catalog table that `compact_to_table` has written."""
 
-    def __init__(self, spark: SparkSession, root: str, order_guard: bool = True):
+    def __init__(self, spark: SparkSession, root: str, order_guard: bool = True, base_table: str | None = None):
+        self.base_table = base_table
         self.spark = spark
         self.root = root.rstrip("/")
         self.order_guard = order_guard
@@ -46,7 +51,11 @@ class SilverLog:
         return read_table(self.spark, f"{self.root}/{part}", SILVER_ROW).select(*SILVER_ROW.names)
 
     def _merged(self, fixed_dates: bool = False) -> DataFrame:
-        base, batches = self._read("base"), self._read("batch")
+        batches = self._read("batch")
+        if self.base_table:
+            base = self.spark.table(self.base_table).select(*SILVER_ROW.names)
+            return merge_joined(base, batches, KEY, self.order)
+        base = self._read("base")
         if fixed_dates:
             return latest_per_key(base.unionByName(batches), [SILVER_PARTITION, KEY], self.order)
         return merge_upsert(base, batches, KEY, self.order)
@@ -62,18 +71,37 @@ class SilverLog:
         return self._merged(fixed_dates).select(*SILVER.names)
 
     def compact(self, root: str) -> SilverLog:
-        """Writes the table, clustered by amount within the date, as the base of a new root.
+        """Writes the table, clustered by amount and time within the date, as the base of a new root.
 
         Returns silver at that root. Stop the job that upserts, compact, and let it go
         on at the new root: what it writes to the old one in between is not taken over.
-        The range split ends with the key, which is unique, so neither a hot date nor a
-        common amount can fill one task.
+        Amount and time of day are interleaved bit by bit, so files and row groups cover a
+        small range of both, and a filter on either skips most of a date. The range split
+        ends with the key, which is unique, so neither a hot date nor a common amount can
+        fill one task.
         """
         compacted = SilverLog(self.spark, root, self.order_guard)
+        merged = self._merged()
+        ends = merged.agg(F.min("Amount").alias("low"), F.max("Amount").alias("high")).first()
+        time = F.col("TransactionDateTime").cast("timestamp")
+        since = F.unix_micros(time) - F.unix_micros(F.date_trunc("day", time))
+        near = morton(place(F.col("Amount"), F.lit(ends.low), F.lit(ends.high)), place(since, F.lit(0), F.lit(86_400_000_000)))
         clustered = (
-            self._merged()
-            .repartitionByRange(SILVER_PARTITION, "Amount", KEY)
-            .sortWithinPartitions(SILVER_PARTITION, "Amount")
+            merged.withColumn("_near", near)
+            .repartitionByRange(SILVER_PARTITION, "_near", KEY)
+            .sortWithinPartitions(SILVER_PARTITION, "_near")
+            .drop("_near")
         )
         clustered.write.partitionBy(SILVER_PARTITION).parquet(f"{compacted.root}/base")
         return compacted
+
+    def compact_to_table(self, root: str, table: str, buckets: int) -> SilverLog:
+        """The same with the base as a catalog table in `buckets` buckets by transaction id.
+
+        Merging then never shuffles the base, however many keys the batches have: they
+        are shuffled into its buckets. In return it is not clustered by amount, and its
+        files are not split by date. Take as many buckets as keep each in a task's memory.
+        """
+        writer = self._merged().repartition(buckets, KEY).write.format("parquet").bucketBy(buckets, KEY).sortBy(KEY)
+        writer.option("path", f"{root.rstrip('/')}/base").saveAsTable(table)
+        return SilverLog(self.spark, root, self.order_guard, table)
