@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +40,7 @@ def text_id_crc(column: str) -> Column:
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `limit` bytes of text at most; one longer text stays whole."""
     for batch in batches:
-        lengths = batch.column(text).to_pandas().str.len().fillna(0).to_numpy()
+        lengths = pc.binary_length(batch.column(text)).fill_null(0).to_pylist()
         start, size = 0, 0
         for i, n in enumerate(lengths):
             if i > start and size + n > limit:
