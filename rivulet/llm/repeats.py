@@ -41,7 +41,8 @@ HOT_RUNS = TRANSFORM_BYTES // (LEAST + PLACES - 1)
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = x * np.uint64(0x9E3779B97F4A7C15)
-    return x ^ (x >> np.uint64(32))
+    x ^= x >> np.uint64(32)
+    return x
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -54,23 +55,23 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
 
 
 class Runs:
-    """Runs of neighbouring places with one key: key, document, places [first, last], and
-    a hash of all bytes that the strings at these places cover."""
+    """Runs of neighbouring places with one key: key, document, places [first, last]."""
 
     def __init__(self, data: np.ndarray, lengths: np.ndarray):
         ends = np.cumsum(lengths)
         begins = ends - lengths
+        self.data = data
         self.doc = self.first = self.last = np.zeros(0, np.int64)
-        self.key = self.whole = np.zeros(0, np.uint64)
+        self.key = np.zeros(0, np.uint64)
         n = len(data) - LEAST + 1
         if n <= 0:
             return
         hashes = _gram_hashes(data)
         places = np.arange(len(data), dtype=np.uint64) & np.uint64(2**24 - 1)
         least = ((hashes >> _POSITION_BITS) << _POSITION_BITS) | places
-        for step in (1, 2, 4, 8):
-            least = np.minimum(least[:-step], least[step:])
-        least = np.minimum(least[:n], least[PLACES - 16 : PLACES - 16 + n])
+        for step in (1, 2, 4, 8):  # in place: what is written lies before what is read next
+            least = np.minimum(least[:-step], least[step:], out=least[:-step])
+        least = np.minimum(least[:n], least[PLACES - 16 : PLACES - 16 + n], out=least[:n])
         valid = np.zeros(len(data) + 1, dtype=np.int32)
         long = lengths >= LEAST
         np.add.at(valid, begins[long], 1)
@@ -89,7 +90,10 @@ class Runs:
         self.first, self.last = firsts, lasts
         self.key = hashes[chosen[firsts]]
         self.doc = np.searchsorted(ends, firsts, side="right")
-        self.whole = span_hashes(data, firsts, lasts + LEAST) ^ self.key
+
+    def whole(self, which: np.ndarray) -> np.ndarray:
+        """A hash of all bytes that the strings of each of these runs cover."""
+        return span_hashes(self.data, self.first[which], self.last[which] + LEAST) ^ self.key[which]
 
 
 def _read(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,12 +123,15 @@ def _ask_keys(parts: int):
     def requests(row: dict) -> Iterator[tuple[int, bytes]]:
         data, lengths, ids = _read(row)
         runs = Runs(data, lengths)
-        keys, starts, doc = _grouped(runs.key, runs.doc)
+        keys, starts, doc, which = _grouped(runs.key, runs.doc, np.arange(len(runs.key)))
         if not len(keys):
             return
         shared = np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
-        _, sample = np.unique(runs.whole, return_index=True)
-        extra = np.bincount(np.searchsorted(keys, runs.key[sample]), minlength=len(keys)) - 1
+        # Only a key with several runs can have several distinct ones.
+        often = np.diff(np.append(starts, len(which)))
+        many = which[np.repeat(often > 1, often)]
+        _, sample = np.unique(runs.whole(many), return_index=True)
+        extra = np.where(often > 1, np.bincount(np.searchsorted(keys, runs.key[many[sample]]), minlength=len(keys)) - 1, 0)
         order, found, cuts = by_part(keys, parts)
         for part, a, b in zip(found.tolist(), cuts[:-1], cuts[1:]):
             own = order[a:b]
@@ -175,7 +182,7 @@ def _ask_surroundings(parts: int):
             again[order[a:b]], hot[order[a:b]] = np.unpackbits(array_of(bits[part], "u1"), count=2 * (b - a)).astype(bool).reshape(2, -1)
         at = np.searchsorted(keys, runs.key)
         own = np.flatnonzero(again[at] & ~hot[at])
-        whole, starts, ids_of, own = _grouped(runs.whole[own], ids[runs.doc[own]], own)
+        whole, starts, ids_of, own = _grouped(runs.whole(own), ids[runs.doc[own]], own)
         low, high = _ends(ids_of, starts)
         sample = own[starts]
         key, first, size = runs.key[sample], runs.first[sample], runs.last[sample] - runs.first[sample] + LEAST
@@ -399,7 +406,8 @@ def _covered(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         whole, least, a, b = (np.concatenate(c) for c in columns)
         order = np.argsort(whole, kind="stable")
         whole, least, a, b = whole[order], least[order], a[order].astype(np.int64), b[order].astype(np.int64)
-        left, right = np.searchsorted(whole, runs.whole), np.searchsorted(whole, runs.whole, side="right")
+        mine = runs.whole(np.arange(len(runs.key)))
+        left, right = np.searchsorted(whole, mine), np.searchsorted(whole, mine, side="right")
         hits = right - left
         run = np.repeat(np.arange(len(hits)), hits)
         at = np.arange(int(hits.sum())) - np.repeat(np.cumsum(hits) - hits - left, hits)
