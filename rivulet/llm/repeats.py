@@ -8,8 +8,9 @@ their surroundings together by key, and there a Burrows-Wheeler transform decide
 breadth-first backward extension visits the intervals of all strings by growing
 length and sets a common prefix between neighbours when it first separates them.
 It stops at `LEAST`: what is not separated by then repeats. A hot key, one whose
-surroundings are too many for a transform, is split instead: its single strings of
-`LEAST` bytes are dealt out by their own hash, and equal ones meet there.
+surroundings are too many for a transform, is split: its single strings of `LEAST`
+bytes are dealt out by a hash, and a transform decides among those that meet there.
+Hashes only bring bytes together; that two runs are equal is told by their bytes.
 """
 
 from __future__ import annotations
@@ -109,6 +110,45 @@ def _grouped(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return ordered[starts], starts, *[v[order] for v in values]
 
 
+def _equal(data: np.ndarray, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """Whether the spans at `a` and `b` hold the same bytes; each has eight bytes at least."""
+    same = size_a == size_b
+    if not len(same):
+        return same
+    eights = np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1))
+    for at in range(0, int(size_a.max()), 8):
+        going = np.flatnonzero(same & (size_a > at))
+        here = np.minimum(at, size_a[going] - 8)  # the last eight end with the span
+        same[going] = (eights[a[going] + here].view(np.uint64) == eights[b[going] + here].view(np.uint64)).ravel()
+    return same
+
+
+def _alike(data: np.ndarray, names: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of spans in which equal ones stand together, and where each group begins.
+
+    Their hashes `names` sort them; neighbours are compared by their bytes.
+    """
+    order = np.argsort(names, kind="stable")
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = names[order[1:]] != names[order[:-1]]
+    old = np.flatnonzero(~new)
+    here, back = order[old], order[old - 1]
+    unlike = old[~_equal(data, first[here], first[back], size[here], size[back])]
+    if len(unlike):  # different bytes under one hash: sorted by the bytes
+        group = np.cumsum(new)
+        rows = np.flatnonzero(np.isin(group, group[unlike]))
+        named = sorted((int(group[r]), data[first[i] : first[i] + size[i]].tobytes(), int(i)) for r, i in zip(rows, order[rows]))
+        order[rows] = [i for _, _, i in named]
+        new[rows] = [k == 0 or named[k][:2] != named[k - 1][:2] for k in range(len(named))]
+    return order, np.flatnonzero(new)
+
+
+def _ranges(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, number) of every number in the range [left, right) of each owner."""
+    hits = right - left
+    return np.repeat(np.arange(len(hits)), hits), np.arange(int(hits.sum())) - np.repeat(np.cumsum(hits) - hits - left, hits)
+
+
 def _strings(data: np.ndarray, runs: Runs, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, place, document) of every string of these runs."""
     count = runs.last[which] - runs.first[which] + 1
@@ -182,13 +222,14 @@ def _ask_surroundings(parts: int):
             again[order[a:b]], hot[order[a:b]] = np.unpackbits(array_of(bits[part], "u1"), count=2 * (b - a)).astype(bool).reshape(2, -1)
         at = np.searchsorted(keys, runs.key)
         own = np.flatnonzero(again[at] & ~hot[at])
-        whole, starts, ids_of, own = _grouped(runs.whole(own), ids[runs.doc[own]], own)
-        low, high = _ends(ids_of, starts)
-        sample = own[starts]
+        order, starts = _alike(data, runs.whole(own), runs.first[own], runs.last[own] - runs.first[own] + LEAST)
+        low, high = _ends(ids[runs.doc[own[order]]], starts)
+        sample = own[order[starts]]
         key, first, size = runs.key[sample], runs.first[sample], runs.last[sample] - runs.first[sample] + LEAST
-        line, _, doc = _strings(data, runs, np.flatnonzero(hot[at]))
-        line, starts, ids_of = _grouped(line, ids[doc])
-        line_low, line_high = _ends(ids_of, starts)
+        line, place, doc = _strings(data, runs, np.flatnonzero(hot[at]))
+        order, starts = _alike(data, line, place, np.full(len(line), LEAST))
+        line_low, line_high = _ends(ids[doc[order]], starts)
+        line, place = line[order[starts]], place[order[starts]]
         runs_of, lines_of = _dealt(key, parts), _dealt(line, parts)
         none = np.zeros(0, np.int64)
         for part in sorted({*runs_of, *lines_of}):
@@ -197,10 +238,10 @@ def _ask_surroundings(parts: int):
             offsets = np.cumsum(size[at]) - size[at]
             take = np.arange(total) - np.repeat(offsets - first[at], size[at])
             head = np.array([len(at), len(lines)], dtype="<i8").tobytes()
-            head += line[lines].tobytes() + line_low[lines].tobytes() + line_high[lines].tobytes()
-            yield part, squeeze(
-                head + key[at].tobytes() + whole[at].tobytes() + low[at].tobytes() + high[at].tobytes() + size[at].astype(np.uint8).tobytes() + data[take].tobytes()
-            )
+            head += line_low[lines].tobytes() + line_high[lines].tobytes() + place[lines].astype("<u4").tobytes()
+            head += data[place[lines][:, None] + np.arange(LEAST)].tobytes()
+            body = key[at].tobytes() + low[at].tobytes() + high[at].tobytes() + first[at].astype("<u4").tobytes()
+            yield part, squeeze(head + body + size[at].astype(np.uint8).tobytes() + data[take].tobytes())
 
     return requests
 
@@ -221,7 +262,8 @@ def _dealt(keys: np.ndarray, parts: int) -> dict[int, np.ndarray]:
 
 
 def prefix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of `text` (numbers below 512) sorted by their first `depth` signs at least."""
+    """Suffixes of `text` (numbers below 512) sorted by their first `depth` signs at least; the
+    order of those that share more is left open."""
     n = len(text)
     padded = np.concatenate([text.astype(np.int64), np.zeros(7, np.int64)])
     key = padded[:n].copy()
@@ -229,7 +271,7 @@ def prefix_order(text: np.ndarray, depth: int) -> np.ndarray:
         key = (key << 9) | padded[i : n + i]
     reach = 7
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         rank = np.empty(n, dtype=np.int64)
         rank[order] = np.cumsum(np.append(0, ordered[1:] != ordered[:-1]))
@@ -250,7 +292,7 @@ def separated(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
     separates for the first time is extended further.
     """
     n = len(text)
-    before = text[order - 1]  # the transform; the first sign follows the last
+    before = text[order - 1].astype(np.uint16)  # the transform; the first sign follows the last
     moved = np.empty(n, dtype=np.int64)
     moved[np.argsort(before, kind="stable")] = np.arange(n)
     head = text[order]
@@ -302,6 +344,32 @@ def least_ids(segments: list[np.ndarray], ids: np.ndarray, least: int = LEAST) -
     return [found[s : s + n - least + 1] for s, n in zip(starts.tolist(), sizes.tolist())]
 
 
+def _batches(sizes: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of whole groups, of `TRANSFORM_BYTES` at most unless one group has more."""
+    total = np.append(0, np.cumsum(sizes))
+    begin = 0
+    for a, b in zip(starts, np.append(starts[1:], len(sizes))):
+        if a > begin and total[b] - total[begin] > TRANSFORM_BYTES:
+            yield begin, a
+            begin = a
+    if len(sizes) > begin:
+        yield begin, len(sizes)
+
+
+def _decide_strings(strings: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each single string (a row of `LEAST` bytes) the least id among its equals."""
+    least = ids.copy()
+    name = span_hashes(strings.ravel(), np.arange(len(strings)) * LEAST, np.arange(1, len(strings) + 1) * LEAST)
+    order = np.argsort(name, kind="stable")
+    new = np.append(True, name[order[1:]] != name[order[:-1]])
+    met = ~(new & np.append(new[1:], True))  # others have no string to be equal to
+    order, starts = order[met], np.flatnonzero(new[met])
+    for a, b in _batches(np.full(len(order), LEAST), starts):
+        own = order[a:b]
+        least[own] = np.concatenate(least_ids(list(strings[own]), ids[own]))
+    return least
+
+
 def _answer_surroundings(blocks: list[bytes]) -> tuple[list[bytes], list[int]]:
     """Per block: for each of its runs, which places a document with a smaller id has too;
     then the strings of hot keys that such a document has."""
@@ -310,32 +378,34 @@ def _answer_surroundings(blocks: list[bytes]) -> tuple[list[bytes], list[int]]:
     for block in blocks:
         raw = expand(block)
         n, n_lines = np.frombuffer(raw, "<i8", 2).tolist()
-        lines.append((np.frombuffer(raw, "<u8", n_lines, 16), *np.frombuffer(raw, "<i8", 2 * n_lines, 16 + 8 * n_lines).reshape(2, -1)))
-        at = 16 + 24 * n_lines
-        for i, kind in enumerate(("<u8", "<u8", "<i8", "<i8", "u1")):
+        at = 16 + 20 * n_lines
+        ends = np.frombuffer(raw, "<i8", 2 * n_lines, 16).reshape(2, -1)
+        lines.append((*ends, np.frombuffer(raw, "<u4", n_lines, at - 4 * n_lines), np.frombuffer(raw, np.uint8, LEAST * n_lines, at).reshape(-1, LEAST)))
+        at += LEAST * n_lines
+        for i, kind in enumerate(("<u8", "<i8", "<i8", "<u4", "u1")):
             columns[i].append(np.frombuffer(raw, kind, n, at))
             at += n * columns[i][-1].itemsize
         texts.append(np.frombuffer(raw, np.uint8, -1, at))
         counts.append(n)
-    key, whole, low, high, size = (np.concatenate(c) for c in columns)
+    key, low, high, asked, size = (np.concatenate(c) for c in columns)
     size = size.astype(np.int64)
     text = np.concatenate(texts)
-    line, line_at = np.unique(np.concatenate([x for x, _, _ in lines]), return_inverse=True)
-    line_least = np.full(len(line), _NO_ID)
-    np.minimum.at(line_least, line_at, np.concatenate([x for _, x, _ in lines]))
+    line_low, line_high, line_asked, strings = (np.concatenate(c) for c in zip(*lines))
+    line_least = _decide_strings(strings, line_low) if len(strings) else line_low
     start = np.cumsum(size) - size
-    distinct, first, inverse = np.unique(whole, return_index=True, return_inverse=True)
-    lowest = np.full(len(distinct), _NO_ID)
-    np.minimum.at(lowest, inverse, low)
-    highest = np.full(len(distinct), np.iinfo(np.int64).min)
-    np.maximum.at(highest, inverse, high)
+    order, groups = _alike(text, span_hashes(text, start, start + size) ^ key, start, size)
+    first = order[groups]
+    lowest, highest = _ends(low[order], groups)[0], _ends(high[order], groups)[1]
+    inverse = np.empty(len(order), dtype=np.int64)
+    inverse[order] = np.repeat(np.arange(len(first)), np.diff(np.append(groups, len(order))))
     order = np.argsort(key[first], kind="stable")
     ordered = key[first][order]
-    edges = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-    ends = np.append(edges[1:], len(order))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    alone = new & np.append(new[1:], True)[: len(new)]
     # Answers per distinct run: (first place, last place, least id).
     run_of, place_a, place_b, least_id = [], [], [], []
-    alone = order[edges[ends - edges == 1]]  # nothing but equal runs under this key
+    order, alone, new = order[~alone], order[alone], new[~alone]  # alone: nothing but equal runs under the key
     run_of.append(alone)
     place_a.append(np.zeros(len(alone), np.int64))
     place_b.append(size[first[alone]] - LEAST)
@@ -354,36 +424,22 @@ def _answer_surroundings(blocks: list[bytes]) -> tuple[list[bytes], list[int]]:
         place_b.append(place[last])
         least_id.append(many[new])
 
-    held, bytes_held = [], 0
-    for a, b in zip(edges[ends - edges > 1], ends[ends - edges > 1]):
-        own = int(size[first[order[a:b]]].sum())
-        if held and bytes_held + own > TRANSFORM_BYTES:
-            decide(np.concatenate(held))
-            held, bytes_held = [], 0
-        held.append(order[a:b])
-        bytes_held += own
-    if held:
-        decide(np.concatenate(held))
+    for i, j in _batches(size[first[order]], np.flatnonzero(new)):
+        decide(order[i:j])
     run, a, b, least = (np.concatenate(c) for c in (run_of, place_a, place_b, least_id))
     useful = least < highest[run]
-    run, a, b, least = run[useful], a[useful], b[useful], least[useful]
+    run, a, b, least = run[useful], a[useful].astype(np.uint8), b[useful].astype(np.uint8), least[useful]
     by = np.argsort(run, kind="stable")
     run, a, b, least = run[by], a[by], b[by], least[by]
     replies, cuts = [], np.cumsum([0, *counts])
-    line_cuts = np.cumsum([0, *[len(x) for x, _, _ in lines]])
-    for i, j, k, m, (asked, _, greatest) in zip(cuts[:-1], cuts[1:], line_cuts[:-1], line_cuts[1:], lines):
-        own = np.unique(inverse[i:j])
-        top = np.full(len(own), np.iinfo(np.int64).min)
-        np.maximum.at(top, np.searchsorted(own, inverse[i:j]), high[i:j])
-        at = np.searchsorted(own, run)
-        mine = at < len(own)
-        mine[mine] = own[at[mine]] == run[mine]
-        mine[mine] = least[mine] < top[at[mine]]
-        lower = line_least[line_at[k:m]]
-        use = lower < greatest
-        head = np.array([mine.sum(), use.sum()], dtype="<i8").tobytes() + asked[use].tobytes() + lower[use].tobytes()
-        body = distinct[run[mine]].tobytes() + least[mine].tobytes() + a[mine].astype(np.uint8).tobytes() + b[mine].astype(np.uint8).tobytes()
-        replies.append(squeeze(head + body))
+    line_cuts = np.cumsum([0, *[len(x[0]) for x in lines]])
+    for i, j, k, m in zip(cuts[:-1], cuts[1:], line_cuts[:-1], line_cuts[1:]):
+        own, at = _ranges(np.searchsorted(run, inverse[i:j]), np.searchsorted(run, inverse[i:j], side="right"))
+        mine = least[at] < high[i:j][own]
+        own, at = own[mine], at[mine]
+        use = line_least[k:m] < line_high[k:m]
+        head = np.array([len(own), use.sum()], dtype="<i8").tobytes() + line_asked[k:m][use].tobytes() + line_least[k:m][use].tobytes()
+        replies.append(squeeze(head + asked[i:j][own].tobytes() + least[at].tobytes() + a[at].tobytes() + b[at].tobytes()))
     return replies, []
 
 
@@ -392,36 +448,41 @@ def _covered(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data, lengths, ids = _read(row)
     runs = Runs(data, lengths)
     columns: list[list[np.ndarray]] = [[], [], [], []]
-    lines = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    lines = []
     for reply in row["replies"] or ():
         raw = expand(reply["reply"])
         n, n_lines = np.frombuffer(raw, "<i8", 2).tolist()
-        lines.append((np.frombuffer(raw, "<u8", n_lines, 16), np.frombuffer(raw, "<i8", n_lines, 16 + 8 * n_lines)))
-        at = 16 + 16 * n_lines
-        for i, kind in enumerate(("<u8", "<i8", "u1", "u1")):
+        lines.append((np.frombuffer(raw, "<u4", n_lines, 16), np.frombuffer(raw, "<i8", n_lines, 16 + 4 * n_lines)))
+        at = 16 + 12 * n_lines
+        for i, kind in enumerate(("<u4", "<i8", "u1", "u1")):
             columns[i].append(np.frombuffer(raw, kind, n, at))
             at += n * columns[i][-1].itemsize
     change = np.zeros(len(data) + 1, dtype=np.int64)
-    if columns[0]:
-        whole, least, a, b = (np.concatenate(c) for c in columns)
-        order = np.argsort(whole, kind="stable")
-        whole, least, a, b = whole[order], least[order], a[order].astype(np.int64), b[order].astype(np.int64)
-        mine = runs.whole(np.arange(len(runs.key)))
-        left, right = np.searchsorted(whole, mine), np.searchsorted(whole, mine, side="right")
-        hits = right - left
-        run = np.repeat(np.arange(len(hits)), hits)
-        at = np.arange(int(hits.sum())) - np.repeat(np.cumsum(hits) - hits - left, hits)
+    if lines:
+        place, least, a, b = (np.concatenate(c).astype(np.int64) for c in columns)
+        whole, size = runs.whole(np.arange(len(runs.key))), runs.last - runs.first + LEAST
+        sample = np.searchsorted(runs.first, place)
+        order = np.argsort(whole[sample], kind="stable")
+        sample, least, a, b = sample[order], least[order], a[order], b[order]
+        run, at = _ranges(np.searchsorted(whole[sample], whole), np.searchsorted(whole[sample], whole, side="right"))
         smaller = least[at] < ids[runs.doc[run]]
         run, at = run[smaller], at[smaller]
+        same = _equal(data, runs.first[run], runs.first[sample[at]], size[run], size[sample[at]])
+        run, at = run[same], at[same]
         np.add.at(change, runs.first[run] + a[at], 1)
         np.add.at(change, runs.first[run] + b[at] + LEAST, -1)
-    line, least = (np.concatenate(c) for c in zip(*lines))
-    if len(line):
-        order = np.argsort(line)
-        line, least = line[order], least[order]
-        own, place, doc = _strings(data, runs, np.arange(len(runs.key)))  # equal strings have equal keys
-        at = np.minimum(np.searchsorted(line, own), len(line) - 1)
-        gone = place[(line[at] == own) & (least[at] < ids[doc])]
+        asked, least = (np.concatenate(c).astype(np.int64) for c in zip(*lines))
+        # Equal strings have equal keys.
+        keys = np.unique(runs.key[np.searchsorted(runs.first, asked, side="right") - 1])
+        own, place, doc = _strings(data, runs, np.flatnonzero(np.isin(runs.key, keys)))
+        line = span_hashes(data, asked, asked + LEAST)
+        order = np.argsort(line, kind="stable")
+        line, asked, least = line[order], asked[order], least[order]
+        string, at = _ranges(np.searchsorted(line, own), np.searchsorted(line, own, side="right"))
+        gone = least[at] < ids[doc[string]]
+        string, at = string[gone], at[gone]
+        every = np.full(len(at), LEAST)
+        gone = place[string[_equal(data, place[string], asked[at], every, every)]]
         np.add.at(change, gone, 1)
         np.add.at(change, gone + LEAST, -1)
     return data, lengths, np.cumsum(change[:-1]) > 0

@@ -148,8 +148,9 @@ def test_repeats_against_brute_force(docs, empty):
     assert remove_repeats(empty).count() == 0
 
 
-@pytest.mark.parametrize("hot_runs", [50, 0, 10**6])
-def test_repeats_split_hot_keys(monkeypatch, hot_runs):
+@pytest.mark.parametrize("hot_runs, bits", [(50, 64), (0, 64), (10**6, 64), (50, 1), (0, 2), (10**6, 0)])
+def test_repeats_split_hot_keys(monkeypatch, hot_runs, bits):
+    """Also with hashes of so few bits that unlike bytes share them."""
     rng, sizes = np.random.default_rng(4), []
     letters = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes()
     grams = [letters(20) for _ in range(3000)]
@@ -160,6 +161,8 @@ def test_repeats_split_hot_keys(monkeypatch, hot_runs):
     ids = rng.permutation(len(texts)).tolist()
     monkeypatch.setattr(repeats, "HOT_RUNS", hot_runs)
     monkeypatch.setattr(repeats, "TRANSFORM_BYTES", 4000)
+    hashes = repeats.span_hashes
+    monkeypatch.setattr(repeats, "span_hashes", lambda *spans: hashes(*spans) & np.uint64(2**bits - 1))
     real = repeats.least_ids
     monkeypatch.setattr(repeats, "least_ids", lambda segments, own: sizes.append(sum(map(len, segments))) or real(segments, own))
     chunks = [{"chunk": c, "doc_id": ids[c::4], "lengths": [len(t) for t in texts[c::4]], "data": squeeze(b"".join(texts[c::4]))} for c in range(4)]
@@ -192,7 +195,18 @@ def test_repeats_split_hot_keys(monkeypatch, hot_runs):
         assert gone.astype(np.uint8).tobytes() == expected
         removed += sum(expected)
     assert removed > 250
-    assert max(sizes, default=0) <= 4000 or hot_runs > 50
+    assert max(sizes, default=0) <= 4000 or hot_runs > 50 or bits < 64
+    assert sizes  # the transform decides about hot keys too
+
+
+def test_spans_alike_by_their_bytes():
+    data = np.frombuffer(b"abcdefghij" * 3 + b"abcdefghiX" + b"abcdefghij", np.uint8)
+    first, size = np.array([0, 10, 30, 40, 1, 20]), np.array([10, 10, 10, 10, 9, 9])
+    for names in (np.zeros(6, np.uint64), np.array([1, 1, 1, 1, 0, 1], np.uint64)):
+        order, starts = repeats._alike(data, names, first, size)
+        groups = {frozenset(g.tolist()) for g in np.split(order, starts[1:])}
+        assert groups == {frozenset({0, 1, 3}), frozenset({2}), frozenset({4}), frozenset({5})}
+    assert [len(x) for x in repeats._alike(data, names[:0], first[:0], size[:0])] == [0, 0]
 
 
 def test_interval_expansion_finds_common_prefixes():
