@@ -74,6 +74,18 @@ def test_old_messages_are_not_late(spark, zones):
     assert sorted(r.TransactionId for r in log.snapshot().collect()) == [1, 9]
 
 
+def test_silver_of_a_stream_with_state_has_few_files_per_date(spark, zones):
+    times = [f"2024-01-{d:02d}T00:00:00" for d in range(1, 11)]
+    texts = [data(transaction(str(i), time=times[i % 10])) for i in range(80)]
+    append(spark, zones, [message(envelope(x), i) for i, x in enumerate(texts)])
+    log, settings = SilverLog(spark, zones.silver), []
+    adaptive = lambda rows: (settings.append(rows.sparkSession.conf.get("spark.sql.adaptive.enabled")), refine(rows))[1]
+    start_silver(spark, zones, log, once_within="1 day", refine_rows=adaptive).awaitTermination()
+    assert settings == ["true"] and log.snapshot().count() == 80
+    files = [f for _, _, names in os.walk(zones.silver) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 20  # 10 dates; a file for each task and date would be nearly 80
+
+
 # Bad messages
 
 
