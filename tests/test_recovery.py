@@ -1,6 +1,7 @@
 """Copies of messages, bad messages in good batches, large files, newest rows, outcomes."""
 
 import os
+import threading
 from datetime import date, datetime, timezone
 
 import pytest
@@ -19,6 +20,7 @@ from rivulet.sinks.silver_log import SilverLog
 from rivulet.sources.files import read_bronze, read_bronze_since, read_table
 from rivulet.sources.records import read_records, record_files, stream_records
 from rivulet.streaming.common import DRAIN
+from rivulet.streaming import isolate as isolating
 from rivulet.streaming.isolate import isolate
 from rivulet.streaming.outcomes import OutcomeLog, read_outcomes
 from rivulet.streaming.silver import replay_failed_batches, start_silver
@@ -117,6 +119,27 @@ def test_a_limit_on_probes_takes_neighbours_along(spark, tmp_path):
     assert parts.good.count() + len(found) == 64
 
 
+def test_ranges_of_a_level_are_probed_at_once(spark, tmp_path, monkeypatch):
+    running, most, lock, fails = 0, 0, threading.Lock(), isolating._fails
+
+    def counted(*of):
+        nonlocal running, most
+        with lock:
+            running += 1
+            most = max(most, running)
+        try:
+            return fails(*of)
+        finally:
+            with lock:
+                running -= 1
+
+    monkeypatch.setattr(isolating, "_fails", counted)
+    bad = (1, 9, 22, 40, 41, 63)
+    parts = isolate(bronze(spark, many(64)), str(tmp_path / "work"), poisoned(*bad), 1000)
+    assert sorted(int(r.offset) for r in parts.bad.collect()) == list(bad) and parts.complete
+    assert most >= 2
+
+
 def test_a_batch_that_can_be_refined_has_no_bad_messages(spark, tmp_path):
     assert isolate(bronze(spark, many(4)), str(tmp_path / "work"), refine, 10) is None
 
