@@ -164,3 +164,21 @@ def test_held_out_prose_scores_better_than_the_base(spark):
     docs = spark.createDataFrame([(i, prose(300)) for i in range(150)], "doc_id long, text string")
     held = score_documents(docs, tokenizer()).filter("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert held.s > held.b
+
+
+def test_weights_learn_from_every_place(monkeypatch):
+    """Of many windows too: each place is scored in a step of each pass."""
+    rng = np.random.default_rng(4)
+    sequences = [rng.integers(0, 50, n) for n in (300_000, 5, 250_000, 1, 77)]
+    trained = []
+
+    def counted(p, tokens, classes, use):
+        trained.append(int(use.sum()))
+        return {n: np.zeros_like(x) for n, x in p.items()}
+
+    monkeypatch.setattr(AttentionModel, "_gradients", staticmethod(counted))
+    p = {n: x.astype(np.float32) for n, x in small_parameters(rng, VOCABULARY).items()}
+    for number in range(lm.ROUNDS):
+        trained.clear()
+        AttentionModel.learn(p, np.arange(VOCABULARY) % CLASSES, sequences, number, 0)
+        assert len(trained) >= lm.LEAST_STEPS and sum(trained) == sum(map(len, sequences))
