@@ -5,6 +5,10 @@ numbers in unusual grouping). Boosted trees judge their format and context; the
 scores are calibrated, and a threshold per kind, set for precision on rows that were
 not trained on, selects what is added to the base spans.
 
+All documents are learned from. Spark counts equal training rows once by their features
+and once more by the bins of these; each level of a tree is then a sum over those rows,
+added up by Spark as whole numbers, so the order in which they come changes nothing.
+
 There are no labels for spans. Base spans and rewritten forms of them are positive;
 negative are base spans broken on purpose (check digit, range of parts, a number for a
 host) and numbers that are clearly something else. Other candidates apart from base
@@ -17,7 +21,9 @@ import hashlib
 import re
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +31,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivulet.llm.common import filled, mapped, slices
+from rivulet.llm.common import filled, mapped, slices, stored
 
 KINDS = ("email", "ip", "card", "phone")
-# The model learns from this many documents at most, and this many candidates.
-SAMPLE_DOCUMENTS = 3000
-SAMPLE_ROWS = 20_000
-# Of one document at most so many, drawn at random, so that no long one fills the sample.
+# `drawn_rows` takes at most so many rows of one document.
 DOCUMENT_ROWS = 60
+FEATURES = 22
+HELD_ROWS = 50_000  # distinct training rows that a task holds before it hands them on
+FIXED = 1 << 20  # gradients are added up as whole multiples of 1 / FIXED
+# Scores that set calibration and thresholds are counted by steps of 1 / FINE, up to FARTHEST either way.
+FINE, FARTHEST = 64, 32
 PRECISION = 0.98
 # The threshold of a kind with fewer than `LEAST_ROWS` rows to set it by.
 FALLBACK, LEAST_ROWS = 0.95, 20
@@ -214,57 +222,155 @@ def training_rows(text: str) -> Iterator[tuple[list[float], int]]:
 
 
 def drawn_rows(text: str) -> list[tuple[tuple[list[float], int], int]]:
-    """`DOCUMENT_ROWS` of a document's training rows at most, each with a random place in the sample."""
+    """`DOCUMENT_ROWS` of a document's training rows at most, each with a random number."""
     rows, rng = list(training_rows(text)), np.random.default_rng(zlib.crc32(text.encode()))
     drawn = rng.permutation(len(rows))[:DOCUMENT_ROWS]
     return [(rows[i], p) for i, p in zip(drawn.tolist(), rng.integers(0, 2**62, len(drawn)).tolist())]
 
 
+Count = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+
+
+def _row(x: list[float]) -> tuple[bytes, bool]:
+    """The features of a row, all small whole numbers, and whether it is kept from training."""
+    packed = np.minimum(x, 65_535).astype("<u2").tobytes()
+    return packed, zlib.crc32(packed) % 4 == 3
+
+
+def _binned(edges: list[np.ndarray], x: np.ndarray) -> np.ndarray:
+    """Bins of the features; the kind comes last, as it is."""
+    columns = [np.searchsorted(e, c, side="right") for e, c in zip(edges, x.T)]
+    return np.stack([*columns, x[:, 0]], axis=1).astype(np.int64)
+
+
+class ListedRows:
+    """Training rows of a list, equal ones counted."""
+
+    def __init__(self, rows: list[tuple[list[float], int]]):
+        seen = Counter((*_row(x), int(y)) for x, y in rows)
+        self.x = np.frombuffer(b"".join(x for x, _, _ in seen), "<u2").reshape(-1, FEATURES).astype(np.int64)
+        self.held = np.array([h for _, h, _ in seen], bool)
+        self.y, self.n = np.array([y for _, _, y in seen], np.int64), np.array(list(seen.values()), np.int64)
+
+    def total(self, count: Count) -> np.ndarray:
+        """The sum of `count(x, y, n, held)` over all rows."""
+        return count(self.x, self.y, self.n, self.held)
+
+    def binned(self, edges: list[np.ndarray]) -> ListedRows:
+        made = ListedRows([])
+        made.x, made.y, made.n, made.held = _binned(edges, self.x), self.y, self.n, self.held
+        return made
+
+
+class CountedRows:
+    """The same as a table of Spark (x, held, y, n), whose features are numbers of `kind`."""
+
+    def __init__(self, df: DataFrame, kind: str = "<u2", width: int = FEATURES):
+        self.df, self.kind, self.width = df, kind, width
+
+    def total(self, count: Count) -> np.ndarray:
+        kind, width = self.kind, self.width
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = sum(count(*_arrays(b, kind, width)) for b in batches if b.num_rows)
+            cells = np.flatnonzero(sums) if isinstance(sums, np.ndarray) else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(sums[cells] if len(cells) else cells)], names=["cell", "n"])
+
+        table = mapped(self.df, run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+        sums = count(*(np.zeros(shape, np.int64) for shape in ((0, width), 0, 0)), np.zeros(0, bool))
+        sums[table.column("cell").to_numpy()] = table.column("n").to_numpy()
+        return sums
+
+    def binned(self, edges: list[np.ndarray]) -> CountedRows:
+        kind, width = self.kind, self.width
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x = _binned(edges, _arrays(batch, kind, width)[0]).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), *batch.columns[1:]], names=batch.schema.names)
+
+        return CountedRows(_summed(mapped(self.df, run, self.df.schema)), "u1", width + 1)
+
+
+def _arrays(batch: pa.RecordBatch, kind: str, width: int) -> tuple[np.ndarray, ...]:
+    x = np.frombuffer(b"".join(batch.column("x").to_pylist()), kind).reshape(-1, width).astype(np.int64)
+    held = batch.column("held").to_numpy(zero_copy_only=False)
+    return x, batch.column("y").to_numpy().astype(np.int64), batch.column("n").to_numpy(), held
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    return stored(rows.groupBy("x", "held", "y").agg(F.sum("n").alias("n")), "pii-rows")
+
+
+def _outcomes(x: np.ndarray, y: np.ndarray, n: np.ndarray, held: np.ndarray) -> np.ndarray:
+    return np.bincount(y + 2 * held, n, 4).astype(np.int64)
+
+
+def _values(x: np.ndarray, y: np.ndarray, n: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """How often each feature has each value, in the rows to train on."""
+    cells = np.arange(FEATURES) * 65_536 + x[~held]
+    return np.bincount(cells.ravel(), np.repeat(n[~held], FEATURES), FEATURES * 65_536).astype(np.int64)
+
+
 class Boosted:
     """Gradient-boosted regression trees on the logistic loss, of fixed depth, over binned features."""
 
     def __init__(self, trees: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32):
         self.trees, self.depth, self.rate, self.bins = trees, depth, rate, bins
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> Boosted:
-        self.edges = [np.unique(np.quantile(c, np.linspace(0, 1, self.bins + 1)[1:-1])) for c in x.T]
-        binned = self._bin(x)
-        self.start = float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
-        score, self.forest = np.full(len(y), self.start), []
+    def fit(self, rows: ListedRows | CountedRows) -> tuple[Boosted, ListedRows | CountedRows]:
+        """Learns from the rows that are not held; returns itself, and all rows by their bins."""
+        self.edges = [self._edges(c) for c in rows.total(_values).reshape(FEATURES, -1)]
+        rows = rows.binned(self.edges)
+        bad, good = rows.total(_outcomes)[:2]
+        mean = good / max(good + bad, 1)
+        self.start, self.forest = float(np.log((mean + 1e-6) / (1 - mean + 1e-6))), []
         for _ in range(self.trees):
-            p = 1 / (1 + np.exp(-score))
-            tree = self._grow(binned, y - p, p * (1 - p))
-            self.forest.append(tree)
-            score += self._apply(tree, binned)
-        return self
-
-    def _bin(self, x: np.ndarray) -> np.ndarray:
-        return np.stack([np.searchsorted(e, c, side="right") for e, c in zip(self.edges, x.T)], axis=1)
-
-    def _grow(self, binned: np.ndarray, gradient: np.ndarray, curvature: np.ndarray) -> list:
+            self.forest.append(self._grow(rows))
+        return self, rows
+
+    def _edges(self, often: np.ndarray) -> np.ndarray:
+        """Between all values of a feature if they are few, else at its quantiles."""
+        values = np.flatnonzero(often)
+        if len(values) <= self.bins:
+            return values[1:].astype(float)
+        below = np.cumsum(often[values])
+        return np.unique(values[np.searchsorted(below, below[-1] * np.linspace(0, 1, self.bins + 1)[1:-1])]).astype(float)
+
+    def _grow(self, rows: ListedRows | CountedRows) -> list:
         """Splits level by level; a tree is a list of levels of (feature, bin) per node, then leaf values."""
-        node, levels, width = np.zeros(len(binned), dtype=np.int64), [], self.bins + 1
+        levels, width = [], self.bins + 1
         for level in range(self.depth):
-            splits = []
+            sums = rows.total(partial(self._sums, levels))
+            many, cells = sums[: 2**level], sums[2**level :].reshape(2, 2**level, FEATURES, width) / FIXED
+            splits, leaves = [], []
             for at in range(2**level):
-                own = np.flatnonzero(node == at)
-                best = (1e-9, 0, width)
-                if len(own) >= 20:
-                    g_all, h_all = gradient[own].sum(), curvature[own].sum()
-                    for f in range(binned.shape[1]):
-                        column = binned[own, f]
-                        g = np.cumsum(np.bincount(column, gradient[own], width))[:-1]
-                        h = np.cumsum(np.bincount(column, curvature[own], width))[:-1]
-                        gain = g**2 / (h + 1) + (g_all - g) ** 2 / (h_all - h + 1) - g_all**2 / (h_all + 1)
-                        cut = int(gain.argmax())
-                        if gain[cut] > best[0]:
-                            best = (float(gain[cut]), f, cut)
+                g_all, h_all = cells[:, at, 0].sum(axis=1)
+                best, left = (1e-9, 0, width), (g_all, h_all)
+                if many[at] >= 20:
+                    g, h = np.cumsum(cells[:, at], axis=2)[..., :-1]
+                    gain = g**2 / (h + 1) + (g_all - g) ** 2 / (h_all - h + 1) - g_all**2 / (h_all + 1)
+                    f, cut = divmod(int(gain.argmax()), width - 1)
+                    if gain[f, cut] > best[0]:
+                        best, left = (float(gain[f, cut]), f, cut), (g[f, cut], h[f, cut])
                 splits.append(best[1:])
+                leaves += [left[0] / (left[1] + 1), (g_all - left[0]) / (h_all - left[1] + 1)]
             levels.append(np.array(splits))
-            node = self._descend(node, levels[-1], binned)
-        g = np.bincount(node, gradient, 2**self.depth)
-        h = np.bincount(node, curvature, 2**self.depth)
-        return [levels, self.rate * g / (h + 1)]
+        return [levels, self.rate * np.array(leaves)]
+
+    def _sums(self, levels: list, x: np.ndarray, y: np.ndarray, n: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """Rows per node below these levels; gradients and curvatures per node, feature and bin."""
+        x, y, n = x[~held], y[~held], n[~held]
+        p = 1 / (1 + np.exp(-self.binned_score(x)))
+        node, width = np.zeros(len(x), dtype=np.int64), self.bins + 1
+        for splits in levels:
+            node = self._descend(node, splits, x)
+        nodes = 2 ** len(levels)
+        cells = ((node[:, None] * FEATURES + np.arange(FEATURES)) * width + x[:, :FEATURES]).ravel()
+        sums = [np.bincount(node, n, nodes)]
+        for value in (y - p, p * (1 - p)):
+            sums.append(np.bincount(cells, np.repeat(np.rint(value * FIXED) * n, FEATURES), nodes * FEATURES * width))
+        return np.concatenate(sums).astype(np.int64)
 
     @staticmethod
     def _descend(node: np.ndarray, splits: np.ndarray, binned: np.ndarray) -> np.ndarray:
@@ -276,43 +382,53 @@ class Boosted:
             node = self._descend(node, splits, binned)
         return tree[1][node]
 
+    def binned_score(self, binned: np.ndarray) -> np.ndarray:
+        return self.start + sum((self._apply(t, binned) for t in self.forest), np.zeros(len(binned)))
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        binned = self._bin(x)
-        return self.start + sum((self._apply(t, binned) for t in self.forest), np.zeros(len(x)))
+        return self.binned_score(_binned(self.edges, x))
+
+    def held_scores(self, x: np.ndarray, y: np.ndarray, n: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """Held rows by kind, outcome and step of their score."""
+        x, y, n = x[held], y[held], n[held]
+        step = np.rint(np.clip(self.binned_score(x), -FARTHEST, FARTHEST) * FINE).astype(np.int64) + FARTHEST * FINE
+        size = 2 * FARTHEST * FINE + 1
+        return np.bincount((x[:, -1] * 2 + y) * size + step, n, len(KINDS) * 2 * size).astype(np.int64)
 
 
 class Detector:
     """The trained model with its calibration and a threshold per kind (2: adds nothing)."""
 
-    def __init__(self, rows: list[tuple[list[float], int]]):
+    def __init__(self, rows: list[tuple[list[float], int]] | ListedRows | CountedRows):
+        rows = ListedRows(rows) if isinstance(rows, list) else rows
         self.model, self.thresholds = None, [2.0] * len(KINDS)
-        x, y = np.array([r[0] for r in rows], dtype=float), np.array([r[1] for r in rows], dtype=float)
-        if len(y) < 200 or y.min() == y.max():
+        counts = rows.total(_outcomes).reshape(2, 2)
+        if counts.sum() < 200 or not counts[0].all() or not counts.sum(axis=0).all():
             return
-        held = np.arange(len(y)) % 4 == 3
-        self.model = Boosted().fit(x[~held], y[~held])
-        self.slope, self.shift = self._calibrate(self.model.score(x[held]), y[held])
-        p = self.probability(x[held])
-        for kind in range(len(KINDS)):
-            own = x[held][:, 0] == kind
-            if own.sum() < LEAST_ROWS:
+        self.model, rows = Boosted().fit(rows)
+        held = rows.total(self.model.held_scores).reshape(len(KINDS), 2, -1)
+        steps = np.arange(-FARTHEST * FINE, FARTHEST * FINE + 1) / FINE
+        self.slope, self.shift = self._calibrate(steps, *held.sum(axis=0).astype(float))
+        least = 1 / (1 + np.exp(-np.clip(self.slope * (steps - 0.5 / FINE) + self.shift, -50, 50)))
+        for kind, (bad, good) in enumerate(held):
+            if (bad + good).sum() < LEAST_ROWS:
                 self.thresholds[kind] = FALLBACK
                 continue
-            order = np.argsort(-p[own], kind="stable")
-            precise = np.cumsum(y[held][own][order]) / np.arange(1, own.sum() + 1)
-            good = np.flatnonzero(precise >= PRECISION)
-            if len(good):
-                self.thresholds[kind] = max(float(p[own][order][good[-1]]), 0.5)
+            here = np.flatnonzero(bad + good)
+            order = here[np.argsort(-least[here], kind="stable")]
+            precise = order[np.cumsum(good[order]) >= PRECISION * np.cumsum((bad + good)[order])]
+            if len(precise):
+                self.thresholds[kind] = max(float(least[precise[-1]]), 0.5)
 
     @staticmethod
-    def _calibrate(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-        """Logistic regression of the outcome on the score, by Newton steps."""
+    def _calibrate(score: np.ndarray, bad: np.ndarray, good: np.ndarray) -> tuple[float, float]:
+        """Logistic regression of the outcome on the score, by Newton steps over counted scores."""
         w = np.array([1.0, 0.0])
         x = np.stack([score, np.ones_like(score)], axis=1)
         for _ in range(25):
-            p = 1 / (1 + np.exp(-(x @ w)))
-            hessian = x.T @ (x * (p * (1 - p))[:, None]) + 1e-3 * np.eye(2)
-            w = w + np.linalg.solve(hessian, x.T @ (y - p) - 1e-3 * (w - [1.0, 0.0]))
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
+            hessian = x.T @ (x * (p * (1 - p) * (bad + good))[:, None]) + 1e-3 * np.eye(2)
+            w = w + np.linalg.solve(hessian, x.T @ (good - p * (bad + good)) - 1e-3 * (w - [1.0, 0.0]))
         return float(w[0]), float(w[1])
 
     def probability(self, x: np.ndarray) -> np.ndarray:
@@ -346,33 +462,32 @@ def _touches(spans: list[tuple[int, int]], start: int, end: int) -> bool:
     return at > 0 and spans[at - 1][1] > start
 
 
-def train_detector(docs: DataFrame) -> Detector:
-    """From (doc_id, text): `SAMPLE_DOCUMENTS` documents with a digit or an @, by the hash
-    of their id, give `SAMPLE_ROWS` candidates at most.
-
-    Which documents these are is settled without their texts; then the scan brings these alone.
-    """
+def training_counts(docs: DataFrame) -> CountedRows:
+    """The training rows of all documents of (doc_id, text), equal ones counted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+
+        def made():
+            columns = [pa.array([k[i] for k in seen], t) for i, t in enumerate((pa.binary(), pa.bool_(), pa.int32()))]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(list(seen.values()), pa.int64())], names=["x", "held", "y", "n"])
+
         for batch in slices(batches, "text"):
-            rows = [(*r, place) for t in batch.column("text").to_pylist() for r, place in drawn_rows(t)]
-            kinds = (pa.list_(pa.float64()), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["x", "y", "place"])
+            for text in batch.column("text"):
+                for x, y in training_rows(text.as_py()):
+                    seen[*_row(x), y] += 1
+                    if len(seen) > HELD_ROWS:
+                        yield made()
+                        seen.clear()
+        if seen:
+            yield made()
 
-    likely = docs.filter(F.col("text").rlike("@|[0-9]{4}|[0-9][.][0-9]"))
-    names = {"_drawn": F.xxhash64("doc_id"), "_id": F.col("doc_id"), "_text": F.xxhash64("text")}
-    name = F.struct(*[c.alias(n) for n, c in names.items()])
-    least = likely.select(name.alias("name")).orderBy("name").limit(SAMPLE_DOCUMENTS)
-    last = least.agg(F.max("name").alias("name"))
-    last = [F.lit(x).cast(f.dataType).alias(f.name) for x, f in zip(last.first().name or (None,) * 3, last.schema["name"].dataType)]
-    sample = likely.withColumn("_name", name).filter(F.col("_name") <= F.struct(*last)).dropDuplicates(["_name"]).select(*docs.columns)
-    rows = mapped(sample, run, "x array<double>, y int, place long").orderBy("place", "x", "y").limit(SAMPLE_ROWS).collect()
-    return Detector(_shuffled([(list(r.x), r.y) for r in rows]))
+    return CountedRows(_summed(mapped(docs, run, "x binary, held boolean, y int, n long")))
 
 
-def _shuffled(rows: list) -> list:
-    rows = sorted(rows)
-    return [rows[i] for i in np.random.default_rng(5).permutation(len(rows))]
+def train_detector(docs: DataFrame) -> Detector:
+    """From (doc_id, text): all documents, each row of them counted, repeated ones too."""
+    return Detector(training_counts(docs))
 
 
 def _listed(spans: list[Span]) -> str:
@@ -408,7 +523,7 @@ def find_personal_data(docs: DataFrame, detector: Detector) -> DataFrame:
 
 
 def personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """`find_personal_data` over all rows with a detector trained on a bounded sample of them."""
+    """`find_personal_data` over all rows with a detector trained on all of them."""
     rows = docs.select(F.col(id_column).alias("doc_id"), filled(text_column).alias("text"))
     return find_personal_data(rows, train_detector(rows))
 

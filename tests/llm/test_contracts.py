@@ -13,7 +13,8 @@ from rivulet.llm import near
 from rivulet.llm.language import predict_languages
 from rivulet.llm.mixing import mix
 from rivulet.llm.near import near_classes
-from rivulet.llm.pii import base_spans, personal_data
+from rivulet.llm import pii
+from rivulet.llm.pii import Boosted, ListedRows, base_spans, personal_data, training_counts, training_rows
 
 WORDS = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ri", "so", "ta") for b in ("na", "re", "li", "dos", "ven", "gar")]
 
@@ -167,6 +168,24 @@ def test_the_detector_learns_from_whole_documents_once(spark):
     assert personal_data(docs.limit(0)).count() == 0 and personal_data(docs.filter("text = 'nothing here'")).agg(F.sum("n_ip")).first()[0] == 0
 
 
+def test_the_detector_learns_from_every_document_and_row(spark):
+    """Rows counted by Spark are all there are, and give the model that the listed ones give."""
+    rng = random.Random(3)
+    host = lambda: ".".join(str(rng.randrange(1, 280)) for _ in range(4))
+    texts = [f"write to u{rng.randrange(99)}@mail.example.org, host {host()} of {rng.randrange(2000, 2030)}-03-11" for _ in range(4000)]
+    texts.append(" ".join(f"a{i}@b{i % 7}.example.org" for i in range(200)))  # more rows than a document once gave
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    rows = [row for t in texts for row in training_rows(t)]
+    counted = training_counts(docs)
+    assert counted.df.agg(F.sum("n")).first()[0] == len(rows) > 20_000
+    listed = ListedRows(rows)
+    assert counted.total(pii._outcomes).tolist() == listed.total(pii._outcomes).tolist()
+    (a, x), (b, y) = (Boosted(trees=2).fit(r) for r in (counted, listed))
+    assert a.start == b.start and all(p.tolist() == q.tolist() for p, q in zip(a.edges, b.edges))
+    assert all(np.array_equal(p, q) for s, t in zip(a.forest, b.forest) for p, q in zip([*s[0], s[1]], [*t[0], t[1]]))
+    assert np.array_equal(x.total(a.held_scores), y.total(b.held_scores))
+
+
 # --- the pipeline, stage by stage --------------------------------------------------------------------
 
 
