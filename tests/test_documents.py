@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.envelope import decode_envelope, wrap_files
 from rivulet.operators.documents import document_class, explode_transactions, first_of_document, parse_documents
 from rivulet.operators.transactions import amount_invalid, is_valid_row
+from rivulet.plans import inputs
 from rivulet.plans.refine import batch_counts, refine, silver_rows
 from rivulet.schemas import ENVELOPE, FILE_ROW, SILVER_ROW
 
@@ -154,3 +155,18 @@ def test_parse_once(spark, tmp_path):
     assert text.count("from_xml(") == 1
     assert "WindowGroupLimit" in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+
+
+def test_documents_of_a_table_in_one_split_are_made_by_many_tasks(spark, tmp_path):
+    rows = spark.range(1000).select(F.col("id").alias("event_id"), F.lit("x").alias("event_type"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    spread = inputs.spread_table(spark, str(tmp_path), "events", "event_id")
+    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1000 and len(sizes) >= spark.sparkContext.defaultParallelism
+    rows.repartition(100).write.parquet(f"{tmp_path}/many.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:  # enough splits: no shuffle
+        many = inputs.spread_table(spark, str(tmp_path), "many", "event_id")
+        assert "Exchange" not in many._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
