@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.schemas import BRONZE, CORRUPT, FILE_ROW, TOPIC, TRANSACTION
+from rivulet.session import many_files
 
 
 # Spark passes over a file whose time lies more than `maxFileAge` behind the newest one
@@ -26,6 +27,7 @@ def stream_files(spark: SparkSession, directory: str, **options: str) -> DataFra
     all files seen, on the driver, as long as they lie in the folder. Bound it with
     `cleanSource=archive`, or with a `maxFileAge` of your own where none comes late.
     """
+    many_files(spark)
     options = {**NO_FILE_TOO_OLD, **options}
     return spark.readStream.format("binaryFile").schema(FILE_ROW).options(**options).load(directory)
 
