@@ -31,7 +31,10 @@ def decode_envelope(messages: DataFrame, value: str = "value") -> DataFrame:
     """
     envelope = F.from_json(value, _ENVELOPE_OR_CORRUPT, {"columnNameOfCorruptRecord": CORRUPT})
     # Line breaks may wrap base64, but Spark takes one after the padding for an error.
-    content = F.rtrim(F.col("json_data.content"), F.lit(" \t\r\n"))
+    # Trimming goes over the whole text, whatever it ends in, so only what ends in white space is trimmed.
+    content = F.col("json_data.content")
+    blank = F.endswith(content, F.lit(" ")) | F.endswith(content, F.lit("\n")) | F.endswith(content, F.lit("\r")) | F.endswith(content, F.lit("\t"))
+    content = F.when(blank, F.rtrim(content, F.lit(" \t\r\n"))).otherwise(content)
     decoded = messages.withColumn("json_data", envelope).withColumn(
         "decoded_content",
         F.when(F.col(f"json_data.{CORRUPT}").isNull(), F.try_to_binary(content, F.lit("base64"))),

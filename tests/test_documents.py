@@ -7,6 +7,7 @@ from documents import CASES, SAMPLE, data, transaction
 from helpers import bronze, documents, envelope, message
 from pyspark.sql import functions as F
 
+from rivulet.operators import documents as operators
 from rivulet.functions.envelope import decode_envelope, wrap_files
 from rivulet.operators.documents import document_class, explode_transactions, first_of_document, parse_documents
 from rivulet.operators.transactions import amount_invalid, is_valid_row
@@ -128,6 +129,28 @@ def test_base64_may_be_wrapped(spark):
     assert decode_envelope(bronze(spark, [message(value)])).first().xml_content == document
 
 
+def test_white_space_after_the_padding_is_trimmed_where_there_is_some(spark):
+    ends = ["", " ", "\n", "\r\n", "\t", " \n\t\r "]
+    values = [json.dumps({"path": "a", "content": base64.b64encode(b"<Data/>").decode() + end}) for end in ends]
+    decoded = decode_envelope(bronze(spark, [message(v, i) for i, v in enumerate(values)])).select("xml_content", "_decode_reason")
+    assert {tuple(r) for r in decoded.collect()} == {("<Data/>", None)}
+    plan = decoded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("rtrim(") + plan.count("trim(TRAILING") <= plan.lower().count("case when (((endswith(")
+
+
+def test_a_cheap_count_is_enough_where_no_tag_is_unread(spark):
+    """It is never below the exact one, whatever the letters, and the same in documents as they come."""
+    tags = ["<Transaction>", "</Transaction>", "<a:TRANSACTION/>", "</a:transaction>", "<TransactionId>", "transaction ", "<", "/", "\u0130", "x"]
+    texts = ["".join(tags[(i >> k * 3) % len(tags)] for k in range(5)) for i in range(0, 1 << 15, 37)]
+    texts += [SAMPLE, data(), data(transaction("1"), transaction("2")), "<Data><Trans\u0131ction/></Data>"]
+    counts = spark.createDataFrame([(t,) for t in texts], "xml string").select(
+        "xml", operators.transactions_at_most(F.col("xml")).alias("most"), operators.transactions_written(F.col("xml")).alias("exact")
+    )
+    rows = {r.xml: r for r in counts.collect()}
+    assert all(r.most >= r.exact for r in rows.values())
+    assert all(rows[t].most == rows[t].exact for t in texts[-4:])
+
+
 def test_the_default_timestamp_type_does_not_matter(spark):
     rows = documents(spark, data(transaction("1", time="2024-01-31T04:08:41+02:00")))
     spark.conf.set("spark.sql.timestampType", "TIMESTAMP_NTZ")
