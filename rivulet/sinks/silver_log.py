@@ -50,12 +50,13 @@ class SilverLog:
     def _read(self, part: str) -> DataFrame:
         return read_table(self.spark, f"{self.root}/{part}", SILVER_ROW).select(*SILVER_ROW.names)
 
+    def _base(self) -> DataFrame:
+        return self.spark.table(self.base_table).select(*SILVER_ROW.names) if self.base_table else self._read("base")
+
     def _merged(self, fixed_dates: bool = False) -> DataFrame:
-        batches = self._read("batch")
+        base, batches = self._base(), self._read("batch")
         if self.base_table:
-            base = self.spark.table(self.base_table).select(*SILVER_ROW.names)
             return merge_joined(base, batches, KEY, self.order)
-        base = self._read("base")
         if fixed_dates:
             return latest_per_key(base.unionByName(batches), [SILVER_PARTITION, KEY], self.order)
         return merge_upsert(base, batches, KEY, self.order)
@@ -70,6 +71,14 @@ class SilverLog:
         """
         return self._merged(fixed_dates).select(*SILVER.names)
 
+    def _amount_ends(self) -> DataFrame:
+        """Least and greatest amount of all that is stored, so of the merged rows too.
+
+        A scan of one column. Rows that the merge leaves out can only widen the range.
+        """
+        stored = self._base().unionByName(self._read("batch"))
+        return stored.agg(F.min("Amount").alias("low"), F.max("Amount").alias("high"))
+
     def compact(self, root: str) -> SilverLog:
         """Writes the table, clustered by amount and time within the date, as the base of a new root.
 
@@ -82,7 +91,7 @@ class SilverLog:
         """
         compacted = SilverLog(self.spark, root, self.order_guard)
         merged = self._merged()
-        ends = merged.agg(F.min("Amount").alias("low"), F.max("Amount").alias("high")).first()
+        ends = self._amount_ends().first()
         time = F.col("TransactionDateTime").cast("timestamp")
         since = F.unix_micros(time) - F.unix_micros(F.date_trunc("day", time))
         near = morton(place(F.col("Amount"), F.lit(ends.low), F.lit(ends.high)), place(since, F.lit(0), F.lit(86_400_000_000)))

@@ -265,3 +265,16 @@ def test_folding_batches_equals_one_global_latest(spark, tmp_path_factory, batch
         if r[0] not in expected or r[12] > expected[r[0]][0]:
             expected[r[0]] = (r[12], r[1])
     assert content(log.snapshot()) == sorted((k, amount) for k, (_, amount) in expected.items())
+
+
+def test_the_range_of_amounts_needs_no_merge(spark, tmp_path):
+    """A compaction merges for its rows, not once more for the ends of its clusters."""
+    log = SilverLog(spark, str(tmp_path / "silver"))
+    for batch_id in range(2):
+        log.upsert(frame(spark, [row(1, 1), row(2, 2)]), "s", batch_id)
+    ends = log._amount_ends()
+    plan = ends._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+    merged = log.snapshot().agg(F.min("Amount").alias("low"), F.max("Amount").alias("high")).first()
+    found = ends.first()
+    assert found.low is None or (found.low <= merged.low and found.high >= merged.high)
