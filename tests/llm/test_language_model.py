@@ -1,8 +1,10 @@
 """The language model: gradients, windows, distributions, counts, and held-out text."""
 
+import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,3 +184,56 @@ def test_weights_learn_from_every_place(monkeypatch):
         trained.clear()
         AttentionModel.learn(p, np.arange(VOCABULARY) % CLASSES, sequences, number, 0)
         assert len(trained) >= lm.LEAST_STEPS and sum(trained) == sum(map(len, sequences))
+
+
+def test_words_are_those_of_the_pattern():
+    texts = ["", " ", "A bÜ\x0b\x0cC\n", "x", " y  Z\t", "\x1c\x85\xa0 É", "last"]
+    words, counts = lm.words_of(pa.array(["before", *texts])[1:])
+    expected = [re.findall(rb"[^\x20\x09-\x0D]+", t.encode().lower()) for t in texts]
+    assert words.to_pylist() == sum(expected, []) and counts.tolist() == list(map(len, expected))
+
+
+def test_what_comes_again_is_encoded_once(monkeypatch):
+    """The encoder's work goes by the distinct spans of a slice of texts, not by its length."""
+    texts = [f"the of and in that {w}, was for" for w in ("one", "two", "six")] * 500
+    encoder, given = subwords(tokenizer()), []
+    expected = [x.tolist() for x in encoder.encode(texts)]
+    encode = encoder.encode
+    monkeypatch.setattr(encoder, "encode", lambda parts: given.extend(parts) or encode(parts))
+    ids, n_words, n_known, base, text, word, often = lm._measured(pa.array(texts), encoder, (pa.array([b"the"]), np.array([-0.5])))
+    assert [np.frombuffer(x, "<u2").tolist() for x in ids.to_pylist()] == expected
+    assert sum(map(len, given)) < 100
+    assert set(n_words) == {8} and set(n_known) == {1} and set(base) == {-0.5}
+    assert Counter(text.tolist()) == Counter({i: 7 for i in range(1500)}) and set(often) == {1} and b"the" not in word.to_pylist()
+
+
+def test_long_and_short_texts_are_measured_alike(spark, monkeypatch):
+    docs = [(1, "the The zebra of  Ünï\n" * 300), (2, "the zebra"), (3, None), (4, "")]
+    rows = fold_of(spark.createDataFrame(docs, "doc_id long, text string")).fillna("", "text").coalesce(1)
+
+    def measured():
+        out = {}
+        for r in encoded_rows(rows, tokenizer(), {b"the": 5, b"of": 2}, 10, 3).collect():
+            rare = Counter()
+            for w, n in zip(r.rare, r.rare_n):
+                rare[bytes(w)] += n
+            out[r.doc_id] = (bytes(r.ids), r.n_tokens, r.n_known, round(r.base, 6), rare)
+        return out
+
+    whole = measured()
+    assert whole[1][1:3] == (1501, 900) and whole[1][4] == {b"zebra": 300, "Ünï".encode().lower(): 300, lm.END_WORD: 1}
+    monkeypatch.setattr(lm, "SLICE_BYTES", 100)  # a text longer than this is alone
+    assert measured() == whole
+
+
+def test_a_step_in_64_and_32_bits_agree_where_scores_are_large():
+    """Also where scores are beyond what needs no care for its exponential."""
+    rng = np.random.default_rng(6)
+    p = {n: x * 3 for n, x in small_parameters(rng, 40).items()}
+    tokens, classes = rng.integers(0, 40, (70, WINDOW)), rng.integers(0, CLASSES, (70, WINDOW - OVERLAP))
+    use = np.ones((70, WINDOW - OVERLAP))
+    wide = AttentionModel._gradients(p, tokens, classes, use)
+    narrow = AttentionModel._gradients({n: x.astype(np.float32) for n, x in p.items()}, tokens.astype(np.uint16), classes, use.astype(np.float32))
+    for n in p:
+        assert np.isfinite(narrow[n]).all() and narrow[n].dtype == np.float32
+        assert narrow[n] == pytest.approx(wide[n], abs=2e-2 * np.abs(wide[n]).max())
