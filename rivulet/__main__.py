@@ -47,7 +47,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-bytes", help="most bytes of one silver batch")
     parser.add_argument("--large-files", action="store_true", help="land a message per transaction, not per file (without --kafka)")
     parser.add_argument("--once-within", help="silver passes over messages read before within this time, e.g. '7 days'")
-    parser.add_argument("--max-probes", type=int, default=200, help="silver looks for the bad messages of a failing batch (0: batch goes whole)")
+    parser.add_argument("--max-probes", type=int, default=200, help="silver looks for the bad messages of a failing batch, and warns beyond so many probes (0: batch goes whole)")
     parser.add_argument("--outcomes", action="store_true", help="keep a row per batch and run in the outcomes folder")
     return parser.parse_args(argv)
 

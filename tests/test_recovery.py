@@ -119,6 +119,14 @@ def test_a_limit_on_probes_takes_neighbours_along(spark, tmp_path):
     assert parts.good.count() + len(found) == 64
 
 
+@pytest.mark.parametrize("bad", [(1, 2, 7, 11), range(12)])
+def test_beyond_the_limit_the_search_goes_on_to_its_end(spark, tmp_path, bad):
+    parts = isolate(bronze(spark, many(12)), str(tmp_path / "work"), poisoned(*bad), 3)
+    assert sorted(int(r.offset) for r in parts.bad.collect()) == list(bad)
+    assert sorted(int(r.offset) for r in parts.good.collect()) == sorted(set(range(12)) - set(bad))
+    assert parts.probes <= 3 and parts.beyond > 0 and not parts.complete
+
+
 def test_ranges_of_a_level_are_probed_at_once(spark, tmp_path, monkeypatch):
     running, most, lock, fails = 0, 0, threading.Lock(), isolating._fails
 
