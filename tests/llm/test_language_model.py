@@ -151,6 +151,15 @@ def test_rare_and_known_words_give_one_base(spark, monkeypatch):
     assert [r[5] for r in few] == pytest.approx([r[5] for r in whole])
 
 
+def test_rare_and_kept_pairs_give_one_score(spark, monkeypatch):
+    texts = [f"the of and {w} river{i % 9} {w} hill{i % 5}{w}" for i, w in enumerate(["stone", "winter", "ly", "zebra", ""] * 8)]
+    docs = spark.createDataFrame([*enumerate(texts), (98, None), (99, "never seen Ünï")], "doc_id long, text string").repartition(3)
+    whole = {r.doc_id: r.score for r in score_documents(docs, tokenizer()).collect()}
+    for most in (10, 0):  # most pairs, or all, go through the join
+        monkeypatch.setattr(lm, "KEPT_PAIRS", most)
+        assert {r.doc_id: r.score for r in score_documents(docs, tokenizer()).collect()} == pytest.approx(whole, abs=1e-3)
+
+
 def test_held_out_prose_scores_better_than_the_base(spark):
     rng = np.random.default_rng(3)
     follows = {w: rng.choice(40, 3) for w in range(40)}
