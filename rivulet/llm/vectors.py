@@ -1,13 +1,13 @@
-"""Near-duplicate vectors by a pigeonhole join over subspaces.
+"""Near-duplicate vectors by a join of leaves within reach.
 
-Vectors of length one are rotated at random and split into blocks of dimensions. If two
-have a squared distance within the budget that the cosine allows, then in at least one
-block it is within the block's part of it, which is in proportion to its dimensions. So
-each block is joined by range: its space is cut into leaves, a vector goes to its own
-leaf and to those of smaller number within reach, and pairs that meet there are first
-held against the block's budget, then against the exact cosine. A pair counts in the
-first of its blocks alone, so the union of all blocks has it once.
+Vectors of length one are rotated at random, and their space is cut into leaves. Each
+vector goes to its own leaf and no other; the vectors of a leaf are packed into rows of
+some megabytes, each with the box that they fill. Packs whose boxes are within the
+distance that the cosine allows meet, each two of them once: a product says which of
+their vectors may be near, and these are held against the exact cosine.
 
+Packs meet in a product of the stored rows with themselves, so no vector is written once
+for each meeting: what lies on disk goes by the vectors, what is computed by the meetings.
 Nothing grows with the square of a crowd of like vectors: equal vectors are one node
 with a number of copies, and vectors that lie so near one pivot that all of them must
 be linked are counted, not compared. Pairs never leave a task; what does is how many
@@ -23,7 +23,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,10 +33,9 @@ from rivulet.llm.common import mapped, stored
 from rivulet.llm.near import connected
 
 COSINE = 0.95
-BLOCKS = 4
-# Nodes that a leaf should hold, and bytes of vectors that one side of a comparison does.
+# Nodes that a leaf should hold, and bytes that a pack takes in a task, its vectors and their directions.
 LEAF_NODES = 65_536
-PART_BYTES = 16_000_000
+PART_BYTES = 8_000_000
 # The sample that leaves and pivots are fitted on; every vector is then dealt by them.
 SAMPLE_NODES = 8192
 SAMPLE_BYTES = 16_000_000
@@ -43,7 +44,10 @@ PIVOT_SHARE = 500
 # A vector with more than one row in so many copies is hot: there are fewer of them.
 HOT_SHARE = 500
 SLACK = 1e-5
-ROWS_AT_ONCE = 512
+# Of each side of a product, so that what it gives fits a core's cache.
+ROWS_AT_ONCE, COLUMNS_AT_ONCE = 512, 512
+# Pairs of two equal crowds that are looked at and dropped; where there are more, they are not looked at.
+CROWD_PAIRS = 65_536
 
 
 @lru_cache(maxsize=4)
@@ -53,18 +57,14 @@ def rotation(size: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def block_cuts(size: int) -> np.ndarray:
-    return np.linspace(0, size, min(BLOCKS, size) + 1).astype(int)
-
-
-def budgets(size: int, cosine: float) -> np.ndarray:
-    """Squared distance that each block may have, in proportion to its dimensions."""
-    return (2 - 2 * cosine + SLACK) * np.diff(block_cuts(size)) / size
+def budget(cosine: float) -> float:
+    """Squared distance that two linked vectors of length one may have."""
+    return 2 - 2 * cosine + SLACK
 
 
 @dataclass
 class Leaves:
-    """Boxes that fill the space of a block."""
+    """Boxes that fill the space."""
 
     low: np.ndarray
     high: np.ndarray
@@ -158,54 +158,130 @@ def _matrix(column: pa.ChunkedArray | pa.Array, kind: str, size: int) -> np.ndar
     return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).reshape(-1, size)
 
 
-def _rotated(kind: str):
-    """Nodes with `turned`, their rotated directions."""
+def _directions(data: np.ndarray) -> np.ndarray:
+    wide = data.astype(np.float64)
+    return wide / np.linalg.norm(wide, axis=1)[:, None]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = batch.column("size").to_numpy()
-            turned: list = [None] * len(sizes)
-            for size in np.unique(sizes).tolist():
-                own = np.flatnonzero(sizes == size)
-                vectors = _matrix(batch.column("data").take(pa.array(own)), kind, size).astype(np.float64)
-                found = (vectors / np.linalg.norm(vectors, axis=1)[:, None]) @ rotation(size)
-                for i, row in zip(own.tolist(), found.astype("<f4")):
-                    turned[i] = row.tobytes()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(turned, pa.binary())], names=[*batch.schema.names, "turned"])
 
-    return run
+def _turned(data: np.ndarray) -> np.ndarray:
+    """Rotated directions."""
+    return (_directions(data) @ rotation(data.shape[1])).astype("<f4")
 
 
-def _dealt(fits: dict, cosine: float):
-    """A row (node, .., block, leaf, home, crowd) for each leaf that a node goes to."""
-    radius = crowd_radius(cosine)
+def _placed(kind: str, fits: dict, cosine: float):
+    """A row (size, leaf, crowd, key, data, copies, least) per distinct vector of a batch of rows (vec_id, vector)."""
+    radius, prepared = crowd_radius(cosine), _prepared(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = batch.column("size").to_numpy()
+        for batch in prepared(batches):
+            table = pa.table({"key": batch.column("key"), "vec_id": batch.column("vec_id"), "at": pa.array(np.arange(batch.num_rows))})
+            table = table.filter(pc.is_valid(table.column("key"))).group_by("key", use_threads=False)
+            table = table.aggregate([("at", "min"), ("at", "count"), ("vec_id", "min")])
+            own = batch.take(table.column("at_min").combine_chunks())
+            sizes = own.column("size").to_numpy()
+            leaf, crowd = np.zeros(len(sizes), np.int32), np.full(len(sizes), -1, np.int32)
             for size in np.unique(sizes).tolist():
-                own = batch.take(pa.array(np.flatnonzero(sizes == size)))
-                points = _matrix(own.column("turned"), "<f4", size).astype(np.float64)
+                mine = np.flatnonzero(sizes == size)
+                points = _turned(_matrix(own.column("data").take(pa.array(mine)), kind, size)).astype(np.float64)
                 leaves, pivots = fits.get(size, (None, np.zeros((0, size))))
-                crowd = np.full(len(points), -1)
                 if len(pivots):
                     apart = np.stack([((points - p) ** 2).sum(axis=1) for p in pivots], axis=1)
-                    crowd = np.where(apart.min(axis=1) <= radius**2, apart.argmin(axis=1), -1)
-                cuts = block_cuts(size)
-                for block, reach in enumerate(budgets(size, cosine)):
-                    part = points[:, cuts[block] : cuts[block + 1]]
-                    fit = leaves[block] if leaves else Leaves.fitted(part[:0], 1)
-                    home, rows, other = fit.dealt(part, reach + SLACK)
-                    at = np.concatenate([np.arange(len(points)), rows])
-                    leaf = np.concatenate([home, other])
-                    columns = own.take(pa.array(at)).columns
-                    columns += [pa.array(np.full(len(at), block), pa.int32()), pa.array(leaf, pa.int32())]
-                    columns += [pa.array(home[at] == leaf), pa.array(crowd[at], pa.int32())]
-                    yield pa.RecordBatch.from_arrays(columns, names=[*own.schema.names, "block", "leaf", "home", "crowd"])
+                    crowd[mine] = np.where(apart.min(axis=1) <= radius**2, apart.argmin(axis=1), -1)
+                if leaves:
+                    leaf[mine] = leaves.dealt(points, -1.0)[0]
+            columns = [own.column("size"), pa.array(leaf), pa.array(crowd), own.column("key"), own.column("data")]
+            columns += [table.column(c).combine_chunks() for c in ("at_count", "vec_id_min")]
+            yield pa.RecordBatch.from_arrays(columns, names=["size", "leaf", "crowd", "key", "data", "copies", "least"])
+
+    return run
+
+
+PLACED = "size int, leaf int, crowd int, key binary, data binary, copies long, least long"
+PACK = (
+    "pack long, size int, first long, only int, box array<struct<low: float, high: float>>, "
+    "crowd binary, copies binary, data binary, keys binary, least array<long>"
+)
+
+
+def _packs(kind: str):
+    """Packs of sorted placed rows, equal ones as one node: a leaf's nodes, numbered from `first` on, by crowd."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = node = TaskContext.get().partitionId() << 33
+        held: list[pa.Table] = []
+        count = 0
+
+        def pack() -> pa.RecordBatch:
+            nonlocal number, node, held, count
+            table, size = pa.concat_tables(held).combine_chunks(), held[0].column("size")[0].as_py()
+            data, crowd = _matrix(table.column("data"), kind, size), table.column("crowd").to_numpy()
+            turned = _turned(data)
+            box = [{"low": a, "high": b} for a, b in zip(turned.min(axis=0).tolist(), turned.max(axis=0).tolist())]
+            row = {"pack": number, "size": size, "first": node, "only": int(crowd[0]) if crowd[0] == crowd[-1] else -1, "box": box}
+            row |= {"crowd": crowd.astype("<i4").tobytes(), "copies": table.column("copies").to_numpy().astype("<i8").tobytes()}
+            row |= {"data": data.tobytes(), "keys": b"".join(table.column("key").to_pylist()), "least": table.column("least").to_pylist()}
+            number, node, held, count = number + 1, node + table.num_rows, [], 0
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.struct([("low", pa.float32()), ("high", pa.float32())]))]
+            kinds += [pa.binary()] * 4 + [pa.list_(pa.int64())]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), kinds)], names=list(row))
+
+        def added(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            """Distinct nodes; packs that are full or whose leaf is over."""
+            nonlocal count
+            size, leaf = (table.column(c).to_numpy() for c in ("size", "leaf"))
+            new = np.flatnonzero((size[1:] != size[:-1]) | (leaf[1:] != leaf[:-1])) + 1
+            for a, b in zip([0, *new.tolist()], [*new.tolist(), len(size)]):
+                if held and (held[-1].column("size")[0].as_py(), held[-1].column("leaf")[0].as_py()) != (int(size[a]), int(leaf[a])):
+                    yield pack()
+                room = max(1, PART_BYTES // (8 * int(size[a])))
+                while a < b:
+                    some = min(b - a, room - count)
+                    held.append(table.slice(a, some))
+                    count, a = count + some, a + some
+                    if count >= room:
+                        yield pack()
+
+        rest: pa.Table | None = None  # the last node, of which more may come
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = (pa.concat_tables([rest, table]) if rest is not None else table).combine_chunks()
+            key = table.column("key").chunk(0)
+            starts = np.append(0, np.flatnonzero(pc.not_equal(key[1:], key[:-1]).to_numpy(zero_copy_only=False)) + 1)
+            if len(starts) < table.num_rows:
+                group = pa.array(np.repeat(np.arange(len(starts)), np.diff(np.append(starts, table.num_rows))))
+                sums = table.select(["copies", "least"]).append_column("group", group).group_by("group", use_threads=False)
+                sums = sums.aggregate([("copies", "sum"), ("least", "min")])
+                table = table.take(pa.array(starts))
+                for c, name in (("copies", "copies_sum"), ("least", "least_min")):
+                    table = table.set_column(table.schema.get_field_index(c), c, sums.column(name))
+            rest = table.slice(table.num_rows - 1)
+            yield from added(table.slice(0, table.num_rows - 1)) if table.num_rows > 1 else ()
+        if rest is not None:
+            yield from added(rest)
+            if held:
+                yield pack()
 
     return run
 
 
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row (node, size, crowd, key, copies, least) per node of packs."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            crowd, copies = np.frombuffer(batch.column("crowd")[i].as_buffer(), "<i4"), np.frombuffer(batch.column("copies")[i].as_buffer(), "<i8")
+            keys = batch.column("keys")[i].as_py()
+            first, n = batch.column("first")[i].as_py(), len(crowd)
+            size = np.full(n, batch.column("size")[i].as_py(), np.int32)
+            columns = [np.arange(first, first + n), size, crowd, [keys[32 * k : 32 * k + 32] for k in range(n)], copies]
+            columns = [*map(pa.array, columns), batch.column("least")[i].values]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "size", "crowd", "key", "copies", "least"])
+
+
+NODE = "node long, size int, crowd int, key binary, copies long, least long"
+
+
 def _lowest(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Joins the classes of linked a and b in `label`, where each row names a row of its class."""
     while True:
@@ -219,95 +295,118 @@ def _lowest(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             label[:] = label[label]
 
 
+class _Side:
+    """A pack in a task."""
+
+    def __init__(self, batch: pa.RecordBatch, i: int, side: str, kind: str):
+        one = lambda name: batch.column(f"{side}_{name}")[i]
+        self.pack, self.first, size = one("pack").as_py(), one("first").as_py(), one("size").as_py()
+        self.crowd, self.copies = np.frombuffer(one("crowd").as_buffer(), "<i4"), np.frombuffer(one("copies").as_buffer(), "<i8")
+        self.data = np.frombuffer(one("data").as_buffer(), kind).reshape(-1, size)
+        self.ways = _directions(self.data)
+        self.turned = (self.ways @ rotation(size)).astype("<f4")
+        self.ways = self.ways.astype("<f4")
+        self.low, self.high = self.turned.min(axis=0), self.turned.max(axis=0)
+
+    def near(self, other: _Side, reach: float) -> np.ndarray:
+        """Its nodes within reach of the other's box."""
+        apart = np.maximum(np.maximum(other.low - self.turned, self.turned - other.high), np.float32(0))
+        return np.flatnonzero((apart * apart).sum(axis=1) <= reach)
+
+
+def _candidates(a: _Side, b: _Side, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(node of a, node of b) that may be linked, each pair once, those of one crowd left out."""
+    alike, size = a.pack == b.pack, a.data.shape[1]
+    reach, least = budget(cosine) + 1e-4, np.float32(cosine - SLACK - 1e-7 * size)
+    left, right = (np.arange(len(a.crowd)),) * 2 if alike else (a.near(b, reach), b.near(a, reach))
+    if not len(left) or not len(right):
+        return
+    x, y, crowd, other = a.ways[left], b.ways[right], a.crowd[left], b.crowd[right]
+    # Nodes stand by crowd. What a large crowd has on both sides is passed over.
+    cuts = np.flatnonzero(np.append(True, crowd[1:] != crowd[:-1]))
+    segments: list[tuple[int, int, list[tuple[int, int]]]] = []
+    for begin, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(crowd)]):
+        low, high = (int(np.searchsorted(other, crowd[begin], side)) for side in ("left", "right"))
+        if crowd[begin] >= 0 and (high - low) * (end - begin) > CROWD_PAIRS:
+            segments.append((begin, end, [(0, low), (high, len(other))]))
+        elif segments and segments[-1][1] == begin and segments[-1][2] == [(0, len(other))]:
+            segments[-1] = (segments[-1][0], end, segments[-1][2])
+        else:
+            segments.append((begin, end, [(0, len(other))]))
+    for begin, end, ranges in segments:
+        for at in range(begin, end, ROWS_AT_ONCE):
+            rows = x[at : min(at + ROWS_AT_ONCE, end)]
+            for low, high in ranges:
+                for start in range(max(low, at) if alike else low, high, COLUMNS_AT_ONCE):
+                    found = rows @ y[start : min(start + COLUMNS_AT_ONCE, high)].T
+                    if found.max() < least:
+                        continue
+                    i, j = np.nonzero(found >= least)
+                    i, j = i + at, j + start
+                    met = (crowd[i] < 0) | (crowd[i] != other[j])
+                    if alike:
+                        met &= i < j
+                    yield left[i[met]], right[j[met]]
+
+
 def _compared(kind: str, cosine: float):
-    """(node, links, joined): of each node the copies it links with here, and a node of its component."""
-
-    def run(table: pa.Table) -> pa.Table:
-        size, block = table.column("size")[0].as_py(), table.column("block")[0].as_py()
-        node, copies, part, crowd = (table.column(c).to_numpy() for c in ("node", "copies", "part", "crowd"))
-        home = table.column("home").to_numpy(zero_copy_only=False)
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        turned, cuts, allowed = _matrix(table.column("turned"), "<f4", size), block_cuts(size), budgets(size, cosine)
-        data = _matrix(table.column("data"), kind, size)
-        own = turned[:, cuts[block] : cuts[block + 1]]
-        # One product says how far apart two are: x.y - (x.x + y.y) / 2 is half the squared distance, negative.
-        half, one = -(own * own).sum(axis=1, keepdims=True) / 2, np.ones((len(own), 1), np.float32)
-        asking, asked = np.hstack([own, half, one]), np.hstack([own, one, half])
-        least = np.float32(-(allowed[block] + SLACK) / 2)
-        left, right = np.flatnonzero(part == low), np.flatnonzero(part == high)
-        links, label = np.zeros(len(node), dtype=np.int64), np.arange(len(node))
-        for at in range(0, len(left), ROWS_AT_ONCE):
-            rows = left[at : at + ROWS_AT_ONCE]
-            columns = right[at:] if low == high else right
-            hits = np.flatnonzero(asking[rows] @ asked[columns].T >= least)
-            a, b = rows[hits // len(columns)], columns[hits % len(columns)]
-            met = (home[a] | home[b]) & ((crowd[a] < 0) | (crowd[a] != crowd[b]))
-            if low == high:
-                met &= a < b
-            a, b = a[met], b[met]
-            for start in range(0, len(a), 16 * ROWS_AT_ONCE):
-                i, j = a[start : start + 16 * ROWS_AT_ONCE], b[start : start + 16 * ROWS_AT_ONCE]
-                # The stored numbers decide which block a pair belongs to, so all tasks agree.
-                gaps = (turned[i].astype(np.float64) - turned[j]) ** 2
-                within = np.add.reduceat(gaps, cuts[:-1], axis=1) <= allowed
-                mine = within[:, block] & (within.argmax(axis=1) == block)
-                i, j = i[mine], j[mine]
-                u, v = data[i].astype(np.float64), data[j].astype(np.float64)
-                norms = np.sqrt((u * u).sum(axis=1)) * np.sqrt((v * v).sum(axis=1))
-                good = (u * v).sum(axis=1) / norms >= cosine
-                i, j = i[good], j[good]
-                np.add.at(links, i, copies[j])
-                np.add.at(links, j, copies[i])
-                _lowest(label, i, j)
-        some = np.flatnonzero(links)
-        return pa.table({"node": node[some], "links": links[some], "joined": node[label[some]]})
+    """(node, links, joined) of pairs of packs: of each node the copies it links with here, and a node of its component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a = None
+        for batch in batches:
+            for row in range(batch.num_rows):
+                if a is None or a.pack != batch.column("a_pack")[row].as_py():
+                    a = _Side(batch, row, "a", kind)
+                b = a if a.pack == batch.column("b_pack")[row].as_py() else _Side(batch, row, "b", kind)
+                n, m = len(a.crowd), 0 if b is a else len(b.crowd)
+                links, label, to = np.zeros(n + m, dtype=np.int64), np.arange(n + m), 0 if b is a else n
+                for left, right in _candidates(a, b, cosine):
+                    for start in range(0, len(left), 16 * ROWS_AT_ONCE):
+                        i, j = left[start : start + 16 * ROWS_AT_ONCE], right[start : start + 16 * ROWS_AT_ONCE]
+                        u, v = a.data[i].astype(np.float64), b.data[j].astype(np.float64)
+                        norms = np.sqrt((u * u).sum(axis=1)) * np.sqrt((v * v).sum(axis=1))
+                        good = (u * v).sum(axis=1) / norms >= cosine
+                        i, j = i[good], j[good]
+                        np.add.at(links, i, b.copies[j])
+                        np.add.at(links, to + j, a.copies[i])
+                        _lowest(label, i, to + j)
+                some = np.flatnonzero(links)
+                node = np.concatenate([a.first + np.arange(n), b.first + np.arange(m)])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (node[some], links[some], node[label[some]])], names=["node", "links", "joined"])
 
     return run
 
 
-def _fits(nodes: DataFrame, cosine: float) -> dict:
-    """{size: (leaves of each block, pivots)}, fitted on a bounded sample of each size."""
+def _meetings(packs: DataFrame, cosine: float) -> DataFrame:
+    """Each two packs within reach once, and each with itself; a product of the stored rows, no shuffle."""
+    columns = ["pack", "size", "first", "only", "box", "crowd", "copies", "data"]
+    a, b = (packs.select([F.col(c).alias(f"{side}_{c}") for c in columns]) for side in "ab")
+    gap = lambda x, y: F.greatest(x["low"] - y["high"], y["low"] - x["high"], F.lit(0.0).cast("float")).cast("double")
+    apart = F.aggregate(F.zip_with("a_box", "b_box", gap), F.lit(0.0), lambda total, x: total + x * x)
+    # Of two different packs the one or the other asks, so that all tasks have as much to do.
+    odd = F.xxhash64("a_pack").bitwiseXOR(F.xxhash64("b_pack")).bitwiseAND(F.lit(1)) == 1
+    turn = F.when(F.col("a_pack") < F.col("b_pack"), odd).otherwise((F.col("a_pack") == F.col("b_pack")) | ~odd)
+    crowd: Column = (F.col("a_only") >= 0) & (F.col("a_only") == F.col("b_only"))
+    # Sizes are compared as a range: an equality would be a join by a shuffle to one task for each size.
+    alike = (F.col("a_size") <= F.col("b_size")) & (F.col("a_size") >= F.col("b_size"))
+    met = a.join(b, alike & turn & ~crowd & (apart <= budget(cosine) + 1e-4))
+    return met.drop("a_only", "b_only", "a_box", "b_box")
+
+
+def _fits(prepared: DataFrame, ids: DataFrame, kind: str, cosine: float) -> dict:
+    """{size: (leaves, pivots)}, fitted on a bounded sample of each size."""
     fits = {}
-    for size, count in nodes.groupBy("size").count().collect():
+    for size, count in ids.filter("key IS NOT NULL").groupBy("size").agg(F.approx_count_distinct("key")).collect():
         rows = max(64, min(SAMPLE_NODES, SAMPLE_BYTES // (4 * size)))
         drawn = F.pmod(F.xxhash64("key"), F.lit(max(1, count))) < rows
-        sample = nodes.filter((F.col("size") == size) & drawn).orderBy("key").limit(2 * rows).select("turned").collect()
-        points = np.frombuffer(b"".join(r.turned for r in sample), dtype="<f4").reshape(-1, size).astype(np.float64)
-        cuts = block_cuts(size)
-        leaves = [Leaves.fitted(points[:, a:b], -(-count // LEAF_NODES)) for a, b in zip(cuts[:-1], cuts[1:])]
-        fits[size] = leaves, fitted_pivots(points, cosine)
+        sample = prepared.filter((F.col("size") == size) & drawn).groupBy("key").agg(F.first("data").alias("data"))
+        data = b"".join(bytes(r.data) for r in sample.orderBy("key").limit(2 * rows).select("data").collect())
+        points = _turned(np.frombuffer(data, kind).reshape(-1, size)).astype(np.float64)
+        fits[size] = Leaves.fitted(points, -(-count // LEAF_NODES)), fitted_pivots(points, cosine)
     return fits
 
 
-def _meetings(dealt: DataFrame) -> DataFrame:
-    """Dealt nodes, once for each pair of parts of their leaf that must be compared.
-
-    A full leaf is cut into parts, those of a crowd apart from the rest: parts of one
-    crowd do not meet.
-    """
-    place = ["size", "block", "leaf"]
-    counts = dealt.groupBy(*place, "crowd").agg(F.count("*").alias("n"))
-    total = F.sum("n").over(Window.partitionBy(*place))
-    # A vector travels as its components and as their rotated ones.
-    room = F.greatest(F.lit(1), F.floor(F.lit(PART_BYTES) / (8 * F.col("size"))))
-    parts = counts.withColumn("full", total > 2 * room)
-    own = F.when(F.col("full"), F.ceil(F.col("n") / room)).otherwise(F.lit(0)).cast("int")
-    before = Window.partitionBy(*place).orderBy("crowd").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("own", own)
-    parts = parts.withColumns(
-        {"from": F.coalesce(F.sum("own").over(before), F.lit(0)).cast("int"), "all": F.sum("own").over(Window.partitionBy(*place)).cast("int")}
-    )
-    parts = stored(parts.drop("n"), "leaf-parts")
-    rows = dealt.join(parts, [*place, "crowd"])
-    mine = F.when(F.col("full"), F.col("from") + F.pmod(F.xxhash64("node"), F.greatest("own", F.lit(1)))).otherwise(0).cast("int")
-    rows = rows.withColumn("part", mine)
-    apart = lambda o: (F.col("crowd") < 0) | (o < F.col("from")) | (o >= F.col("from") + F.col("own"))
-    others = F.when(F.col("full"), F.filter(F.sequence(F.lit(0), F.greatest(F.col("all"), F.lit(1)) - 1), apart)).otherwise(F.array(F.lit(0)))
-    rows = rows.withColumn("other", F.explode(others))
-    rows = rows.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
-    return rows.drop("from", "all", "own", "full", "other")
-
-
 def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", cosine: float = COSINE) -> DataFrame:
     """One row per row of `vectors`: vec_id, n_links, component_id, kept.
 
@@ -321,39 +420,32 @@ def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
     kind = "<f4" if isinstance(element, T.FloatType) else "<f8"
     array = F.col(vector_column).cast("array<float>" if kind == "<f4" else "array<double>")
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), array.alias("vector"))
-    rows = stored(mapped(rows, _prepared(kind), "vec_id long, key binary, size int, data binary"), "vector-rows")
-    nodes = rows.filter(F.col("key").isNotNull()).groupBy("key").agg(
-        F.first("size").alias("size"), F.first("data").alias("data"), F.count("*").alias("copies"), F.min("vec_id").alias("least")
-    )
-    nodes = nodes.withColumn("node", F.monotonically_increasing_id())
-    schema = T.StructType([*nodes.schema.fields, T.StructField("turned", T.BinaryType())])
-    nodes = stored(mapped(nodes, _rotated(kind), schema), "vector-nodes")
-    fits = _fits(nodes, cosine)
-    wanted = nodes.select("node", "size", "copies", "data", "turned")
-    dealt = T.StructType(list(wanted.schema.fields))
-    for name, type_ in (("block", "integer"), ("leaf", "integer"), ("home", "boolean"), ("crowd", "integer")):
-        dealt = dealt.add(name, type_)
-    spread = mapped(wanted, _dealt(fits, cosine), dealt)
-    met = _meetings(spread).groupBy("size", "block", "leaf", "low", "high").applyInArrow(
-        _compared(kind, cosine), "node long, links long, joined long"
-    )
-    found = stored(met, "vector-links")
-    crowds = spread.filter(F.col("home") & (F.col("block") == 0) & (F.col("crowd") >= 0)).select("size", "crowd", "node", "copies")
+    prepared = mapped(rows, _prepared(kind), "vec_id long, key binary, size int, data binary")
+    ids = stored(prepared.select("vec_id", "key", "size"), "vector-ids")
+    fits = _fits(prepared, ids, kind, cosine)
+    total = ids.agg(F.count("*").alias("n"), F.sum(F.col("size").cast("long") * 8).alias("bytes")).first()
+    place = ["size", "leaf", "crowd", "key"]
+    placed = mapped(rows, _placed(kind, fits, cosine), PLACED)
+    placed = placed.repartitionByRange(max(1, -(-(total.bytes or 0) // PART_BYTES)), *place).sortWithinPartitions(*place)
+    packs = stored(mapped(placed, _packs(kind), PACK), "vector-packs")
+    found = stored(mapped(_meetings(packs, cosine), _compared(kind, cosine), "node long, links long, joined long"), "vector-links")
+    nodes = mapped(packs.select("first", "size", "crowd", "copies", "keys", "least"), _unpacked, NODE)
+    crowds = nodes.filter("crowd >= 0").select("size", "crowd", "node", "copies")
     sums = crowds.groupBy("size", "crowd").agg(F.sum("copies").alias("crowded"), F.min("node").alias("joined"))
     crowds = crowds.join(F.broadcast(sums), ["size", "crowd"])  # a crowd has a share of its own, so there are few
     crowds = stored(crowds.select("node", (F.col("crowded") - F.col("copies")).alias("links"), "joined"), "crowds")
     every = found.unionByName(crowds)
     classes = connected(every.filter("node <> joined").select(F.col("node").alias("a"), F.col("joined").alias("b")))
-    per_node = nodes.select("key", "node", "copies", "least").join(every.groupBy("node").agg(F.sum("links").alias("links")), "node", "left")
+    per_node = nodes.select("node", "copies", "least").join(every.groupBy("node").agg(F.sum("links").alias("links")), "node", "left")
     per_node = per_node.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
     per_node = stored(per_node.withColumn("n_links", F.coalesce("links", F.lit(0).cast("long")) + F.col("copies") - 1), "vector-classes")
     least = per_node.groupBy("class").agg(F.min("least").alias("component_id"))
-    named = stored(per_node.join(least, "class").select("key", "copies", "n_links", "component_id"), "vector-names")
+    named = per_node.join(least, "class").join(nodes.select("node", "key"), "node")
+    named = stored(named.select("key", "copies", "n_links", "component_id"), "vector-names")
     # Few vectors can have so many copies; they are joined without moving their rows.
-    total = rows.count()
-    limit = F.col("copies") > max(1000, total / HOT_SHARE)
+    limit = F.col("copies") > max(1000, total.n / HOT_SHARE)
     hot = [bytes(r.key) for r in named.filter(limit).select("key").collect()]
-    ids = rows.select("vec_id", "key")
+    ids = ids.select("vec_id", "key")
     result = ids.filter(F.col("key").isNotNull() & ~F.col("key").isin(hot) if hot else F.col("key").isNotNull()).join(named, "key")
     if hot:
         result = result.unionByName(ids.filter(F.col("key").isin(hot)).join(F.broadcast(named.filter(limit)), "key"))

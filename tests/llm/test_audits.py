@@ -243,3 +243,26 @@ def test_every_point_reaches_all_leaves_within_reach():
         for j in range(400):
             if ((points[i] - points[j]) ** 2).sum() <= 0.2 and home[i] > home[j]:
                 assert (i, int(home[j])) in sent
+
+
+def test_vectors_are_not_written_once_for_each_meeting(spark, monkeypatch):
+    """Every two packs meet, and yet no shuffle or stored table has more than each vector once."""
+    monkeypatch.setattr(vectors, "PART_BYTES", 8 * 16 * 10)
+    monkeypatch.setattr(vectors, "LEAF_NODES", 25)
+    packs, plans, keep = [], [], vectors.stored
+
+    def watched(df, purpose):
+        out = keep(df, purpose)
+        if purpose == "vector-packs":
+            packs.append(out)
+        if purpose == "vector-links":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(vectors, "stored", watched)
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.standard_normal(16)]) for i in range(200)]
+    rows += [(1000 + i, v) for i, v in rows[:50]]
+    near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert packs[0].count() >= 20 and packs[0].agg(F.sum(F.octet_length("data"))).first()[0] == 200 * 16 * 4
+    assert "Exchange hash" not in plans[0] and "Exchange range" not in plans[0]
