@@ -11,6 +11,7 @@ chunk, however often it occurs, so no key is hot.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,27 +29,36 @@ PART_BYTES = 16_000_000
 LEAST_PARTS = 64
 
 
+@lru_cache(maxsize=1)
+def _codec() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """Made once in a process: to make them takes longer than a small block does."""
+    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
 def squeeze(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(data)
+    return _codec()[0].compress(data)
 
 
 def expand(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
+    return _codec()[1].decompress(data)
 
 
 def array_of(data: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(expand(data), dtype=kind)
 
 
-def pack_chunks(docs: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+def pack_chunks(docs: DataFrame, more: tuple[str, ...] = (), marks: Callable[[bytes, list[int]], bytes] | None = None) -> DataFrame:
     """(chunk, ids, .., lengths, data) of (doc_id, text, ..), stored; data is compressed UTF-8.
 
-    NULL text is empty. A text longer than a chunk is a chunk.
+    NULL text is empty. A text longer than a chunk is a chunk. A column `marks` holds what
+    that function makes of the bytes of a chunk and their lengths.
     """
     columns = ["doc_id", *more]
     arrays = [T.StructField(c, T.ArrayType(docs.schema[c].dataType)) for c in columns]
     schema = T.StructType([T.StructField("chunk", T.LongType()), *arrays])
     schema.add("lengths", T.ArrayType(T.LongType())).add("bytes", T.LongType()).add("data", T.BinaryType())
+    if marks:
+        schema.add("marks", T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -59,8 +69,10 @@ def pack_chunks(docs: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
             texts = [t.encode() for b in held for t in b.column("text").fill_null("").to_pylist()]
             lists = [pa.array([[v for b in held for v in b.column(c).to_pylist()]], pa.list_(held[0].schema.field(c).type)) for c in columns]
             data = b"".join(texts)
-            out = [pa.array([number], pa.int64()), *lists, pa.array([[len(t) for t in texts]], pa.list_(pa.int64()))]
+            lengths = [len(t) for t in texts]
+            out = [pa.array([number], pa.int64()), *lists, pa.array([lengths], pa.list_(pa.int64()))]
             out += [pa.array([len(data)], pa.int64()), pa.array([squeeze(data)], pa.binary())]
+            out += [pa.array([marks(data, lengths)], pa.binary())] if marks else []
             number, held, size = number + 1, [], 0
             return pa.RecordBatch.from_arrays(out, names=schema.names)
 

@@ -40,63 +40,120 @@ TRANSFORM_BYTES = 1_000_000
 HOT_RUNS = TRANSFORM_BYTES // (LEAST + PLACES - 1)
 
 
+# Places that are worked on at once: what they need fits a core's cache.
+BLOCK = 1 << 14
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x * np.uint64(0x9E3779B97F4A7C15)
+    """`x` itself, mixed."""
+    x *= np.uint64(0x9E3779B97F4A7C15)
     x ^= x >> np.uint64(32)
     return x
 
 
-def _gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the `GRAM` bytes at each place (the last places read padding)."""
-    padded = np.concatenate([data, np.zeros(GRAM + 8, np.uint8)])
-    words = np.lib.stride_tricks.as_strided(padded[: len(data) + GRAM].view(), (len(data) + GRAM - 7, 8), (1, 1))
-    loaded = np.ascontiguousarray(words).view("<u8").ravel()
-    n = len(data)
-    return _mixed(_mixed(_mixed(loaded[:n]) + loaded[8 : 8 + n]) + loaded[12 : 12 + n])
+def _hashed(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The hash of a gram from its eight bytes at 0, 8 and 12; `a` is used up."""
+    a = _mixed(a)
+    a += b
+    a = _mixed(a)
+    a += c
+    return _mixed(a)
+
+
+def _gram_hashes(data: np.ndarray, places: np.ndarray | None = None) -> np.ndarray:
+    """A hash of the `GRAM` bytes at each of these places, or at all that have so many."""
+    places = np.arange(len(data) - GRAM + 1) if places is None else places
+    if not len(places):
+        return np.zeros(0, np.uint64)
+    eights = np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1))
+    return _hashed(*(eights[places + k].view("<u8").ravel() for k in (0, 8, 12)))
+
+
+def _chosen(data: np.ndarray) -> np.ndarray:
+    """For each place with `LEAST` bytes the place of its least gram, the first of equal ones."""
+    n = len(data) - LEAST + 1
+    chosen = np.empty(n, dtype=np.int32 if n < 2**31 else np.int64)
+    loaded, numbers = np.empty(BLOCK + 64, dtype="<u8"), np.arange(BLOCK + 64, dtype=np.uint64)
+    for begin in range(0, n, BLOCK):
+        end = min(begin + BLOCK, n)
+        size = end - begin + PLACES - 1
+        own = data[begin : end + LEAST - 1]
+        for k in range(8):
+            some = own[k : k + (len(own) - k) // 8 * 8].view("<u8")
+            loaded[k : k + 8 * len(some) : 8] = some
+        hashes = _hashed(loaded[:size].copy(), loaded[8 : 8 + size], loaded[12 : 12 + size])
+        hashes >>= _POSITION_BITS
+        hashes <<= _POSITION_BITS
+        hashes |= numbers[:size]
+        for step in (1, 2, 4, 8):
+            hashes = np.minimum(hashes[:-step], hashes[step:])
+        least = np.minimum(hashes[: end - begin], hashes[PLACES - 16 : PLACES - 16 + end - begin])
+        least &= np.uint64(2**24 - 1)
+        chosen[begin:end] = least
+        chosen[begin:end] += begin
+    return chosen
 
 
 class Runs:
-    """Runs of neighbouring places with one key: key, document, places [first, last]."""
+    """Runs of neighbouring places with one key: key, document, places [first, last].
+
+    `marks`, from an earlier look at the same bytes, say where the runs are.
+    """
 
-    def __init__(self, data: np.ndarray, lengths: np.ndarray):
+    def __init__(self, data: np.ndarray, lengths: np.ndarray, marks: bytes | None = None):
+        self.data = data
+        self.first, self.last, chosen = _unmarked(marks) if marks is not None else self._found(data, lengths)
+        self.key = _gram_hashes(data, chosen)
+        self.doc = np.repeat(np.arange(len(lengths)), np.diff(np.searchsorted(self.first, np.cumsum(lengths)), prepend=0))
+        self._chosen = chosen
+
+    @staticmethod
+    def _found(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first place, last place, place of the key's gram) of each run."""
         ends = np.cumsum(lengths)
         begins = ends - lengths
-        self.data = data
-        self.doc = self.first = self.last = np.zeros(0, np.int64)
-        self.key = np.zeros(0, np.uint64)
         n = len(data) - LEAST + 1
         if n <= 0:
-            return
-        hashes = _gram_hashes(data)
-        places = np.arange(len(data), dtype=np.uint64) & np.uint64(2**24 - 1)
-        least = ((hashes >> _POSITION_BITS) << _POSITION_BITS) | places
-        for step in (1, 2, 4, 8):  # in place: what is written lies before what is read next
-            least = np.minimum(least[:-step], least[step:], out=least[:-step])
-        least = np.minimum(least[:n], least[PLACES - 16 : PLACES - 16 + n], out=least[:n])
-        valid = np.zeros(len(data) + 1, dtype=np.int32)
+            return (np.zeros(0, np.int64),) * 3
+        valid = np.zeros(len(data) + 1, dtype=np.int8)
         long = lengths >= LEAST
         np.add.at(valid, begins[long], 1)
         np.add.at(valid, ends[long] - LEAST + 1, -1)
-        valid = np.cumsum(valid[:n]) > 0
-        # The chosen place, from its low bits: it lies at most PLACES - 1 behind.
-        at = np.arange(n, dtype=np.int64)
-        chosen = at + ((least & np.uint64(2**24 - 1)).astype(np.int64) - at) % 2**24
-        edge = np.ones(n, dtype=bool)
-        edge[1:] = (chosen[1:] != chosen[:-1]) | ~valid[:-1]
-        start = np.zeros(n + 1, dtype=bool)
-        start[begins[begins < n]] = True
-        firsts = np.flatnonzero((edge | start[:n]) & valid)
-        stop = np.flatnonzero(np.append(edge | start[:n] | ~valid, True))
-        lasts = stop[np.searchsorted(stop, firsts, side="right")] - 1
-        self.first, self.last = firsts, lasts
-        self.key = hashes[chosen[firsts]]
-        self.doc = np.searchsorted(ends, firsts, side="right")
+        valid = np.cumsum(valid[:n], dtype=np.int8) > 0
+        chosen = _chosen(data)
+        edge = np.ones(n + 1, dtype=bool)  # the end is one too
+        edge[1:-1] = (chosen[1:] != chosen[:-1]) | ~valid[:-1]
+        edge[begins[begins < n]] = True
+        edge[:n] |= ~valid
+        stop = np.flatnonzero(edge)
+        begin = np.flatnonzero(valid[stop[:-1]])
+        firsts = stop[begin]
+        return firsts, stop[begin + 1] - 1, chosen[firsts].astype(np.int64)
+
+    def marks(self) -> bytes:
+        """Where the runs are, without their keys: gaps before them, their sizes, and how far the key's gram lies in them."""
+        gaps = self.first - np.append(0, self.last[:-1] + 1)[: len(self.first)]
+        sizes, offsets = self.last - self.first + 1, self._chosen - self.first
+        return squeeze(gaps.astype("<u4").tobytes() + sizes.astype(np.uint8).tobytes() + offsets.astype(np.uint8).tobytes())
 
     def whole(self, which: np.ndarray) -> np.ndarray:
         """A hash of all bytes that the strings of each of these runs cover."""
         return span_hashes(self.data, self.first[which], self.last[which] + LEAST) ^ self.key[which]
 
 
+def _unmarked(marks: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = expand(marks)
+    n = len(raw) // 6
+    gaps, sizes = np.frombuffer(raw, "<u4", n).astype(np.int64), np.frombuffer(raw, np.uint8, n, 4 * n).astype(np.int64)
+    last = np.cumsum(gaps + sizes) - 1
+    first = last - sizes + 1
+    return first, last, first + np.frombuffer(raw, np.uint8, n, 5 * n)
+
+
+def _marks(data: bytes, lengths: list[int]) -> bytes:
+    return Runs(np.frombuffer(data, np.uint8), np.array(lengths, dtype=np.int64)).marks()
+
+
 def _read(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids = np.array([_NO_ID if i is None else i for i in row["doc_id"]], dtype=np.int64)
     return np.frombuffer(expand(row["data"]), dtype=np.uint8), np.array(row["lengths"], dtype=np.int64), ids
@@ -162,7 +219,7 @@ def _ask_keys(parts: int):
 
     def requests(row: dict) -> Iterator[tuple[int, bytes]]:
         data, lengths, ids = _read(row)
-        runs = Runs(data, lengths)
+        runs = Runs(data, lengths, row.get("marks"))
         keys, starts, doc, which = _grouped(runs.key, runs.doc, np.arange(len(runs.key)))
         if not len(keys):
             return
@@ -213,7 +270,7 @@ def _ask_surroundings(parts: int):
 
     def requests(row: dict) -> Iterator[tuple[int, bytes]]:
         data, lengths, ids = _read(row)
-        runs = Runs(data, lengths)
+        runs = Runs(data, lengths, row.get("marks"))
         keys = np.unique(runs.key)
         order, found, cuts = by_part(keys, parts)
         bits = {r["part"]: r["reply"] for r in row["replies"] or ()}
@@ -446,7 +503,7 @@ def _answer_surroundings(blocks: list[bytes]) -> tuple[list[bytes], list[int]]:
 def _covered(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(data, lengths, removed mask) of a chunk with its answers."""
     data, lengths, ids = _read(row)
-    runs = Runs(data, lengths)
+    runs = Runs(data, lengths, row.get("marks"))
     columns: list[list[np.ndarray]] = [[], [], [], []]
     lines = []
     for reply in row["replies"] or ():
@@ -457,7 +514,7 @@ def _covered(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for i, kind in enumerate(("<u4", "<i8", "u1", "u1")):
             columns[i].append(np.frombuffer(raw, kind, n, at))
             at += n * columns[i][-1].itemsize
-    change = np.zeros(len(data) + 1, dtype=np.int64)
+    change = np.zeros(len(data) + 1, dtype=np.int32)
     if lines:
         place, least, a, b = (np.concatenate(c).astype(np.int64) for c in columns)
         whole, size = runs.whole(np.arange(len(runs.key))), runs.last - runs.first + LEAST
@@ -485,7 +542,7 @@ def _covered(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         gone = place[string[_equal(data, place[string], asked[at], every, every)]]
         np.add.at(change, gone, 1)
         np.add.at(change, gone + LEAST, -1)
-    return data, lengths, np.cumsum(change[:-1]) > 0
+    return data, lengths, np.cumsum(change[:-1], dtype=np.int32) > 0
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep_text: bool = False) -> DataFrame:
@@ -497,9 +554,9 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     gives an empty result; other columns are not looked at.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    chunks = pack_chunks(rows)
+    chunks = pack_chunks(rows, marks=_marks)  # runs are looked for once
     parts = part_count(chunks)
-    texts = chunks.select("chunk", "doc_id", "lengths", "data")
+    texts = chunks.select("chunk", "doc_id", "lengths", "data", "marks")
     found = answer(ask(texts, _ask_keys(parts)), _answer_keys)
     around = answer(ask(with_replies(texts, found), _ask_surroundings(parts)), _answer_surroundings)
 

@@ -371,3 +371,22 @@ def test_chat_windows_keep_the_budget_as_written(spark):
     encoder = subwords(tokenizer()).tokenizer
     sizes = [(len(read_turns(w.formatted)), len(encoder.encode(w.formatted, add_special_tokens=False).ids)) for w in windows]
     assert any(n > 1 for n, _ in sizes) and all(tokens <= 1024 for n, tokens in sizes if n > 1)
+
+
+def test_runs_are_looked_for_once(spark, monkeypatch):
+    """The windows of a text are gone through once; later steps find its runs by their marks."""
+    rng = np.random.default_rng(12)
+    lengths = np.array([0, 700, 49, 50, 40_000, 3, 51, 90])
+    data = rng.integers(97, 100, lengths.sum()).astype(np.uint8)
+    found, chosen, calls = repeats.Runs(data, lengths), repeats._chosen, []
+    monkeypatch.setattr(repeats, "_chosen", lambda data: calls.append(1) or chosen(data))
+    marked = repeats.Runs(data, lengths, found.marks())
+    assert not calls
+    hashes, at = repeats._gram_hashes(data), 0
+    for name in ("key", "doc", "first", "last"):
+        assert (getattr(found, name) == getattr(marked, name)).all()
+    for begin, n in zip(np.cumsum(lengths) - lengths, lengths):
+        for place in range(begin, begin + n - repeats.LEAST + 1):
+            at += place > found.last[at]
+            assert found.first[at] <= place <= found.last[at] and found.key[at] in hashes[place : place + repeats.PLACES]
+    assert at == len(found.key) - 1 and repeats._unmarked(repeats._marks(b"", []))[0].size == 0
